@@ -1,0 +1 @@
+"""Reserved. The work this library covers is batch only, so there is no streaming operator."""
