@@ -106,6 +106,16 @@ INPUT_BREAKDOWNS = [
     "amountuom", "rateuom", "ordercategoryname", "secondaryordercategoryname", "ordercategorydescription",
 ]
 
+# The statistic of an item without events.
+EMPTY_STATS = {
+    "chartevents": "Min: , Mean: , Max: ",
+    "procedureevents": "Min: , Mean: , Max: ",
+    "datetimeevents": "Earliest: , Latest: ",
+    "inputevents": "Rate: , , ; Amount: , , ",
+    "ingredientevents": "Rate: , , ; Amount: , , ",
+    "outputevents": "Min: , Median: , Max: ",
+}
+
 
 def item_value_stats(events: DataFrame, items: DataFrame, table: str, item: str = "itemid") -> DataFrame:
     """Usage statistics of dictionary items in one event table; the statistic depends on the table.
@@ -114,6 +124,8 @@ def item_value_stats(events: DataFrame, items: DataFrame, table: str, item: str
     """
     used = events.join(items.select(item, "param_type"), item, "left_semi" if table != "chartevents" else "inner")
     keys = [item]
+    if table not in EMPTY_STATS:
+        raise NotImplementedError(f"no item statistics for event table {table!r}")
     if table == "chartevents":
         numeric = item_stats_numeric(used.filter(F.col("param_type") == "Numeric"), keys, "valuenum")
         texts = item_stats_categorical(used.filter(F.col("param_type").isin("Text", "Checkbox")), keys, "value")
@@ -132,7 +144,7 @@ def item_value_stats(events: DataFrame, items: DataFrame, table: str, item: str
             stats = stats.join(
                 item_stats_uom_breakdown(used, keys, INPUT_BREAKDOWNS, {"amountuom": "rateuom"}), keys, "left"
             )
-    elif table == "outputevents":
+    else:
         ends = spread(used, keys, "value", "v")
         total = used.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")).join(ends, keys, "left")
         text = F.concat(
@@ -142,10 +154,17 @@ def item_value_stats(events: DataFrame, items: DataFrame, table: str, item: str
         stats = total.select(*keys, "count", text.alias("value_instances")).join(
             breakdown(used, keys, "valueuom", "valueuom_instances"), keys, "left"
         )
-    else:
-        raise NotImplementedError(f"no item statistics for event table {table!r}")
     described = items.select(*[c for c in ITEM_COLUMNS if c in items.columns])
-    return described.join(stats, item, "left").withColumn("count", F.coalesce(F.col("count"), F.lit(1).cast("bigint")))
+    empty = F.lit(EMPTY_STATS[table])
+    if table == "chartevents":
+        empty = F.when(F.col("param_type") == "Numeric", empty).when(
+            ~F.coalesce(F.col("param_type").isin("Text", "Checkbox"), F.lit(False)), F.col("param_type")
+        )
+    unused = F.col("count").isNull()
+    return described.join(stats, item, "left").withColumns({
+        "value_instances": F.when(unused, empty).otherwise(F.col("value_instances")),
+        "count": F.coalesce(F.col("count"), F.lit(1).cast("bigint")),
+    })
 
 
 def lab_item_stats(labs: DataFrame, dictionary: DataFrame, keep: Column, item: str = "itemid") -> DataFrame:

@@ -56,14 +56,15 @@ def ranked_dedup(
     ranked = F.coalesce(applies, F.lit(False)) & F.col(category).isNotNull()
     position = F.array_position(F.array(*[F.lit(r) for r in ranking]), F.col(category))
     df = df.withColumns({"__ranked": ranked, "__pos": F.when(ranked, position).otherwise(F.lit(0).cast("bigint"))})
-    best = first_per_key(df, [*keys, "__ranked"], [F.col("__pos"), *order])
-    if exclude is not None:
-        crowded = best.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__all"))
-        flags = null_safe_join(crowded, per_key, keys, "inner").withColumn("__dup", F.col("__all") > 1)
-        best = null_safe_join(best, flags.select(*keys, "__dup"), keys, "left")
-        best = best.filter(~(F.col("__dup") & F.coalesce(exclude, F.lit(False)))).drop("__dup")
-    return first_per_key(best, keys, order).drop("__ranked", "__pos")
+    if exclude is None:
+        kept = first_per_key(df, [*keys, "__ranked"], [F.col("__pos"), *order])
+    else:
+        best = first_per_key(df.filter("__ranked"), keys, [F.col("__pos"), *order])
+        kept = df.filter(~F.col("__ranked")).unionByName(best)
+        crowded = kept.groupBy(*keys).agg((F.count(F.lit(1)) > 1).alias("__dup"))
+        kept = null_safe_join(kept, crowded, keys, "left")
+        kept = kept.filter(~(F.col("__dup") & F.coalesce(exclude, F.lit(False)))).drop("__dup")
+    return first_per_key(kept, keys, order).drop("__ranked", "__pos")
 
 
 def running_last_non_null(
