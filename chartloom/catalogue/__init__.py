@@ -1,0 +1,6 @@
+"""Queries that bind the operators and plans to the benchmark tables."""
+
+from chartloom.catalogue.base import QUERIES
+from chartloom.catalogue import extraction, joining, profiles  # noqa: F401
+
+__all__ = ["QUERIES"]
