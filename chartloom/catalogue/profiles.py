@@ -249,13 +249,19 @@ def null_profile(t: Tables):
     return pf.null_profile(t.derive(GAPS))
 
 
+BY_PRIORITY = "SELECT o_orderstatus, o_orderpriority, CAST(o_custkey AS DOUBLE) AS v FROM orders"
+
+
 @query(
     "category_distribution",
-    """SELECT p_brand, p_type, COUNT(*) AS n, ROUND(AVG(p_retailprice), 1) AS avg_value, ROUND(MEDIAN(p_retailprice), 1) AS median_value,
-    ROUND(COUNT(*) * 100.0 / SUM(COUNT(*)) OVER (), 2) AS percent FROM part GROUP BY p_brand, p_type""",
+    with_ctes(
+        """SELECT o_orderstatus, o_orderpriority, COUNT(*) AS n, ROUND(AVG(v), 1) AS avg_value, ROUND(MEDIAN(v), 1) AS median_value,
+        ROUND(COUNT(*) * 100.0 / SUM(COUNT(*)) OVER (), 2) AS percent FROM o GROUP BY o_orderstatus, o_orderpriority""",
+        o=BY_PRIORITY,
+    ),
 )
 def category_distribution(t: Tables):
-    return pf.category_distribution(t.part, ["p_brand", "p_type"], "p_retailprice")
+    return pf.category_distribution(t.derive(BY_PRIORITY), ["o_orderstatus", "o_orderpriority"], "v")
 
 
 @query(

@@ -61,28 +61,34 @@ def item_stats_datetime(df: DataFrame, keys: Sequence[str], value: str, into: st
     )
 
 
-def spread(df: DataFrame, keys: Sequence[str], value: str, prefix: str) -> DataFrame:
-    """Min, exact median and max of a column per key."""
-    ends = df.groupBy(*keys).agg(F.min(value).alias(f"{prefix}_min"), F.max(value).alias(f"{prefix}_max"))
-    return null_safe_join(ends, exact_quantiles(df, keys, value, {f"{prefix}_median": 0.5}), keys, "left")
+def exact_medians(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Exact median of several columns per key, as ``<col>_median``, in one quantile pass."""
+    cells = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in cols])
+    long = df.select(*keys, F.explode(cells).alias("__cell")).select(*keys, "__cell.c", "__cell.v")
+    medians = exact_quantiles(long, [*keys, "c"], "v", {"m": 0.5})
+    return medians.groupBy(*keys).agg(*[F.max(F.when(F.col("c") == c, F.col("m"))).alias(f"{c}_median") for c in cols])
+
+
+def spread(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Per key: count, and min, exact median and max of each column."""
+    ends = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("count"),
+        *[a for c in cols for a in (F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"))],
+    )
+    return null_safe_join(ends, exact_medians(df, keys, cols), keys, "left")
+
+
+def _range_text(col: str) -> Column:
+    parts = [_text(F.round(F.col(f"{col}_{end}"), 2)) for end in ("min", "median", "max")]
+    return F.concat(parts[0], F.lit(", "), parts[1], F.lit(", "), parts[2])
 
 
 def item_stats_rate_amount(
     df: DataFrame, keys: Sequence[str], rate: str, amount: str, into: str = "value_instances"
 ) -> DataFrame:
     """Per item: min, median, max of rate and amount as one text."""
-    total = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
-    both = null_safe_join(total, spread(df, keys, rate, "r"), keys, "left")
-    both = null_safe_join(both, spread(df, keys, amount, "a"), keys, "left")
-
-    def part(c: str) -> Column:
-        return _text(F.round(F.col(c), 2))
-
-    text = F.concat(
-        F.lit("Rate: "), part("r_min"), F.lit(", "), part("r_median"), F.lit(", "), part("r_max"),
-        F.lit("; Amount: "), part("a_min"), F.lit(", "), part("a_median"), F.lit(", "), part("a_max"),
-    )
-    return both.select(*keys, "count", text.alias(into))
+    text = F.concat(F.lit("Rate: "), _range_text(rate), F.lit("; Amount: "), _range_text(amount))
+    return spread(df, keys, [rate, amount]).select(*keys, "count", text.alias(into))
 
 
 def item_stats_uom_breakdown(
@@ -145,13 +151,11 @@ def item_value_stats(events: DataFrame, items: DataFrame, table: str, item: str
                 item_stats_uom_breakdown(used, keys, INPUT_BREAKDOWNS, {"amountuom": "rateuom"}), keys, "left"
             )
     else:
-        ends = spread(used, keys, "value", "v")
-        total = used.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")).join(ends, keys, "left")
         text = F.concat(
-            F.lit("Min: "), _text(F.round("v_min", 2)), F.lit(", Median: "), _text(F.round("v_median", 2)),
-            F.lit(", Max: "), _text(F.round("v_max", 2)),
+            F.lit("Min: "), _text(F.round("value_min", 2)), F.lit(", Median: "), _text(F.round("value_median", 2)),
+            F.lit(", Max: "), _text(F.round("value_max", 2)),
         )
-        stats = total.select(*keys, "count", text.alias("value_instances")).join(
+        stats = spread(used, keys, ["value"]).select(*keys, "count", text.alias("value_instances")).join(
             breakdown(used, keys, "valueuom", "valueuom_instances"), keys, "left"
         )
     described = items.select(*[c for c in ITEM_COLUMNS if c in items.columns])

@@ -3,11 +3,12 @@
 ``percentile``/``median`` keep every distinct value of a group in one buffer. Instead:
 
 1. a mergeable sketch brackets each wanted position (pre-aggregated, bounded size);
-2. one pass counts the rows below the bracket and keeps the few values inside it;
-3. those values are counted per distinct value and the exact position is read off.
+2. one more pass counts, per wanted quantile, the rows below its bracket and the distinct values
+   inside it (a tiny share of a large group; all values of a small one);
+3. cumulative counts over those values give the exact position.
 
-The bracket only limits the work: the counts of step 2 prove that it holds the position, and the
-job fails if it does not.
+The bracket only limits the work: the counts prove that it holds the position, and the job fails
+if it does not.
 """
 
 from __future__ import annotations
@@ -18,92 +19,74 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from chartloom.operators.keys import all_of, with_null_free_keys
+from chartloom.operators.keys import with_null_free_keys
 
 ACCURACY = 10_000
-SLACK = 3 / ACCURACY
-SMALL_GROUP = 20_000
+# A bracket reaches this far to both sides of its quantile. With n rows it must cover the sketch's
+# rank error (n / ACCURACY) and two rows, which decides from what group size on it can be used.
+NARROW, NARROW_FROM = 0.0003, 12_000
+WIDE, WIDE_FROM = 0.002, 1_200
 
 
-def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, quantiles: dict[str, float]
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles: dict[str, float]) -> DataFrame:
     """One row per key with a column per named quantile (linear interpolation, NULLs ignored).
 
     Groups without any value do not appear.
     """
-    probs = list(quantiles.values())
     rows = df.select(*keys, F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
-    if not keys:
+    keys = list(keys) or ["__all"]
+    if keys == ["__all"]:
         rows = rows.withColumn("__all", F.lit(True))
-        keys, anonymous = ["__all"], True
-    else:
-        anonymous = False
     rows, on = with_null_free_keys(rows, keys)
-    carry = [k for k in keys if k not in on]
+    group = [*on, *[k for k in keys if k not in on], "__n"]
 
-    points = [max(p - SLACK, 0.0) for p in probs] + [min(p + SLACK, 1.0) for p in probs]
+    probs = list(quantiles.values())
+    points = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-WIDE, -NARROW, NARROW, WIDE)]
     sketch = rows.groupBy(*on).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.percentile_approx("__v", points, ACCURACY).alias("__q"),
-        *[F.first(k, ignorenulls=True).alias(k) for k in carry],
+        F.count(F.lit(1)).alias("__n"), F.percentile_approx("__v", points, ACCURACY).alias("__q")
     )
-    whole = F.col("__n") < SMALL_GROUP
-    inf = F.lit(float("inf"))
+    below, above = F.lit(float("-inf")), F.lit(float("inf"))
+    narrow = F.col("__n") >= NARROW_FROM
 
-    def spec(i: int, p: float) -> Column:
-        pos = (F.col("__n") - 1) * F.lit(float(p))
-        low = F.when(whole | F.lit(p - SLACK <= 0), -inf).otherwise(F.col("__q")[i])
-        high = F.when(whole | F.lit(p + SLACK >= 1), inf).otherwise(F.col("__q")[i + len(probs)])
-        return F.struct(low.alias("low"), high.alias("high"), pos.alias("pos"))
+    def edge(i: int, p: float, sign: int) -> Column:
+        wide_at, narrow_at, end = (4 * i, 4 * i + 1, below) if sign < 0 else (4 * i + 3, 4 * i + 2, above)
 
-    sketch = sketch.select(
-        *on, *carry, F.array(*[spec(i, p) for i, p in enumerate(probs)]).alias("__spec")
-    )
-    below = rows.join(sketch, on).groupBy(*on).agg(
-        *[F.count(F.when(F.col("__v") < F.col("__spec")[i]["low"], 1)).alias(f"__below{i}") for i in range(len(probs))]
-    )
-    sketch = sketch.join(below, on).withColumn(
-        "__below", F.array(*[F.col(f"__below{i}") for i in range(len(probs))])
-    ).select(*on, *carry, "__spec", "__below")
-
-    slim = sketch.select(*on, "__spec")
-    inside = rows.select(*on, "__v").join(slim, on).select(
-        *on, "__v",
-        F.explode(
-            F.filter(
-                F.transform(F.col("__spec"), lambda s, i: F.struct(i.alias("i"), s["low"].alias("lo"), s["high"].alias("hi"))),
-                lambda s: F.col("__v").between(s["lo"], s["hi"]),
-            )["i"]
-        ).alias("__i"),
-    )
-    counts = inside.groupBy(*on, "__i", "__v").agg(F.count(F.lit(1)).alias("__c"))
-    upto = W.partitionBy(*on, "__i").orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = counts.withColumn("__to", F.sum("__c").over(upto))
-    ranked = ranked.join(sketch, on).select(
-        *on, *carry, "__i", "__v",
-        (F.col("__to") + F.get("__below", F.col("__i"))).alias("__to"),
-        (F.col("__to") - F.col("__c") + F.get("__below", F.col("__i"))).alias("__from"),
-        F.get("__spec", F.col("__i"))["pos"].alias("__pos"),
-    )
+        def reach(at: int, d: float) -> Column:
+            # a bracket that reaches past an end takes everything on that side
+            return F.col("__q")[at] if 0 < p + sign * d < 1 else end
 
-    def at(position: Column) -> Column:
-        # zero-based rank p is covered by the value whose count range holds it
-        return F.max(F.when((F.col("__from") <= position) & (position < F.col("__to")), F.col("__v")))
+        return F.when(narrow, reach(narrow_at, NARROW)).otherwise(reach(wide_at, WIDE))
 
-    pos = F.col("__pos")
-    picked = ranked.groupBy(*on, "__i").agg(
-        at(F.floor(pos)).alias("__a"),
-        at(F.ceil(pos)).alias("__b"),
-        F.max(pos - F.floor(pos)).alias("__w"),
-        *[F.first(k, ignorenulls=True).alias(k) for k in carry],
-    )
-    found = all_of([F.col("__a").isNotNull(), F.col("__b").isNotNull()])
-    exact = F.when(found, F.col("__a") + (F.col("__b") - F.col("__a")) * F.col("__w")).otherwise(
-        F.raise_error(F.lit("quantile bracket missed its position")).cast("double")
-    )
-    out = picked.withColumn("__x", exact).groupBy(*on).agg(
-        *[F.max(F.when(F.col("__i") == i, F.col("__x"))).alias(name) for i, name in enumerate(quantiles)],
-        *[F.first(k, ignorenulls=True).alias(k) for k in carry],
+    sketch = sketch.select(*on, "__n", *[
+        c for i, p in enumerate(probs) for c in (edge(i, p, -1).alias(f"__lo{i}"), edge(i, p, 1).alias(f"__hi{i}"))
+    ])
+    v = F.col("__v")
+
+    def entry(i: int, x: Column) -> Column:
+        return F.struct(F.lit(i).alias("i"), x.alias("x"))
+
+    def bracketed(i: int) -> Column:
+        return F.when(v <= F.col(f"__hi{i}"), entry(i, F.when(v < F.col(f"__lo{i}"), below).otherwise(v)))
+
+    entries = F.when(F.col("__n") < WIDE_FROM, F.array(entry(-1, v))).otherwise(
+        F.array_compact(F.array(*[bracketed(i) for i in range(len(probs))]))
     )
-    return out.select(*([] if anonymous else keys), *quantiles)
+    placed = rows.join(sketch, on).select(*group, F.explode(entries).alias("__en"))
+    placed = placed.select(*group, F.col("__en.i").alias("__i"), F.col("__en.x").alias("__x"))
+    counts = placed.groupBy(*group, "__i", "__x").agg(F.count(F.lit(1)).alias("__c"))
+    upto = W.partitionBy(*on, "__i").orderBy("__x").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = counts.withColumn("__to", F.sum("__c").over(upto)).withColumn("__from", F.col("__to") - F.col("__c"))
+
+    def at(i: int, position: Column) -> Column:
+        # zero-based rank p belongs to the value whose count range holds it
+        hit = (F.col("__from") <= position) & (position < F.col("__to")) & F.col("__i").isin(-1, i)
+        return F.max(F.when(hit & (F.col("__x") > below), F.col("__x")))
+
+    picks, results = [], []
+    for i, (name, p) in enumerate(quantiles.items()):
+        pos = (F.col("__n") - 1) * F.lit(float(p))
+        a, b, w = F.col(f"__a{i}"), F.col(f"__b{i}"), pos - F.floor(pos)
+        picks += [at(i, F.floor(pos)).alias(f"__a{i}"), at(i, F.ceil(pos)).alias(f"__b{i}")]
+        missed = F.raise_error(F.lit(f"{name}: the bracket does not hold the position")).cast("double")
+        results.append(F.when(a.isNull() | b.isNull(), missed).otherwise(a * (1 - w) + b * w).alias(name))
+    return ranked.groupBy(*group).agg(*picks).select(*[k for k in keys if k != "__all"], *results)
