@@ -117,13 +117,29 @@ def _alternatives(pattern: str) -> list[str]:
     return [*parts, current]
 
 
+_SPECIAL = re.compile(r"[\\.^$*+?()\[\]{}|]")
+
+
 def _found(source: Column, pattern: str, lowered: bool) -> Column:
-    """Whether the regex is found; its plain alternatives become substring tests, which are far cheaper."""
-    plain = [a for a in _alternatives(pattern) if not re.search(r"[\\.^$*+?()\[\]{}|]", a)]
-    rest = [a for a in _alternatives(pattern) if a not in plain]
-    tests = [source.contains(a.lower() if lowered else a) for a in dict.fromkeys(plain)]
+    """Whether the regex is found.
+
+    Plain alternatives become substring tests, and a whole-word alternative is only tried where
+    its word occurs at all; both are far cheaper than scanning with the regex.
+    """
+    plain, words, rest = [], [], []
+    for alternative in dict.fromkeys(_alternatives(pattern)):
+        word = re.fullmatch(r"\\b(.+)\\b", alternative)
+        if not _SPECIAL.search(alternative):
+            plain.append(alternative)
+        elif word and not _SPECIAL.search(word[1]):
+            words.append((word[1], alternative))
+        else:
+            rest.append(alternative)
+    flag = "(?i)" if lowered else ""
+    tests = [source.contains(a.lower() if lowered else a) for a in plain]
+    tests += [source.contains(w.lower() if lowered else w) & source.rlike(flag + a) for w, a in words]
     if rest:
-        tests.append(source.rlike(("(?i)" if lowered else "") + "|".join(rest)))
+        tests.append(source.rlike(flag + "|".join(rest)))
     return reduce(lambda a, b: a | b, tests)
 
 
