@@ -6,6 +6,9 @@ that the operators rely on for skewed data (adaptive execution) are set here.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -31,3 +34,17 @@ def ensure_defaults(spark: SparkSession) -> SparkSession:
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder for intermediate tables under the cluster's ``spark.checkpoint.dir``.
+
+    Only a local session may fall back to a temporary folder of this machine.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        base = tempfile.mkdtemp(prefix="chartloom-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
