@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from chartloom.operators.keys import with_null_free_keys
+from chartloom.operators.keys import on_one_exchange, with_null_free_keys
 
 DAY = 86_400
 
@@ -101,7 +101,9 @@ def running(
         else:
             raise ValueError(f"unknown running column kind: {run.kind}")
 
-    parts = base.groupBy(*chunk_keys, "__chunk").agg(*summary).withColumns(carried)
-    parts = parts.select(*chunk_keys, "__chunk", *carried)
+    # rows and summaries share one exchange, so the input is computed once
+    base, touch = on_one_exchange(base, [*chunk_keys, "__chunk"])
+    parts = base.groupBy(*chunk_keys, "__chunk").agg(*summary, touch.alias("__touch")).filter(F.col("__touch") >= 0)
+    parts = parts.withColumns(carried).select(*chunk_keys, "__chunk", *carried)
     rows = base.withColumns(local).join(parts, [*chunk_keys, "__chunk"], "left").withColumns(final)
     return rows.select(*[c for c in df.columns if c not in columns], *columns)

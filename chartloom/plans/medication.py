@@ -12,7 +12,6 @@ from chartloom.operators import scans
 from chartloom.operators.events import fetch_events, relevant_items, select_replace, vocabulary_values
 from chartloom.operators.joins import left_join_filtered_dim, two_step_null_safe_lookup
 from chartloom.operators.reshape import interval_to_points
-from chartloom.operators.sets import union_all
 from chartloom.operators.windows import (
     dedup_keys, deprioritised_first, qualify_first, running_last_non_null, window_string_agg,
 )
@@ -103,9 +102,9 @@ def augmented(events: DataFrame, mapping: DataFrame) -> DataFrame:
 
 def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(continuous, intermittent); long runs of some intermittent items count as continuous."""
-    cont, intm = df.filter(F.col("_to_table") == "cont"), df.filter(F.col("_to_table") == "intm")
+    table = F.col("_to_table")
     long = (F.col("_duration_in_mins") > 1) & F.col("itemid").isin(LONG_INTERMITTENT_ITEMS)
-    return union_all(cont, intm.filter(long)), intm.filter(~long)
+    return df.filter((table == "cont") | ((table == "intm") & long)), df.filter((table == "intm") & ~long)
 
 
 def finish(df: DataFrame, groups: DataFrame, zone: Zone) -> DataFrame:
@@ -189,7 +188,9 @@ def dedup_actions(points: DataFrame, rules: DataFrame | None = None) -> DataFram
     """One row per instant: the rule for the joined action names picks display name and dose row."""
     rules = action_rules(points) if rules is None else rules
     rules = rules.select("mar_action_names", "mar_action_name_to_display", "mar_action_name_w_correct_dose")
-    df = window_string_agg(points, [*ORDER_KEYS, "admin_dttm"], "_mar_action_name", "mar_action_names")
+    df = window_string_agg(
+        points, [*ORDER_KEYS, "admin_dttm"], "_mar_action_name", "mar_action_names", shared_exchange=True
+    )
     df = df.join(rules, "mar_action_names", "left")
     keep = F.col("mar_action_name_w_correct_dose")
     df = df.filter(keep.isNull() | (keep == F.col("_mar_action_name")))
