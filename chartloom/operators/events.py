@@ -74,7 +74,8 @@ def fetch_events(
     its own pushed-down item filter and tables without items are not read.
     """
     wanted = sorted(set(items))
-    routed = dictionary.filter(F.col(item).isin(wanted)).select(links, item).distinct().take(len(wanted) * 8 + 1)
+    # bounded by the wanted items times the event tables
+    routed = dictionary.filter(F.col(item).isin(wanted)).select(links, item).distinct().collect()
     by_table: dict[str, list] = {}
     for row in routed:
         by_table.setdefault(row[0], []).append(row[1])

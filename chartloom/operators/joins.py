@@ -188,9 +188,16 @@ def semi_join_cohort(df: DataFrame, cohort: DataFrame, on: str) -> DataFrame:
 
 
 def right_join_cohort(df: DataFrame, cohort: DataFrame, left_id: str, cohort_id: str) -> DataFrame:
-    """Every id of an external list, with the matching rows where there are any."""
-    ids = cohort.select(F.col(cohort_id).alias("__cohort_id"))
-    return df.join(ids, F.col(left_id) == F.col("__cohort_id"), "right").withColumnRenamed("__cohort_id", cohort_id)
+    """Every id of an external list, with the matching rows where there are any.
+
+    Written as matches plus unmatched ids: a RIGHT JOIN would have to shuffle the large side even
+    for a short list, and could not split a hot id.
+    """
+    ids = cohort.select(F.col(cohort_id).alias("__id"))
+    matched = df.join(ids, F.col(left_id) == F.col("__id"))
+    seen = df.select(F.col(left_id).alias("__id")).join(ids, "__id", "left_semi").distinct()
+    unmatched = ids.join(seen, "__id", "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True).withColumnRenamed("__id", cohort_id)
 
 
 def replicate(df: DataFrame, suffixes: Sequence[str], id_cols: Sequence[str]) -> DataFrame:

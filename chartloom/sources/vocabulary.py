@@ -21,22 +21,22 @@ def read_mapping(
     """Read a vocabulary CSV as text, with ``_ordinal`` giving the row order.
 
     ``columns`` keeps the columns whose name contains a match of the regex; ``types`` casts some
-    columns; ``strip_prefix`` removes a regex prefix from column names. Repeated column names
+    columns (by their name in the file); ``strip_prefix`` removes a regex prefix from column names. Repeated column names
     get a position suffix (Spark's default), so spreadsheet leftovers are harmless.
     """
     df = (
         spark.read.option("header", True).option("escape", '"').option("multiLine", True)
         .option("encoding", "UTF-8").csv(path)
     )
-    df = df.toDF(*[c.lstrip("﻿") for c in df.columns])
+    df = df.toDF(*[c.lstrip("\ufeff") for c in df.columns])
     keep = [c for c in df.columns if columns is None or re.search(columns, c)]
     out = df.select(*[F.col(f"`{c}`") for c in keep], F.monotonically_increasing_id().alias("_ordinal"))
-    if strip_prefix:
-        out = out.toDF(*[re.sub(strip_prefix, "", c) for c in out.columns])
     for c, t in (types or {}).items():
         # ids written as "123.0" by spreadsheets go through decimal, never double
         cast = F.col(c).try_cast("decimal(38,10)").cast(t) if t in ("int", "bigint", "long") else F.col(c).try_cast(t)
         out = out.withColumn(c, cast)
+    if strip_prefix:
+        out = out.toDF(*[re.sub(strip_prefix, "", c) for c in out.columns])
     return out
 
 
