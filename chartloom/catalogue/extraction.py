@@ -8,7 +8,6 @@ from chartloom.catalogue import shapes
 from chartloom.catalogue.base import Tables, plain, query, with_ctes
 from chartloom.operators import events as ev
 from chartloom.operators import sets
-from chartloom.sources.vocabulary import vocabulary  # noqa: F401  (re-exported for callers)
 
 CHART_SQL = "itemid, label, hadm_id, stay_id, charttime AS time, value, valuenum, valueuom"
 
@@ -23,14 +22,6 @@ def read_source(t: Tables):
     )
 
 
-@query(
-    "read_mapping",
-    "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, CAST(p_retailprice AS VARCHAR) AS p_retailprice FROM part",
-)
-def read_mapping(t: Tables):
-    return ev.select_regex(t.part, "key$|name|price", cast="string")
-
-
 @query(
     "fetch_events_by_table",
     with_ctes(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from chartloom.catalogue import shapes
 from chartloom.catalogue.base import Tables, Vocabulary, query, with_ctes
 from chartloom.operators import joins
+from chartloom.plans import cohort
 
 EXCLUDED = "('NO MAPPING', 'UNSURE', 'MAPPED ELSEWHERE', 'ALREADY MAPPED', 'NOT AVAILABLE')"
 LOOKUP = f"""
@@ -248,6 +249,42 @@ def right_join_cohort(t: Tables):
     return joins.right_join_cohort(t.orders.select("o_orderkey", "o_custkey"), ids, "o_custkey", "c_custkey")
 
 
+VISITS = "SELECT CAST(o_custkey AS STRING) AS patient_id, CAST(o_orderkey AS STRING) AS hospitalization_id FROM orders"
+LISTED = "SELECT CAST(c_custkey AS STRING) AS listed_id FROM customer WHERE c_mktsegment = 'MACHINERY'"
+LINES = "SELECT CAST(l_orderkey AS STRING) AS hospitalization_id, l_linenumber, l_quantity FROM lineitem"
+
+
+@query(
+    "plan_cohort_extract",
+    with_ctes(
+        """SELECT 'lines' AS table_name, COUNT(*) AS n, ROUND(SUM(l_quantity), 1) AS total FROM l WHERE hospitalization_id IN
+          (SELECT hospitalization_id FROM v JOIN c ON patient_id = listed_id)
+        UNION ALL SELECT 'persons', COUNT(*), NULL FROM (SELECT DISTINCT patient_id FROM v) WHERE patient_id IN (SELECT listed_id FROM c)""",
+        v=VISITS, c=LISTED, l=LINES,
+    ),
+)
+def cohort_extract(t: Tables):
+    visits = t.derive(VISITS)
+    ids = cohort.cohort_ids(visits, t.derive(LISTED), "listed_id")
+    parts = cohort.extract({"lines": t.derive(LINES), "persons": visits.select("patient_id").distinct()}, ids)
+    lines = parts["lines"].agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 1).alias("total"))
+    persons = parts["persons"].agg(F.count(F.lit(1)).alias("n"), F.lit(None).cast("double").alias("total"))
+    return lines.select(F.lit("lines").alias("table_name"), "n", "total").unionByName(
+        persons.select(F.lit("persons").alias("table_name"), "n", "total")
+    )
+
+
+@query(
+    "plan_scale_up",
+    with_ctes(
+        "SELECT patient_id || s.x AS patient_id, hospitalization_id || s.x AS hospitalization_id FROM v CROSS JOIN (SELECT unnest(['A', 'B', 'C']) AS x) s",
+        v=VISITS,
+    ),
+)
+def scale_up(t: Tables):
+    return cohort.scale_up({"hospitalization": t.derive(VISITS)}, copies=3)["hospitalization"]
+
+
 @query(
     "cross_join_replicate",
     """SELECT CAST(o_orderkey AS VARCHAR) || s.x AS o_orderkey, CAST(o_custkey AS VARCHAR) || s.x AS o_custkey, o_totalprice

@@ -100,7 +100,7 @@ LAB_ITEMS = "SELECT p_size AS itemid, MIN(p_name) AS label, MIN(p_type) AS fluid
 @query(
     "lab_item_stats",
     with_ctes(
-        """SELECT itemid, label, fluid, category, COUNT(*) AS n, 'min: ' || ROUND(MIN(valuenum), 1) || '; mean: ' || ROUND(AVG(valuenum), 1)
+        """SELECT itemid, label, '' AS abbreviation, fluid, category, COUNT(*) AS n, 'min: ' || ROUND(MIN(valuenum), 1) || '; mean: ' || ROUND(AVG(valuenum), 1)
         || '; median: ' || ROUND(MEDIAN(valuenum), 1) || '; max: ' || ROUND(MAX(valuenum), 1) AS value_instances,
         ANY_VALUE(valueuom_instances) AS uom_instances
         FROM l JOIN d USING (itemid) JOIN b USING (itemid) WHERE contains(lower(label), 'blue') GROUP BY itemid, label, fluid, category""",
@@ -159,6 +159,16 @@ def count_distinct_having(t: Tables):
     return pf.inconsistent_entities(t.orders, "o_custkey", ["o_orderstatus", "o_orderpriority"])
 
 
+@query(
+    "count_distinct_summary",
+    """SELECT COUNT(*) AS n_entities, COUNT(*) FILTER (WHERE s > 1) AS n_o_orderstatus, COUNT(*) FILTER (WHERE p > 1) AS n_o_orderpriority,
+    ROUND(COUNT(*) FILTER (WHERE s > 1) / COUNT(*), 4) AS share_o_orderstatus, ROUND(COUNT(*) FILTER (WHERE p > 1) / COUNT(*), 4) AS share_o_orderpriority
+    FROM (SELECT o_custkey, COUNT(DISTINCT o_orderstatus) AS s, COUNT(DISTINCT o_orderpriority) AS p FROM orders GROUP BY o_custkey)""",
+)
+def count_distinct_summary(t: Tables):
+    return pf.inconsistency_summary(t.orders, "o_custkey", ["o_orderstatus", "o_orderpriority"])
+
+
 NET = """
 SELECT user_id, date_trunc('day', ts) AS day, CAST(MAX(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS INT) AS has_in,
   CAST(MAX(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS INT) AS has_out,

@@ -10,6 +10,7 @@ from chartloom.plans.build import Inputs, build_tables
 from chartloom.session import shared_folder
 from chartloom.sources.catalog import Catalog, csv_to_parquet, csv_to_parquet_many, read_source
 from chartloom.sources.outputs import OutputStore, read_output, write_output
+from chartloom.sources.vocabulary import read_mapping
 
 CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 SUPPLIER = "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"
@@ -50,6 +51,17 @@ def convert_many(t: Tables):
     return parts[0].unionByName(parts[1])
 
 
+@query(
+    "read_mapping",
+    "SELECT CAST(p_partkey AS INT) AS partkey, p_name AS name, CAST(p_retailprice AS VARCHAR) AS retailprice FROM part",
+)
+def mapping_file(t: Tables):
+    path = shared_folder(t.spark, "mapping")
+    t.part.write.option("header", True).csv(path)
+    out = read_mapping(t.spark, path, columns="key$|name|price", types={"p_partkey": "int"}, strip_prefix="^p_")
+    return out.drop("_ordinal")
+
+
 @query("write_read_output", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
 def outputs(t: Tables):
     store = OutputStore(shared_folder(t.spark, "outputs"))

@@ -185,7 +185,10 @@ def lab_item_stats(labs: DataFrame, dictionary: DataFrame, keep: Column, item: s
         part for label, c in (("min: ", "lo"), ("; mean: ", "mean"), ("; median: ", "median"), ("; max: ", "hi"))
         for part in (F.lit(label), F.round(F.col(c), 1).cast("string"))
     ])
-    return base.select(item, "label", "fluid", "category", "n", value.alias("value_instances"), "uom_instances")
+    return base.select(
+        item, "label", F.lit("").alias("abbreviation"), "fluid", "category", "n", value.alias("value_instances"),
+        "uom_instances",
+    )
 
 
 def most_frequent(
@@ -223,6 +226,17 @@ def inconsistent_entities(df: DataFrame, entity: str, cols: Sequence[str]) -> Da
     return counts.filter(keep)
 
 
+def inconsistency_summary(df: DataFrame, entity: str, cols: Sequence[str]) -> DataFrame:
+    """One row: entities in total, and per column how many (and what share) have several values."""
+    per_entity = df.groupBy(entity).agg(*[F.countDistinct(c).alias(c) for c in cols])
+    total = F.count(entity)
+    many = {c: F.count(F.when(F.col(entity).isNotNull() & (F.col(c) > 1), 1)) for c in cols}
+    return per_entity.agg(
+        total.alias("n_entities"), *[n.alias(f"n_{c}") for c, n in many.items()],
+        *[F.round(n / total, 4).alias(f"share_{c}") for c, n in many.items()],
+    )
+
+
 def net_volume(df: DataFrame, keys: Sequence[str], is_in: Column, is_out: Column, volume: str) -> DataFrame:
     """Per key: which directions occur, their volumes, and the signed net (in counts negative)."""
     v = F.col(volume)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chartloom.functions.numeric import impute_rate
 from chartloom.functions.text import join_present, normalise_whitespace
-from chartloom.functions.time import Zone, duration_minutes, lasts_exactly
+from chartloom.functions.time import Zone, duration_minutes
 from chartloom.operators import scans
 from chartloom.operators.events import fetch_events, relevant_items, select_replace, vocabulary_values
 from chartloom.operators.joins import left_join_filtered_dim, two_step_null_safe_lookup
@@ -85,14 +85,8 @@ def augmented(events: DataFrame, mapping: DataFrame) -> DataFrame:
     kind = F.col("_item_class")
     df = df.select(
         "subject_id", "hadm_id", "starttime", "endtime", "linkorderid", "statusdescription", "med_category", "rate",
-        "rateuom", "amount", "amountuom", "itemid", "label", "med_route_name", "med_route_category", "_item_class",
+        "rateuom", "amount", "amountuom", "itemid", "label", "med_route_name", "med_route_category",
         duration_minutes("starttime", "endtime").alias("_duration_in_mins"),
-        lasts_exactly("starttime", "endtime").alias("_last_1min"),
-        F.when(F.col("ordercategoryname") == BOLUS_ORDER, 1).otherwise(0).alias("_intm_by_ordercategoryname"),
-        F.when(F.col("ordercategorydescription").isin(BOLUS_DESCRIPTIONS), 1).otherwise(0).alias(
-            "_intm_by_ordercategorydescription"
-        ),
-        F.when(F.col("statusdescription") == BOLUS, 1).otherwise(0).alias("_intm_by_statusdescription"),
         F.when((kind == "INTERMITTENT") | ((kind == "BOTH") & bolus), "intm")
         .when((kind == "CONTINUOUS") | ((kind == "BOTH") & ~bolus), "cont")
         .alias("_to_table"),
