@@ -53,7 +53,7 @@ def query(name: str, sql: str | None = None):
     def register(fn: Callable[[Tables], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = Query(fn, sql)
+        QUERIES[name] = Query(lambda t: plain(fn(t)), sql)
         return fn
 
     return register

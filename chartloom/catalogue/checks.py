@@ -117,7 +117,7 @@ def check_row_count_preserved(t: Tables):
 
 @query(
     "check_row_count_preserved_lookup",
-    f"{rep('row_count_preserved', '*', 'NULL', 'CAST(0 AS BIGINT)')} FROM events WHERE FALSE",
+    f"{rep('row_count_preserved', '*', n='CAST(0 AS BIGINT)')} FROM events WHERE FALSE",
 )
 def check_row_count_preserved_lookup(t: Tables):
     lookup = value_map(shapes.TYPE_MAP.df(t), "event_type", "category")

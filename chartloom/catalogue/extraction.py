@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chartloom.catalogue import shapes
-from chartloom.catalogue.base import Tables, plain, query, with_ctes
+from chartloom.catalogue.base import Tables, query, with_ctes
 from chartloom.operators import events as ev
 from chartloom.operators import sets
 
@@ -158,7 +158,7 @@ def rename_reorder(t: Tables):
 )
 def sort_events(t: Tables):
     chart = t.derive(shapes.CHART).select("event_id", "hadm_id", "charttime", "storetime")
-    return plain(ev.sort_events(chart, extra=["event_id"]))
+    return ev.sort_events(chart, extra=["event_id"])
 
 
 @query("select_regex", "SELECT o_orderkey, o_orderstatus, o_orderdate, o_orderpriority FROM orders")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chartloom.catalogue.base import Tables, plain, query, with_ctes
+from chartloom.catalogue.base import Tables, query, with_ctes
 from chartloom.operators import reshape as rs
 from chartloom.operators import windows as wn
 
@@ -241,7 +241,7 @@ HARMONISED = "SELECT user_id AS hospitalization_id, date_trunc('hour', ts) AS re
     ),
 )
 def check_duplicates(t: Tables):
-    return plain(wn.check_duplicates(t.derive(HARMONISED), ["category"]))
+    return wn.check_duplicates(t.derive(HARMONISED), ["category"])
 
 
 ONE_PER_CELL = "SELECT user_id, date_trunc('day', ts) AS day, event_type, MAX(value) AS v, MIN(event_id) AS first_id FROM events GROUP BY 1, 2, 3"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chartloom.catalogue.base import Tables, plain, query, with_ctes
+from chartloom.catalogue.base import Tables, query, with_ctes
 from chartloom.functions import culture_rules as cr
 from chartloom.functions import numeric as nu
 from chartloom.functions import text as tx
@@ -29,7 +29,7 @@ def utc_sql(t: str) -> str:
 @query("local_to_utc", with_ctes(f"SELECT o_orderkey, wall, {utc_sql('wall')} AS utc FROM c", c=CLOCK))
 def local_to_utc(t: Tables):
     df = t.derive(CLOCK)
-    return plain(df.select("o_orderkey", "wall", tm.local_to_utc("wall").alias("utc")))
+    return df.select("o_orderkey", "wall", tm.local_to_utc("wall").alias("utc"))
 
 
 @query(
@@ -38,7 +38,7 @@ def local_to_utc(t: Tables):
 )
 def local_to_utc_fixed(t: Tables):
     df = t.derive(CLOCK)
-    return plain(df.select("o_orderkey", "far", tm.local_to_utc("far", dst_after_2037=False).alias("utc")))
+    return df.select("o_orderkey", "far", tm.local_to_utc("far", dst_after_2037=False).alias("utc"))
 
 
 @query(
@@ -144,10 +144,10 @@ def parse_text_number(t: Tables):
 )
 def regex_extract_number(t: Tables):
     code = F.concat(F.lit("P"), (F.col("event_id") % 10).cast("string"))
-    return plain(t.events.select(
+    return t.events.select(
         "event_id", tx.extract_number("props", dtype="double").alias("setting"),
         tx.extract_number(code, r"\d+").alias("level"),
-    ))
+    )
 
 
 @query("split_part", "SELECT page_id, split_part(url, '://', 2) AS rest, split_part(url, '/', 4) AS first FROM pages")

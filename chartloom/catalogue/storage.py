@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chartloom.catalogue import tables_a as a
-from chartloom.catalogue.base import Tables, plain, query
+from chartloom.catalogue.base import Tables, query
 from chartloom.plans.build import Inputs, build_tables
 from chartloom.session import shared_folder
 from chartloom.sources.catalog import Catalog, csv_to_parquet, csv_to_parquet_many, read_source
@@ -91,4 +91,4 @@ def build(t: Tables):
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return plain(out)
+    return out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chartloom.catalogue.base import Tables, Vocabulary, plain, query, with_ctes
+from chartloom.catalogue.base import Tables, Vocabulary, query, with_ctes
 from chartloom.catalogue.scalars import CODES, utc_sql
 from chartloom.plans import codes, encounters, fluids, measurements
 
@@ -49,12 +49,12 @@ def fluid_sql(kind: str, items: Vocabulary) -> str:
 
 @query("plan_output", fluid_sql("output", OUTPUT_ITEMS))
 def plan_output(t: Tables):
-    return plain(fluids.fluid_events(t.derive(FLUID_EVENTS), OUTPUT_ITEMS.df(t), "output"))
+    return fluids.fluid_events(t.derive(FLUID_EVENTS), OUTPUT_ITEMS.df(t), "output")
 
 
 @query("plan_input", fluid_sql("input", INPUT_ITEMS))
 def plan_input(t: Tables):
-    return plain(fluids.fluid_events(t.derive(FLUID_EVENTS), INPUT_ITEMS.df(t), "input"))
+    return fluids.fluid_events(t.derive(FLUID_EVENTS), INPUT_ITEMS.df(t), "input")
 
 
 CHARTED = f"""
@@ -79,7 +79,7 @@ ADMITTED = "SELECT c_custkey AS hadm_id, c_custkey % 100 AS subject_id FROM cust
     ),
 )
 def plan_position(t: Tables):
-    return plain(fluids.position({"chartevents": t.derive(CHARTED)}, CHART_ITEMS.df(t)))
+    return fluids.position({"chartevents": t.derive(CHARTED)}, CHART_ITEMS.df(t))
 
 
 @query(
@@ -93,7 +93,7 @@ def plan_position(t: Tables):
     ),
 )
 def plan_code_status(t: Tables):
-    return plain(encounters.code_status({"chartevents": t.derive(CHARTED)}, CHART_ITEMS.df(t), t.derive(ADMITTED)))
+    return encounters.code_status({"chartevents": t.derive(CHARTED)}, CHART_ITEMS.df(t), t.derive(ADMITTED))
 
 
 CRRT_ITEMS = Vocabulary(
@@ -134,7 +134,7 @@ def _cell(item: int, cast: bool = True) -> str:
 def plan_crrt_therapy(t: Tables):
     items = CRRT_ITEMS.df(t)
     dictionary = items.select("itemid", "label", "linksto")
-    return plain(fluids.crrt_therapy({"chartevents": t.derive(CRRT_EVENTS)}, dictionary, items))
+    return fluids.crrt_therapy({"chartevents": t.derive(CRRT_EVENTS)}, dictionary, items)
 
 
 # ---- codes --------------------------------------------------------------------------------
@@ -171,7 +171,7 @@ HCPCS = f"SELECT user_id AS hadm_id, code AS hcpcs_cd, date_trunc('day', {AT}) A
     ),
 )
 def plan_patient_procedures(t: Tables):
-    return plain(codes.patient_procedures(t.derive(DIAGNOSES), t.derive(HCPCS)))
+    return codes.patient_procedures(t.derive(DIAGNOSES), t.derive(HCPCS))
 
 
 # ---- encounters ---------------------------------------------------------------------------
@@ -197,7 +197,7 @@ CARE_UNITS = Vocabulary(
     ),
 )
 def plan_adt(t: Tables):
-    return plain(encounters.adt(t.derive(TRANSFERS), CARE_UNITS.df(t), "site-1"))
+    return encounters.adt(t.derive(TRANSFERS), CARE_UNITS.df(t), "site-1")
 
 
 ADMISSIONS = """
@@ -241,7 +241,7 @@ NULL_COLUMNS = ", ".join(
     ),
 )
 def plan_hospitalization(t: Tables):
-    return plain(encounters.hospitalization(t.derive(ADMISSIONS), t.derive(PATIENTS), DISCHARGES.df(t)))
+    return encounters.hospitalization(t.derive(ADMISSIONS), t.derive(PATIENTS), DISCHARGES.df(t))
 
 
 @query(
@@ -266,7 +266,7 @@ def plan_hospitalization(t: Tables):
     ),
 )
 def plan_patient(t: Tables):
-    return plain(encounters.patient(t.derive(PATIENTS), t.derive(ADMISSIONS), RACES.df(t)))
+    return encounters.patient(t.derive(PATIENTS), t.derive(ADMISSIONS), RACES.df(t))
 
 
 # ---- measurements -------------------------------------------------------------------------
@@ -314,7 +314,7 @@ VITAL_MAP = Vocabulary(
     ),
 )
 def plan_vitals(t: Tables):
-    return plain(measurements.vitals({"chartevents": t.derive(VITAL_EVENTS)}, VITAL_ITEMS.df(t), VITAL_MAP.df(t)))
+    return measurements.vitals({"chartevents": t.derive(VITAL_EVENTS)}, VITAL_ITEMS.df(t), VITAL_MAP.df(t))
 
 
 LAB_EVENTS = """
@@ -366,4 +366,4 @@ _NUMBER = r"TRY_CAST(nullif(regexp_extract(comments, '\d+\.\d+|\d+'), '') AS DOU
     ),
 )
 def plan_labs(t: Tables):
-    return plain(measurements.labs(t.derive(LAB_EVENTS), t.derive(LAB_CHART), LAB_MAP.df(t), LAB_ORDERS.df(t)))
+    return measurements.labs(t.derive(LAB_EVENTS), t.derive(LAB_CHART), LAB_MAP.df(t), LAB_ORDERS.df(t))

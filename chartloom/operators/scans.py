@@ -30,15 +30,15 @@ class Running:
     """One running column. ``kind``: last (non-NULL so far), any, number, or lag."""
 
     kind: str
-    expr: Column | None = None
+    expr: Column | str | None = None
 
 
 def last_so_far(expr: Column | str) -> Running:
-    return Running("last", F.col(expr) if isinstance(expr, str) else expr)
+    return Running("last", expr)
 
 
 def any_so_far(flag: Column | str) -> Running:
-    return Running("any", F.col(flag) if isinstance(flag, str) else flag)
+    return Running("any", flag)
 
 
 def row_number() -> Running:
@@ -46,7 +46,7 @@ def row_number() -> Running:
 
 
 def lag(expr: Column | str) -> Running:
-    return Running("lag", F.col(expr) if isinstance(expr, str) else expr)
+    return Running("lag", expr)
 
 
 def running(
@@ -67,8 +67,11 @@ def running(
     base = base.withColumn("__chunk", F.coalesce(F.floor(seconds), F.lit(-(2**62))))
     place = F.struct(*[F.col(c) for c in order])
 
-    inputs = {f"__in_{name}": run.expr for name, run in columns.items() if run.expr is not None}
+    # named columns are used as they are, other expressions are computed before the shuffle
+    inputs = {f"__in_{name}": run.expr for name, run in columns.items() if isinstance(run.expr, Column)}
+    named = {run.expr for run in columns.values() if isinstance(run.expr, str)}
     base = base.withColumns(inputs) if inputs else base
+    base = base.drop(*[c for c in columns if c in df.columns and c not in {*keys, *order, *named}])
 
     inside = W.partitionBy(*chunk_keys, "__chunk").orderBy(*order)
     so_far = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -76,7 +79,8 @@ def running(
 
     local, summary, carried, final = {}, [], {}, {}
     for name, run in columns.items():
-        here, part, carry, source = f"__here_{name}", f"__part_{name}", f"__carry_{name}", F.col(f"__in_{name}")
+        here, part, carry = f"__here_{name}", f"__part_{name}", f"__carry_{name}"
+        source = F.col(run.expr if isinstance(run.expr, str) else f"__in_{name}")
         if run.kind == "last":
             local[here] = F.last(source, ignorenulls=True).over(so_far)
             summary.append(F.max_by(source, F.when(source.isNotNull(), place)).alias(part))
@@ -103,7 +107,8 @@ def running(
 
     # rows and summaries share one exchange, so the input is computed once
     base, touch = on_one_exchange(base, [*chunk_keys, "__chunk"])
+    uses_all = F.hash(*base.columns) >= -(2**31)  # always true; keeps the columns of both branches equal
     parts = base.groupBy(*chunk_keys, "__chunk").agg(*summary, touch.alias("__touch")).filter(F.col("__touch") >= 0)
     parts = parts.withColumns(carried).select(*chunk_keys, "__chunk", *carried)
-    rows = base.withColumns(local).join(parts, [*chunk_keys, "__chunk"], "left").withColumns(final)
+    rows = base.withColumns(local).filter(uses_all).join(parts, [*chunk_keys, "__chunk"], "left").withColumns(final)
     return rows.select(*[c for c in df.columns if c not in columns], *columns)

@@ -52,13 +52,26 @@ def test_running_matches_brute_force(spark, seed, chunk):
     assert got == want
 
 
-def test_running_shares_one_exchange(spark):
+@pytest.mark.parametrize("wanted", [["id", "n"], ["id", "k", "t", "v", "f", "n"]])
+def test_running_shares_one_exchange(spark, wanted):
+    """Also when later steps need only some of the columns."""
     df = spark.createDataFrame(history(5), SCHEMA)
-    out = scans.running(df, ["k"], ["t", "id"], {"n": scans.row_number()})
+    out = scans.running(df, ["k"], ["t", "id"], {"n": scans.row_number()}).select(*wanted)
     out.collect()
     assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_running_replaces_its_own_input(spark):
+    data = history(6)
+    df = spark.createDataFrame(data, SCHEMA)
+    got = {r["id"]: r["v"] for r in windows.running_last_non_null(df, ["k"], ["t", "id"], "v").collect()}
+    for rows in grouped(data).values():
+        last = None
+        for r in rows:
+            last = r[3] if r[3] is not None else last
+            assert got[r[0]] == last
+
+
 def test_lookback_window_and_null_key(spark):
     data = history(7)
     df = spark.createDataFrame(data, SCHEMA)
