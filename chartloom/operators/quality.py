@@ -28,15 +28,21 @@ def _report(df: DataFrame, table: str, check: str, column: Column | str, value:
 
 
 def check_schema(df: DataFrame, table: str, schema: T.StructType, strict: bool = True) -> DataFrame:
-    """Missing, unexpected and differently typed columns."""
+    """Missing, unexpected and differently typed columns; ``n`` is the number of rows concerned."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema}
     wanted = {f.name: f.dataType.simpleString() for f in schema}
     problems = [("missing", c, t) for c, t in wanted.items() if c not in actual]
     problems += [("type", c, actual[c]) for c, t in wanted.items() if c in actual and actual[c] != t]
     if strict:
         problems += [("unexpected", c, t) for c, t in actual.items() if c not in wanted]
-    rows = [(table, f"schema_{kind}", c, t, 1) for kind, c, t in problems]
-    return df.sparkSession.createDataFrame(rows, "table string, check string, column string, value string, n bigint")
+    found = F.array(*[
+        F.struct(F.lit(f"schema_{kind}").alias("check"), F.lit(c).alias("column"), F.lit(t).alias("value"))
+        for kind, c, t in problems or [("none", "", "")]
+    ])
+    rows = df.agg(F.count(F.lit(1)).alias("n")).select("n", F.explode(found).alias("p"))
+    return rows.select(F.lit(table).alias("table"), "p.check", "p.column", "p.value", "n").filter(
+        F.col("check") != "schema_none"
+    )
 
 
 def check_not_null(df: DataFrame, table: str, cols: Sequence[str]) -> DataFrame:

@@ -148,7 +148,7 @@ def test_failure_cases_collects_everything(spark, rows):
     )
     assert rows(quality.failure_cases(df, "t", rules), "check", "column", "value", "n") == [
         ("isin", "cat", "bad", 1), ("not_null", "id", None, 1), ("range", "fio2", "3.0", 1),
-        ("schema_missing", "gone", "string", 1), ("unique_values_eq", "cat", "bad", 1),
+        ("schema_missing", "gone", "string", 2), ("unique_values_eq", "cat", "bad", 1),
         ("unique_values_eq", "cat", "never", 0),
     ]
 

@@ -159,3 +159,34 @@ def test_build_reports_failures_and_goes_on(spark, tmp_path):
     assert built.schema.fieldNames() == RULES["hospital_diagnosis"].schema.fieldNames()
     report = {(r["check"], r["column"], r["n"]) for r in check_tables({"hospital_diagnosis": built}).collect()}
     assert report == {("not_null", "diagnosis_code_format", 1)}
+
+
+def test_scan_is_pruned_and_filtered(spark, tmp_path):
+    """Only the needed columns are read, and items and presence are filtered at the scan."""
+    from chartloom.plans import fluids
+
+    path = str(tmp_path / "outputevents")
+    spark.createDataFrame(
+        [(1, at(1), 10, 5.0, "mL", "note"), (1, at(2), 11, None, "mL", "note"), (None, at(3), 10, 5.0, "mL", "note")],
+        "hadm_id int, charttime timestamp_ntz, itemid int, value double, valueuom string, note string",
+    ).write.parquet(path)
+    mapping = vocabulary(spark, "itemid int, label string, output_category string, output_group string, decision string", [
+        (10, "a", "x", "g", "TO MAP"), (11, "b", "y", "g", "TO MAP"), (12, "c", "z", "g", "NO MAPPING"),
+    ])
+    out = fluids.fluid_events(spark.read.parquet(path), mapping, "output")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == 1
+    assert "ReadSchema: struct<hadm_id:int,charttime:timestamp_ntz,itemid:int,value:double>" in plan
+    assert "In(itemid, [10,11])" in plan and "IsNotNull(hadm_id)" in plan and "IsNotNull(value)" in plan
+    assert "BroadcastHashJoin" in plan
+
+
+def test_one_shuffle_per_label_table(spark):
+    """Encounter look-ups never shuffle the event side."""
+    transfers = spark.range(100).select(
+        F.col("id").alias("subject_id"), F.col("id").alias("hadm_id"), F.lit("Ward").alias("careunit"),
+        F.current_timestamp().alias("intime"), F.current_timestamp().alias("outtime"),
+    ).repartition(3)
+    units = vocabulary(spark, "careunit string, location_category string, location_type string", [("Ward", "ward", None)])
+    plan = encounters.adt(transfers, units, "s")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
