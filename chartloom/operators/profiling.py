@@ -99,12 +99,25 @@ def item_stats_uom_breakdown(
     ``non_empty`` names another column whose value must not be empty instead of the column's own,
     e.g. ``{"amountuom": "rateuom"}``.
     """
-    out = df.select(*keys).distinct()
-    for col in cols:
+    def cell(col: str) -> Column:
         other = (non_empty or {}).get(col, col)
         keep = F.col(col).isNotNull() & (F.col(other) != "")
-        out = null_safe_join(out, breakdown(df, keys, col, f"{col}_instances", keep), keys, "left")
-    return out
+        return F.when(keep, F.struct(F.lit(col).alias("c"), F.col(col).cast("string").alias("v")))
+
+    # all columns are counted in one pass; the empty cell keeps items without any value
+    empty = F.struct(F.lit("").alias("c"), F.lit("").alias("v"))
+    cells = df.select(*keys, F.explode(F.array_compact(F.array(empty, *[cell(c) for c in cols]))).alias("__cell"))
+    counts = cells.groupBy(*keys, F.col("__cell.c").alias("__c"), F.col("__cell.v").alias("__v")).agg(
+        F.count(F.lit(1)).alias("__n")
+    )
+
+    def text(col: str) -> Column:
+        pair = F.struct((-F.col("__n")).alias("m"), F.col("__v").alias("v"))
+        pairs = F.sort_array(F.collect_list(F.when(F.col("__c") == col, pair)))
+        parts = F.transform(pairs, lambda p: F.concat(p["v"], F.lit(": "), (-p["m"]).cast("string")))
+        return F.when(F.size(pairs) > 0, F.array_join(parts, ", ")).alias(f"{col}_instances")
+
+    return counts.groupBy(*keys).agg(*[text(c) for c in cols])
 
 
 # Columns broken down per event table.

@@ -151,3 +151,20 @@ def test_window_string_agg_variants_agree(spark, rows):
 def test_find_duplicates_null_keys(spark, rows):
     df = spark.createDataFrame([(1, None), (2, None), (3, "x")], "id int, k string")
     assert rows(windows.find_duplicates(df, ["k"]), "id") == [(1,), (2,)]
+
+
+def test_hot_key_is_spread_over_tasks(spark):
+    """One key with all rows: the running window is computed in many partitions."""
+    df = spark.range(20_000).select(
+        F.lit("hot").alias("k"), "id",
+        (F.lit(T0).cast("timestamp_ntz") + F.col("id") * F.expr("INTERVAL '5' MINUTE")).alias("t"),
+    )
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        out = scans.running(df, ["k"], ["t", "id"], {"n": scans.row_number()})
+        sizes = [r["c"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("c")).collect()]
+        assert out.filter("n <> id + 1").count() == 0
+    finally:
+        spark.conf.set(setting, "true")
+    assert sum(sizes) == 20_000 and len(sizes) >= 6 and max(sizes) < 20_000 / 3
