@@ -13,6 +13,8 @@ from pyspark.sql import SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
+    # wall-clock parquet columns as timestamps of the UTC session: same values, no per-row conversion
+    "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
