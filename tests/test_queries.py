@@ -8,11 +8,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from chartloom.catalogue import QUERIES as CATALOGUE
 from chartloom.catalogue.base import TABLES
 from tools.check import rows_of
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+RUNS, ALL_SQL = entry.queries(), entry.oracle_sql()
+QUERIES = {name: RUNS[name] for name in CATALOGUE}
+SQL = {name: sql for name, sql in ALL_SQL.items() if name in CATALOGUE}
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no benchmark tables")
 
 
