@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.llm import exact_dedup, language_id, mixing, ngram_join, packing
+from chartloom.llm import exact_dedup, fingerprints, hmm_lm, language_id, licenses, mixing, ngram_join, packing, pii, substring_dedup
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_SQL: dict[str, str] = {}
@@ -48,6 +48,13 @@ def op1(docs: DataFrame) -> DataFrame:
     )
 
 
+@query("op2_hmm_lm")
+def op2(docs: DataFrame) -> DataFrame:
+    return hmm_lm.lm_scores(docs, remainder(7) != 2).select(
+        F.col("id").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @query("op3_language_id")
 def op3(docs: DataFrame) -> DataFrame:
     held_out = remainder(3) == 1
@@ -76,6 +83,40 @@ def op4(docs: DataFrame) -> DataFrame:
     return mixing.mix(docs).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+@query("op5_substring_dedup", f"""
+WITH w AS (SELECT doc_id, {WORDS} AS w FROM documents),
+s AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM w WHERE len(w) >= 20)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS k FROM s) WHERE k > 1),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM r),
+p AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM w),
+k AS (SELECT p.doc_id, count(c.i) AS n_removed, string_agg(p.word, ' ' ORDER BY p.i) FILTER (WHERE c.i IS NULL) AS kept
+      FROM p LEFT JOIN c ON c.doc_id = p.doc_id AND c.i = p.i GROUP BY p.doc_id)
+SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM w LEFT JOIN k ON k.doc_id = w.doc_id
+""")
+def op5(docs: DataFrame) -> DataFrame:
+    return substring_dedup.without_repeats(docs).select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+@query("op6_pii")
+def op6(docs: DataFrame) -> DataFrame:
+    return pii.pii_spans(docs).select(
+        F.col("id").alias("doc_id"), *(f"n_{k}" for k in pii.KINDS), F.sha2("base", 256).alias("base_sha256"), "spans"
+    )
+
+
+@query("op7_licenses")
+def op7(docs: DataFrame) -> DataFrame:
+    return licenses.licenses(docs).withColumnRenamed("id", "doc_id")
+
+
+@query("op8_fingerprints")
+def op8(docs: DataFrame) -> DataFrame:
+    return fingerprints.with_next(docs).withColumnRenamed("id", "doc_id")
+
+
 @query("op9_ngram_join", f"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 g AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 2], ' ') END AS g
