@@ -6,6 +6,7 @@ accept, to shape those tables like event tables; the operator's own SQL is writt
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -34,8 +35,9 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def derive(self, select: str) -> DataFrame:
+        words = set(re.findall(r"\w+", select))
         for name in TABLES:
-            if name in select:
+            if name in words:
                 getattr(self, name).createOrReplaceTempView(name)
         return self.spark.sql(select)
 

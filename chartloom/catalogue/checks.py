@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartloom.catalogue import shapes
@@ -32,7 +36,7 @@ SCHEMA_SQL = " UNION ALL ".join(
 
 @query("check_schema", SCHEMA_SQL)
 def check_schema(t: Tables):
-    return q.check_schema(t.derive(DIRTY), "x", SCHEMA)
+    return q.check_schema(t.derive(DIRTY), "x", SCHEMA, count=True)
 
 
 NOT_NULL_SQL = " UNION ALL ".join(
@@ -113,11 +117,14 @@ def check_row_count_preserved(t: Tables):
 
 @query(
     "check_row_count_preserved_lookup",
-    f"{rep('row_count_preserved', '*', n='CAST(0 AS BIGINT)')} FROM events WHERE FALSE",
+    """SELECT 'before' AS step, COUNT(*) AS n FROM events UNION ALL SELECT 'after', COUNT(*) FROM events UNION ALL SELECT 'violations', 0""",
 )
 def check_row_count_preserved_lookup(t: Tables):
     lookup = value_map(shapes.TYPE_MAP.df(t), "event_type", "category")
-    return q.check_row_count_preserved(t.events, dict_map(t.events, lookup, "event_type", "category"), "x")
+    after = dict_map(t.events, lookup, "event_type", "category")
+    steps = {"before": t.events, "after": after, "violations": q.check_row_count_preserved(t.events, after, "x")}
+    counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(step).alias("step"), "n") for step, df in steps.items()]
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query(
@@ -143,7 +150,7 @@ FAIL_RULES = q.TableRules(
 )
 
 
-@query("failure_cases", with_ctes(" UNION ALL ".join([SCHEMA_SQL, NOT_NULL_SQL, ISIN_SQL, EQ_SQL]), d=DIRTY))
+@query("failure_cases", with_ctes(" UNION ALL ".join([f"SELECT * REPLACE (NULL AS n) FROM ({SCHEMA_SQL})", NOT_NULL_SQL, ISIN_SQL, EQ_SQL]), d=DIRTY))
 def failure_cases(t: Tables):
     return q.failure_cases(t.derive(DIRTY), "x", FAIL_RULES)
 

@@ -8,6 +8,9 @@ from chartloom.catalogue import shapes
 from chartloom.catalogue.base import Tables, query, with_ctes
 from chartloom.operators import events as ev
 from chartloom.operators import sets
+from chartloom.session import shared_folder
+from chartloom.sources import catalog as sources
+from chartloom.sources.catalog import Catalog
 
 CHART_SQL = "itemid, label, hadm_id, stay_id, charttime AS time, value, valuenum, valueuom"
 
@@ -17,7 +20,9 @@ CHART_SQL = "itemid, label, hadm_id, stay_id, charttime AS time, value, valuenum
     "SELECT l_returnflag, COUNT(*) AS n, COUNT(DISTINCT l_orderkey) AS orders FROM lineitem GROUP BY l_returnflag",
 )
 def read_source(t: Tables):
-    return t.lineitem.groupBy("l_returnflag").agg(
+    catalog = Catalog(parquet_dir=shared_folder(t.spark, "source"))
+    t.lineitem.write.parquet(catalog.path(t.spark, "labevents"))
+    return sources.read_source(t.spark, catalog, "labevents").groupBy("l_returnflag").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("l_orderkey").alias("orders")
     )
 
@@ -134,6 +139,19 @@ def guarded_sentinel_drop(t: Tables):
     return ev.guarded_sentinel_drop(t.derive(GUARDED), 220002)
 
 
+@query(
+    "sentinel_violations",
+    with_ctes(
+        """SELECT 'other item' AS violation, itemid, count(*) AS n FROM g
+        WHERE value = 'None' AND itemid IS DISTINCT FROM 220001 GROUP BY itemid
+        UNION ALL SELECT 'no row of the item', 220001, 0 WHERE NOT EXISTS (SELECT 1 FROM g WHERE value = 'None' AND itemid = 220001)""",
+        g=GUARDED,
+    ),
+)
+def sentinel_violations(t: Tables):
+    return ev.sentinel_violations(t.derive(GUARDED), 220001)
+
+
 @query(
     "rename_reorder",
     with_ctes(
@@ -205,11 +223,11 @@ def item_search(t: Tables):
 
 @query(
     "item_search_no_match",
-    with_ctes("SELECT 'zzz' AS kw, d.label, CAST(NULL AS BIGINT) AS count FROM (SELECT 1) LEFT JOIN d ON d.label LIKE '%zzz%'",
-              d=shapes.ITEMS.sql),
+    "SELECT 'zzz' AS kw, p_name AS label, CAST(NULL AS BIGINT) AS count FROM (SELECT 1) LEFT JOIN part ON contains(p_name, 'zzz')",
 )
 def item_search_no_match(t: Tables):
-    out = ev.item_search({"chartevents": t.derive(shapes.CHART)}, shapes.ITEMS.df(t), "zzz", case_sensitive=True)
+    parts = t.part.select(F.col("p_partkey").cast("int").alias("itemid"), F.col("p_name").alias("label"), F.lit("chartevents").alias("linksto"), F.lit("Numeric").alias("param_type"))
+    out = ev.item_search({"chartevents": t.derive(shapes.CHART)}, parts, "zzz", case_sensitive=True)
     return out.select("kw", "label", "count")
 
 

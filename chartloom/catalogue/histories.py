@@ -50,8 +50,10 @@ def distinct_on(t: Tables):
     )
 
 
-LEFT_TIMES = "SELECT user_id AS id, CASE WHEN event_type = 'error' THEN ts END AS deathtime FROM events WHERE user_id % 3 > 0"
-RIGHT_TIMES = "SELECT user_id AS id, CASE WHEN event_type = 'signup' AND user_id % 5 > 0 THEN ts END AS dod FROM events WHERE user_id % 4 > 0"
+# ids of some users are shifted on one side, so that both sides have ids of their own
+LEFT_TIMES = "SELECT CASE WHEN user_id % 3 > 0 THEN user_id ELSE -user_id END AS id, CASE WHEN event_type = 'error' THEN ts END AS deathtime FROM events"
+RIGHT_TIMES = """SELECT CASE WHEN user_id % 4 > 0 THEN user_id ELSE user_id + 1000000 END AS id,
+  CASE WHEN event_type = 'signup' AND user_id % 5 > 0 THEN ts END AS dod FROM events"""
 
 
 @query(

@@ -47,7 +47,8 @@ def dict_map_default(t: Tables):
     return joins.dict_map_default(t.derive(NULLED), _lookup(t), "kind", "category", "Unknown")
 
 
-PADDED = "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN ' ' || event_type ELSE event_type || '  ' END AS kind FROM events WHERE event_type <> 'signup'"
+PADDED = """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN ' ' || kind ELSE kind || '  ' END AS kind FROM (
+SELECT event_id, CASE event_type WHEN 'signup' THEN 'view' ELSE event_type END AS kind FROM events) e"""
 
 
 @query(
@@ -157,11 +158,14 @@ def full_outer_coalesce(t: Tables):
     return both.withColumn("grade", F.when(top.isNull(), "none").when(top > 50, "high").otherwise("low"))
 
 
-def _per_user(kind: str, value: str) -> str:
-    return f"SELECT user_id, {value} AS {kind}_v FROM events WHERE event_type = '{kind}' AND value > 70 GROUP BY user_id"
+KINDS = {"view": "COUNT(*)", "click": "MAX(value)", "purchase": "MIN(value)", "signup": "MAX(event_type)"}
 
 
-KINDS = {"view": "COUNT(*)", "click": "MAX(value)", "purchase": "MIN(value)", "signup": "MAX(event_type)"}
+def _per_user(kind: str, value: str) -> str:
+    # every second kind has even keys only, so that each side has keys without a partner
+    key = f"user_id * {1 + list(KINDS).index(kind) % 2}"
+    return f"SELECT {key} AS user_id, {value} AS {kind}_v FROM events WHERE event_type = '{kind}' GROUP BY {key}"
+
 
 
 @query(

@@ -307,7 +307,8 @@ def version_delta(t: Tables):
 
 
 RAW = "SELECT event_type AS category, CASE WHEN event_id % 7 = 0 THEN NULL ELSE ROUND(value / 10, 0) END AS v FROM events"
-FILLED = "SELECT event_type AS category, CASE WHEN event_id % 21 = 0 THEN NULL ELSE ROUND(value / 10, 0) END AS v FROM events WHERE event_type <> 'error'"
+FILLED = """SELECT CASE event_type WHEN 'error' THEN 'fault' ELSE event_type END AS category,
+  CASE WHEN event_id % 21 = 0 THEN NULL ELSE ROUND(value / 10, 0) END AS v FROM events"""
 
 
 @query(

@@ -87,14 +87,15 @@ def lb_to_kg(t: Tables):
 @query(
     "unit_convert",
     """SELECT event_id, event_type, CASE WHEN event_type = 'click' THEN value * 88.4 ELSE value END AS number,
-    CASE WHEN event_type = 'click' THEN NULL ELSE props END AS kept_text FROM events""",
+    CASE WHEN event_type = 'click' THEN NULL ELSE props END AS kept_text, CASE WHEN event_type = 'click' THEN value * 88.4 END AS text_number FROM events""",
 )
 def unit_convert(t: Tables):
     applies = F.col("event_type") == "click"
     number, text = nu.convert_when(applies, F.lit(88.4), "value", F.col("props"))
-    # the converted text is engine-formatted, so only the kept text is compared
+    # the converted text is engine-formatted, so it is compared as the number it reads
     return t.events.select(
-        "event_id", "event_type", number.alias("number"), F.when(~applies, text).alias("kept_text")
+        "event_id", "event_type", number.alias("number"), F.when(~applies, text).alias("kept_text"),
+        F.when(applies, text.cast("double")).alias("text_number"),
     )
 
 
@@ -332,10 +333,12 @@ SELECT event_id, CAST(CASE event_id % 5 WHEN 0 THEN NULL ELSE event_id % 7 END A
 @query(
     "gcs_total",
     with_ctes(
-        """SELECT event_id, CASE WHEN v = 0 THEN 15 WHEN v IS NULL AND pv = 0 THEN 15
-        WHEN pv = 0 THEN COALESCE(m, 6) + COALESCE(v, 5) + COALESCE(e, 4)
-        ELSE COALESCE(m, COALESCE(pm, 6)) + COALESCE(v, COALESCE(pv, 5)) + COALESCE(e, COALESCE(pe, 4)) END AS gcs FROM s""",
+        """SELECT event_id, CASE WHEN bool_or(tubed) THEN 15.0 ELSE sum(coalesce(now, CASE WHEN NOT was_tubed THEN before END, normal)) END AS gcs
+        FROM parts JOIN states USING (event_id) GROUP BY event_id""",
         s=SCORES,
+        # an intubated patient has verbal 0, or no verbal score after a reading that was 0
+        states="SELECT event_id, coalesce(pv, -1) = 0 AS was_tubed, coalesce(v, CASE WHEN pv = 0 THEN 0 ELSE -1 END) = 0 AS tubed FROM s",
+        parts="SELECT event_id, m AS now, pm AS before, 6.0 AS normal FROM s UNION ALL SELECT event_id, v, pv, 5.0 FROM s UNION ALL SELECT event_id, e, pe, 4.0 FROM s",
     ),
 )
 def gcs_total(t: Tables):

@@ -37,16 +37,20 @@ def read_csv(t: Tables):
 
 @query(
     "csv_to_parquet_many",
-    "SELECT 'chartevents' AS table_name, COUNT(*) AS n FROM events UNION ALL SELECT 'patients', COUNT(*) FROM customer",
+    """SELECT 'chartevents' AS table_name, CAST(event_id AS VARCHAR) AS id, event_type AS text, user_id AS number FROM events
+    UNION ALL SELECT 'patients', CAST(c_custkey AS VARCHAR), c_name, c_nationkey FROM customer""",
 )
 def convert_many(t: Tables):
     catalog = _csv_catalog(t, patients=t.customer, chartevents=t.events)
     csv_to_parquet_many(t.spark, catalog, ["patients"])
     # the second call skips what exists and converts the rest
     csv_to_parquet_many(t.spark, catalog, ["patients", "chartevents"])
+    columns = {"patients": ("c_custkey", "c_name", "c_nationkey"), "chartevents": ("event_id", "event_type", "user_id")}
     parts = [
-        read_source(t.spark, catalog, n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("table_name"), "n")
-        for n in ("patients", "chartevents")
+        read_source(t.spark, catalog, n).select(
+            F.lit(n).alias("table_name"), F.col(i).cast("string").alias("id"), F.col(text).alias("text"), F.col(number).cast("bigint").alias("number")
+        )
+        for n, (i, text, number) in columns.items()
     ]
     return parts[0].unionByName(parts[1])
 

@@ -56,10 +56,6 @@ def duration_minutes(start: Column | str, end: Column | str) -> Column:
     return elapsed_micros(start, end) / F.lit(60_000_000.0)
 
 
-def duration_hours(start: Column | str, end: Column | str) -> Column:
-    return elapsed_micros(start, end) / F.lit(3_600_000_000.0)
-
-
 def lasts_exactly(start: Column | str, end: Column | str, minutes: int = 1) -> Column:
     """1 when the interval lasts exactly ``minutes``, else 0."""
     return F.when(elapsed_micros(start, end) == minutes * 60_000_000, 1).otherwise(0)

@@ -7,7 +7,6 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.operators.keys import any_of
 from chartloom.operators.profiling import item_value_stats
 
 # ---- fixed values ----
@@ -18,17 +17,12 @@ PROCEDURE_COLUMNS = ["itemid", "label", "hadm_id", "stay_id", "endtime AS time",
 PROJECTIONS = {"chartevents": CHART_COLUMNS, "procedureevents": PROCEDURE_COLUMNS}
 # ---- end of fixed values ----
 
-VOCABULARY_LIMIT = 100_000
+def vocabulary_values(df: DataFrame, col: str) -> list:
+    """Distinct values of a vocabulary column on the driver, as a list that can be pushed to the scan.
 
-
-def vocabulary_values(df: DataFrame, col: str, limit: int = VOCABULARY_LIMIT) -> list:
-    """Distinct values of a vocabulary column on the driver, so they can be pushed to the scan.
-
-    Only for curated vocabularies; raises rather than truncating when there are too many.
+    For curated vocabularies. An item set that grows with the data stays a DataFrame, which ``only_items`` joins.
     """
-    rows = df.select(col).where(F.col(col).isNotNull()).distinct().take(limit + 1)
-    if len(rows) > limit:
-        raise ValueError(f"{col}: more than {limit} values, not a vocabulary; use a semi join instead")
+    rows = df.select(col).where(F.col(col).isNotNull()).distinct().collect()
     return sorted(r[0] for r in rows)
 
 
@@ -147,11 +141,25 @@ def drop_null_and_sentinel(df: DataFrame, not_null: str, col: str, sentinel: str
 def guarded_sentinel_drop(
     df: DataFrame, expected_item, value: str = "value", item: str = "itemid", sentinel: str = "None"
 ) -> DataFrame:
-    """Drop sentinel rows after checking that they all, and at least one, belong to one item."""
-    seen = df.filter(F.col(value) == sentinel).agg(F.min(item).alias("lo"), F.max(item).alias("hi")).first()
-    if seen["lo"] is None or seen["lo"] != expected_item or seen["hi"] != expected_item:
-        raise ValueError(f"rows with {value}={sentinel!r} must all, and at least once, have {item}={expected_item}")
-    return df.filter(~F.col(value).eqNullSafe(F.lit(sentinel)))
+    """Drop sentinel rows; the job fails on one that belongs to another item than expected.
+
+    The check is part of the filter, so building the plan runs nothing; ``sentinel_violations`` reports what fails.
+    """
+    is_sentinel = F.col(value).eqNullSafe(F.lit(sentinel))
+    stray = F.raise_error(F.lit(f"rows with {value}={sentinel!r} must all have {item}={expected_item}")).cast("boolean")
+    return df.filter(F.when(is_sentinel, F.when(F.col(item).eqNullSafe(F.lit(expected_item)), False).otherwise(stray)).otherwise(True))
+
+
+def sentinel_violations(
+    df: DataFrame, expected_item, value: str = "value", item: str = "itemid", sentinel: str = "None"
+) -> DataFrame:
+    """``violation, itemid, n``: sentinel rows of other items, and the expected item if it has none (n = 0)."""
+    seen = df.filter(F.col(value) == sentinel).groupBy(F.col(item).alias("itemid")).agg(F.count(F.lit(1)).alias("n"))
+    stray = seen.filter(~F.col("itemid").eqNullSafe(F.lit(expected_item))).select(F.lit("other item").alias("violation"), "itemid", "n")
+    kind = df.schema[item].dataType
+    total = seen.agg(F.coalesce(F.sum(F.when(F.col("itemid") == F.lit(expected_item), F.col("n"))), F.lit(0)).cast("long").alias("n"))
+    absent = total.filter("n = 0").select(F.lit("no row of the item").alias("violation"), F.lit(expected_item).cast(kind).alias("itemid"), "n")
+    return stray.unionByName(absent)
 
 
 def rename_reorder(
@@ -223,8 +231,3 @@ def item_search(
     kw = spark.range(1).select(F.lit(keyword).alias("kw"))
     # a one-row left side keeps the keyword when nothing matched
     return kw.join(out.withColumn("kw", F.lit(keyword)), "kw", "left").orderBy(F.col("count").desc_nulls_last())
-
-
-def drop_all_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Keep rows with at least one value among ``cols``."""
-    return df.filter(any_of([F.col(c).isNotNull() for c in cols]))

@@ -208,21 +208,20 @@ def replicate(df: DataFrame, suffixes: Sequence[str], id_cols: Sequence[str]) ->
     )
 
 
-MAX_CATEGORIES = 1_000
-
-
 def fuzzy_match(
-    df: DataFrame, name: str, categories: Sequence[str], into: str = "category", min_score: float = 80.0
+    df: DataFrame, name: str, categories: Sequence[str] | DataFrame, into: str = "category", min_score: float = 80.0
 ) -> DataFrame:
     """Nearest category of each distinct name by Levenshtein ratio, NULL under ``min_score``.
 
-    Names are de-duplicated first; the category list is a bounded vocabulary held as a literal, so
-    no pairs are shuffled. Equal scores go to the alphabetically first category.
+    Names are de-duplicated first. A list of categories is held as a literal, so no pairs are shuffled, and ``score`` is the best
+    score of any category. For long vocabularies take a DataFrame (its first column): names meet only categories whose length
+    allows ``min_score`` (a join on the length), and ``score`` is NULL where none reaches it. Equal scores go to the
+    alphabetically first category.
     """
-    if len(categories) > MAX_CATEGORIES:
-        raise ValueError(f"{len(categories)} categories exceed the vocabulary bound of {MAX_CATEGORIES}")
-    choices = F.array(*[F.lit(c) for c in sorted(set(categories), reverse=True)])
     names = df.select(name).where(F.col(name).isNotNull()).distinct()
+    if isinstance(categories, DataFrame):
+        return _fuzzy_join(names, name, categories.select(F.col(categories.columns[0]).alias("__c")), into, min_score)
+    choices = F.array(*[F.lit(c) for c in sorted(set(categories), reverse=True)])
     scored = F.transform(
         choices, lambda c, i: F.struct(similarity(F.col(name), c).alias("score"), i.alias("i"), c.alias("c"))
     )
@@ -232,3 +231,14 @@ def fuzzy_match(
         F.when(F.col("__best.score") >= min_score, F.col("__best.c")).alias(into),
         F.col("__best.score").alias("score"),
     )
+
+
+def _fuzzy_join(names: DataFrame, name: str, categories: DataFrame, into: str, min_score: float) -> DataFrame:
+    # a distance is at least the difference of the lengths, so (short / long) bounds the ratio
+    share = F.lit(min_score / 100)
+    low, high = F.floor(F.length(name) * share), F.ceil(F.length(name) / F.greatest(share, F.lit(0.01)))
+    spread = names.withColumn("__l", F.explode(F.sequence(low, high)))
+    kept = categories.where(F.col("__c").isNotNull()).distinct().withColumn("__l", F.length("__c").cast("bigint"))
+    scored = spread.join(kept, "__l").withColumn("__s", similarity(F.col(name), F.col("__c"))).filter(F.col("__s") >= min_score)
+    best = scored.groupBy(name).agg(F.min(F.struct((-F.col("__s")).alias("s"), F.col("__c").alias("c"))).alias("__b"))
+    return names.join(best, name, "left").select(name, F.col("__b.c").alias(into), (-F.col("__b.s")).alias("score"))

@@ -297,8 +297,8 @@ def quantile_profile(df: DataFrame, value: str, keys: Sequence[str] = (), keep:
     )
     inner = exact_quantiles(df if keep is None else df.filter(keep), keys, value, PROFILE_QUANTILES)
     if not keys:
-        # two one-row frames, joined on a constant
-        return ends.withColumn("__one", F.lit(1)).join(inner.withColumn("__one", F.lit(1)), "__one", "left").drop("__one")
+        # two one-row frames
+        return ends.join(F.broadcast(inner), F.lit(True), "left")
     return null_safe_join(ends, inner, keys, "left")
 
 

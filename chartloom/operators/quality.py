@@ -27,8 +27,11 @@ def _report(df: DataFrame, table: str, check: str, column: Column | str, value:
     )
 
 
-def check_schema(df: DataFrame, table: str, schema: T.StructType, strict: bool = True) -> DataFrame:
-    """Missing, unexpected and differently typed columns; ``n`` is the number of rows concerned."""
+def check_schema(df: DataFrame, table: str, schema: T.StructType, strict: bool = True, count: bool = False) -> DataFrame:
+    """Missing, unexpected and differently typed columns, from the schemas alone.
+
+    ``count`` asks for the number of rows concerned as ``n`` (NULL otherwise), which computes the table.
+    """
     actual = {f.name: f.dataType.simpleString() for f in df.schema}
     wanted = {f.name: f.dataType.simpleString() for f in schema}
     problems = [("missing", c, t) for c, t in wanted.items() if c not in actual]
@@ -39,7 +42,8 @@ def check_schema(df: DataFrame, table: str, schema: T.StructType, strict: bool =
         F.struct(F.lit(f"schema_{kind}").alias("check"), F.lit(c).alias("column"), F.lit(t).alias("value"))
         for kind, c, t in problems or [("none", "", "")]
     ])
-    rows = df.agg(F.count(F.lit(1)).alias("n")).select("n", F.explode(found).alias("p"))
+    one = df.agg(F.count(F.lit(1)).alias("n")) if count and problems else df.sparkSession.range(1).select(F.lit(None).cast("bigint").alias("n"))
+    rows = one.select("n", F.explode(found).alias("p"))
     return rows.select(F.lit(table).alias("table"), "p.check", "p.column", "p.value", "n").filter(
         F.col("check") != "schema_none"
     )
@@ -136,14 +140,29 @@ class TableRules:
 
 
 def failure_cases(df: DataFrame, table: str, rules: TableRules) -> DataFrame:
-    """All violations of a table's rules in one frame; nothing stops at the first failure."""
+    """All violations of a table's rules in one frame; nothing stops at the first failure.
+
+    Rules on single cells share one pass: each row yields its violating cells, which are counted. Only value sets given as a
+    DataFrame, and sets that must be seen as a whole, read the table again.
+    """
     have = set(df.columns)
     parts = [check_schema(df, table, rules.schema, rules.strict)]
-    if required := [c for c in rules.required if c in have]:
-        parts.append(check_not_null(df, table, required))
-    if empty := [c for c in rules.all_null if c in have]:
-        parts.append(check_all_null(df, table, empty))
-    parts += [check_isin(df, table, c, v) for c, v in rules.isin.items() if c in have]
-    parts += [check_range(df, table, c, lo, hi) for c, (lo, hi) in rules.ranges.items() if c in have]
+    nothing = F.lit(None).cast("string")
+
+    def cell(bad: Column, check: str, c: str, value: Column) -> Column:
+        return F.when(bad, F.struct(F.lit(check).alias("check"), F.lit(c).alias("column"), value.alias("value")))
+
+    text = {c: F.col(c).cast("string") for c in have}
+    cells = [cell(F.col(c).isNull(), "not_null", c, nothing) for c in rules.required if c in have]
+    cells += [cell(F.col(c).isNotNull(), "all_null", c, nothing) for c in rules.all_null if c in have]
+    cells += [
+        cell(~F.col(c).isin(list(v)), "isin", c, text[c]) for c, v in rules.isin.items() if c in have and not isinstance(v, DataFrame)
+    ]
+    cells += [cell(~F.col(c).between(lo, hi), "range", c, text[c]) for c, (lo, hi) in rules.ranges.items() if c in have]
+    if cells:
+        bad = df.select(F.explode(F.array_compact(F.array(*cells))).alias("p")).groupBy("p.check", "p.column", "p.value")
+        counted = bad.agg(F.count(F.lit(1)).alias("n"))
+        parts.append(counted.select(F.lit(table).alias("table"), "check", "column", "value", "n"))
+    parts += [check_isin(df, table, c, v) for c, v in rules.isin.items() if c in have and isinstance(v, DataFrame)]
     parts += [check_unique_values_eq(df, table, c, v) for c, v in rules.values_eq.items() if c in have]
     return reduce(DataFrame.unionByName, parts)

@@ -2,13 +2,14 @@
 
 ``percentile``/``median`` keep every distinct value of a group in one buffer. Instead:
 
-1. a mergeable sketch brackets each wanted position (pre-aggregated, bounded size);
-2. one more pass counts, per wanted quantile, the rows below its bracket and the distinct values
-   inside it (a tiny share of a large group; all values of a small one);
-3. cumulative counts over those values give the exact position.
-
-The bracket only limits the work: the counts prove that it holds the position, and the job fails
-if it does not.
+1. a mergeable sketch brackets each wanted position (pre-aggregated, bounded size); the larger the group, the narrower the
+   bracket, down to the sketch's own error;
+2. one more pass counts, per wanted quantile, the rows below its bracket and the distinct values inside it;
+3. the bracket is cut into buckets of equal width, whose counts tell which of them hold the position; only the values of those
+   are ranked, one bucket in a task.
+
+The bracket only limits the work: the counts prove that it holds the position, and the job fails if it does not. Infinities and
+NaN (the largest value) are values like others.
 """
 
 from __future__ import annotations
@@ -22,10 +23,10 @@ from pyspark.sql import functions as F
 from chartloom.operators.keys import with_null_free_keys
 
 ACCURACY = 10_000
-# A bracket reaches this far to both sides of its quantile. With n rows it must cover the sketch's
-# rank error (n / ACCURACY) and two rows, which decides from what group size on it can be used.
-NARROW, NARROW_FROM = 0.0003, 12_000
-WIDE, WIDE_FROM = 0.002, 1_200
+# How far a bracket may reach to both sides of its quantile. With n rows it must cover the sketch's rank error (n / ACCURACY) and
+# two rows; the narrowest that does is taken, and beyond the widest the bracket has no end.
+REACH = [0.00015 * 4**k for k in range(6)]
+BUCKETS = 64
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles: dict[str, float]) -> DataFrame:
@@ -34,53 +35,58 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles: d
     Groups without any value do not appear.
     """
     rows = df.select(*keys, F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
-    keys = list(keys) or ["__all"]
-    if keys == ["__all"]:
-        rows = rows.withColumn("__all", F.lit(True))
+    keys = list(keys)
     rows, on = with_null_free_keys(rows, keys)
     group = [*on, *[k for k in keys if k not in on], "__n"]
 
     probs = list(quantiles.values())
-    points = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-WIDE, -NARROW, NARROW, WIDE)]
+    points = [min(max(p + s * d, 0.0), 1.0) for p in probs for s in (-1, 1) for d in REACH]
     sketch = rows.groupBy(*on).agg(
         F.count(F.lit(1)).alias("__n"), F.percentile_approx("__v", points, ACCURACY).alias("__q")
-    )
-    below, above = F.lit(float("-inf")), F.lit(float("inf"))
-    narrow = F.col("__n") >= NARROW_FROM
-
-    def edge(i: int, p: float, sign: int) -> Column:
-        wide_at, narrow_at, end = (4 * i, 4 * i + 1, below) if sign < 0 else (4 * i + 3, 4 * i + 2, above)
-
-        def reach(at: int, d: float) -> Column:
-            # a bracket that reaches past an end takes everything on that side
-            return F.col("__q")[at] if 0 < p + sign * d < 1 else end
-
-        return F.when(narrow, reach(narrow_at, NARROW)).otherwise(reach(wide_at, WIDE))
-
-    sketch = sketch.select(*on, "__n", *[
-        c for i, p in enumerate(probs) for c in (edge(i, p, -1).alias(f"__lo{i}"), edge(i, p, 1).alias(f"__hi{i}"))
-    ])
+    ).filter("__n > 0")
+
+    def end(i: int, side: int) -> Column:
+        """The bracket's end, NULL where it has none."""
+        out = F.lit(None).cast("double")
+        for k, d in reversed(list(enumerate(REACH))):
+            inside = 0 < probs[i] + (2 * side - 1) * d < 1
+            here = F.col("__q")[(2 * i + side) * len(REACH) + k] if inside else F.lit(None).cast("double")
+            out = F.when(F.lit(d - 1 / ACCURACY) * F.col("__n") >= 2, here).otherwise(out)
+        return out
+
+    sketch = sketch.select(*on, "__n", *[c for i in range(len(probs)) for c in (end(i, 0).alias(f"__lo{i}"), end(i, 1).alias(f"__hi{i}"))])
     v = F.col("__v")
 
-    def entry(i: int, x: Column) -> Column:
-        return F.struct(F.lit(i).alias("i"), x.alias("x"))
-
-    def bracketed(i: int) -> Column:
-        return F.when(v <= F.col(f"__hi{i}"), entry(i, F.when(v < F.col(f"__lo{i}"), below).otherwise(v)))
-
-    entries = F.when(F.col("__n") < WIDE_FROM, F.array(entry(-1, v))).otherwise(
-        F.array_compact(F.array(*[bracketed(i) for i in range(len(probs))]))
-    )
-    placed = rows.join(sketch, on).select(*group, F.explode(entries).alias("__en"))
-    placed = placed.select(*group, F.col("__en.i").alias("__i"), F.col("__en.x").alias("__x"))
-    counts = placed.groupBy(*group, "__i", "__x").agg(F.count(F.lit(1)).alias("__c"))
-    upto = W.partitionBy(*on, "__i").orderBy("__x").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = counts.withColumn("__to", F.sum("__c").over(upto)).withColumn("__from", F.col("__to") - F.col("__c"))
-
-    def at(i: int, position: Column) -> Column:
+    def entry(i: int) -> Column:
+        """(quantile, bucket, value) of a row up to the bracket's upper end; rows below the bracket are bucket -1 without value."""
+        lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
+        width = (hi - lo) / BUCKETS
+        cut = F.when((width > 0) & (width < float("inf")), F.least(F.greatest(F.floor((v - lo) / width), F.lit(0)), F.lit(BUCKETS))).otherwise(0)
+        inside = F.struct(F.lit(i).alias("i"), cut.cast("int").alias("b"), v.alias("x"))
+        below = F.struct(F.lit(i).alias("i"), F.lit(-1).alias("b"), F.lit(None).cast("double").alias("x"))
+        return F.when(hi.isNull() | (v <= hi), F.when(v < lo, below).otherwise(inside))
+
+    # without keys the sketch is one row, an aggregate over everything: the only side that is broadcast by hint
+    bracketed = rows.join(sketch, on) if on else rows.crossJoin(F.broadcast(sketch))
+    placed = bracketed.select(*group, F.explode(F.array_compact(F.array(*[entry(i) for i in range(len(probs))]))).alias("__en"))
+    placed = placed.select(*group, F.col("__en.i").alias("__i"), F.col("__en.b").alias("__b"), F.col("__en.x").alias("__x"))
+    counts = placed.groupBy(*group, "__i", "__b", "__x").agg(F.count(F.lit(1)).alias("__c"))
+
+    # at most BUCKETS + 2 rows per key and quantile
+    upto = W.partitionBy(*on, "__i").orderBy("__b").rowsBetween(W.unboundedPreceding, W.currentRow)
+    buckets = counts.groupBy(*on, "__n", "__i", "__b").agg(F.sum("__c").alias("__held")).withColumn("__to", F.sum("__held").over(upto))
+    buckets = buckets.withColumn("__start", F.col("__to") - F.col("__held"))
+    position = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("__i") + 1) * (F.col("__n") - 1)
+    needed = buckets.filter((F.col("__b") >= 0) & (F.col("__start") <= F.ceil(position)) & (F.col("__to") > F.floor(position)))
+    needed = needed.select(*on, "__i", "__b", "__start")
+
+    within = W.partitionBy(*on, "__i", "__b").orderBy("__x").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = counts.join(needed, [*on, "__i", "__b"]).withColumn("__to", F.col("__start") + F.sum("__c").over(within))
+    ranked = ranked.withColumn("__from", F.col("__to") - F.col("__c"))
+
+    def at(i: int, pos: Column) -> Column:
         # zero-based rank p belongs to the value whose count range holds it
-        hit = (F.col("__from") <= position) & (position < F.col("__to")) & F.col("__i").isin(-1, i)
-        return F.max(F.when(hit & (F.col("__x") > below), F.col("__x")))
+        return F.max(F.when((F.col("__from") <= pos) & (pos < F.col("__to")) & (F.col("__i") == i), F.col("__x")))
 
     picks, results = [], []
     for i, (name, p) in enumerate(quantiles.items()):
@@ -88,5 +94,6 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles: d
         a, b, w = F.col(f"__a{i}"), F.col(f"__b{i}"), pos - F.floor(pos)
         picks += [at(i, F.floor(pos)).alias(f"__a{i}"), at(i, F.ceil(pos)).alias(f"__b{i}")]
         missed = F.raise_error(F.lit(f"{name}: the bracket does not hold the position")).cast("double")
-        results.append(F.when(a.isNull() | b.isNull(), missed).otherwise(a * (1 - w) + b * w).alias(name))
-    return ranked.groupBy(*group).agg(*picks).select(*[k for k in keys if k != "__all"], *results)
+        between = F.when((w == 0) | (a == b), a).otherwise(a * (1 - w) + b * w)
+        results.append(F.when(a.isNull() | b.isNull(), missed).otherwise(between).alias(name))
+    return ranked.groupBy(*group).agg(*picks).select(*keys, *results)

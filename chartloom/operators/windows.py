@@ -147,7 +147,3 @@ def concurrent_values(df: DataFrame, keys: Sequence[str], value: str, into: str)
     multi = df.groupBy(*keys).agg(F.countDistinct(value).alias("__n")).filter(F.col("__n") > 1)
     hits = null_safe_join(df, multi, keys, "inner").withColumnRenamed("__n", f"n_{into}")
     return window_string_agg(hits, keys, value, into, "; ", distinct=True)
-
-
-def any_null(cols: Sequence[str]) -> Column:
-    return any_of([F.col(c).isNull() for c in cols])

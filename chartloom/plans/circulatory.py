@@ -41,7 +41,6 @@ COLUMNS = [
     "ecmo_configuration_category", "control_parameter_name", "control_parameter_category",
     "control_parameter_value", "flow", "sweep_set", "fdo2_set",
 ]
-LIMITS = {"flow": (0, 10), "sweep_set": (0, 15), "fdo2_set": (0, 1)}
 # ---- end of fixed values ----
 
 

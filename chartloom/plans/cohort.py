@@ -33,11 +33,19 @@ def extract(
     return out
 
 
+def letters(i: int) -> str:
+    """A, B, ..., Z, AA, AB, ... for 0, 1, ..."""
+    out = ""
+    i += 1
+    while i:
+        i, rest = divmod(i - 1, 26)
+        out = string.ascii_uppercase[rest] + out
+    return out
+
+
 def scale_up(
     tables: Mapping[str, DataFrame], copies: int = 4, ids: Sequence[str] = (*ID_COLUMNS, "organism_id")
 ) -> dict[str, DataFrame]:
-    """Every row ``copies`` times, with a letter suffix on each id the table has."""
-    if copies > len(string.ascii_uppercase):
-        raise ValueError("at most 26 copies")
-    suffixes = list(string.ascii_uppercase[:copies])
+    """Every row ``copies`` times, with a suffix of letters on each id the table has."""
+    suffixes = [letters(i) for i in range(copies)]
     return {name: replicate(df, suffixes, [i for i in ids if i in df.columns]) for name, df in tables.items()}

@@ -1,7 +1,7 @@
 """Session defaults for the library.
 
-On a cluster the submitter's settings win: only options that change results (time zone) or
-that the operators rely on for skewed data (adaptive execution) are set here.
+Only options that change results (time zone, wall-clock columns) or that the operators rely on for skewed data (adaptive
+execution) are set here, and those are set whatever the submitter chose; sizes and resources stay the submitter's.
 """
 
 from __future__ import annotations

@@ -109,6 +109,22 @@ def test_exact_quantiles(spark, n):
         assert got[0][name] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-12)
 
 
+@pytest.mark.parametrize("n", [3, 100, 5_000, 50_000])
+def test_exact_quantiles_of_infinities(spark, n):
+    """As the built-in percentile, with infinities, NaN and a value that fills half of the group."""
+    rnd = np.random.default_rng(n)
+    values = [float(v) for v in rnd.normal(0, 1, n)] + [float("-inf")] * (n // 3) + [float("inf")] * (n // 5) + [float("nan")] * 2 + [0.25] * n
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    probs = {"a": 0.0, "b": 0.05, "c": 0.3, "d": 0.5, "e": 0.9, "f": 1.0}
+    got = exact_quantiles(df, [], "v", probs).first()
+    ordered = sorted(values, key=lambda v: (v != v, v))
+    for name, p in probs.items():
+        pos = (len(values) - 1) * p
+        a, b, w = ordered[int(np.floor(pos))], ordered[int(np.ceil(pos))], pos - np.floor(pos)
+        want = a if w == 0 or a == b else a * (1 - w) + b * w
+        assert got[name] == pytest.approx(want, nan_ok=True)
+
+
 def test_exact_quantiles_hot_value(spark):
     """A value that fills most of a group is counted, not gathered."""
     values = [5.0] * 20_000 + [float(i) for i in range(9_000)]

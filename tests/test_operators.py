@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from chartloom.operators import events, joins, profiling, quality, reshape, sets
+from chartloom.plans import cohort
 from chartloom.sources.vocabulary import vocabulary
 
 
@@ -68,9 +71,45 @@ def test_guarded_sentinel_drop(spark):
     schema = "itemid int, value string"
     ok = spark.createDataFrame([(1, "None"), (1, None), (2, "x")], schema)
     assert events.guarded_sentinel_drop(ok, 1).count() == 2
-    for bad in ([(1, "None"), (2, "None")], [(2, "x")], [(2, "None")]):
-        with pytest.raises(ValueError):
-            events.guarded_sentinel_drop(spark.createDataFrame(bad, schema), 1)
+    assert events.sentinel_violations(ok, 1).count() == 0
+    for bad, reasons in (
+        ([(1, "None"), (2, "None")], {"other item"}), ([(2, "x")], {"no row of the item"}), ([(2, "None")], {"other item", "no row of the item"}),
+    ):
+        df = spark.createDataFrame(bad, schema)
+        assert {r["violation"] for r in events.sentinel_violations(df, 1).collect()} == reasons
+        plan = events.guarded_sentinel_drop(df, 1)  # building it runs nothing
+        if "other item" in reasons:
+            with pytest.raises(Exception, match="must all have"):
+                plan.collect()
+
+
+def test_fuzzy_match_with_a_table_of_categories(spark):
+    """The join on lengths finds what scoring all pairs finds, for any number of categories."""
+    rnd = random.Random(2)
+    word = lambda: "".join(rnd.choice("abc") for _ in range(rnd.randint(1, 9)))
+    names = spark.createDataFrame([(word(),) for _ in range(80)] + [(None,), ("",)], "n string")
+    categories = sorted({word() for _ in range(150)} | {""})
+    for least in (50.0, 80.0, 100.0):
+        by_list = {r["n"]: r["category"] for r in joins.fuzzy_match(names, "n", categories, min_score=least).collect()}
+        table = spark.createDataFrame([(c,) for c in categories], "c string")
+        by_join = {r["n"]: r["category"] for r in joins.fuzzy_match(names, "n", table, min_score=least).collect()}
+        assert by_join == by_list
+    many = spark.range(3000).selectExpr("concat('category ', id) AS c")
+    assert joins.fuzzy_match(spark.createDataFrame([("category 2999",)], "n string"), "n", many).first()["category"] == "category 2999"
+
+
+def test_any_number_of_copies():
+    assert [cohort.letters(i) for i in (0, 25, 26, 701, 702)] == ["A", "Z", "AA", "ZZ", "AAA"]
+
+
+def test_sorted_order_of_rows(spark):
+    """The order itself, not only the set of rows."""
+    rnd = random.Random(1)
+    data = [(rnd.choice([None, 1, 2, 3]), f"2020-01-0{rnd.randint(1, 9)} 00:00:00", i) for i in range(200)]
+    got = events.sort_events(spark.createDataFrame(data, "hadm_id int, time string, i int").repartition(5), extra=["i"]).collect()
+    assert [r["i"] for r in got] == [r[2] for r in sorted(data, key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2]))]
+    got = sets.order_rows(spark.createDataFrame(data, "h int, t string, i int").repartition(5), ["i"]).collect()
+    assert [r["i"] for r in got] == list(range(200))
 
 
 def test_drop_null_and_sentinel_keeps_null(spark, rows):
