@@ -18,8 +18,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,33 +118,53 @@ class Model:
     templates: DataFrame  # family, template, pair, pairs
 
 
+def grams_of(text: str) -> list[str]:
+    """Features of a training text, as ``features`` makes them of a line."""
+    return sorted({*re.findall("[a-z0-9]+", text.lower()), *pairs_of(text)})
+
+
+def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 400, rate: float = 0.5, ridge: float = 0.003) -> tuple[np.ndarray, float]:
+    """Weights and intercept by gradient descent; both classes weigh the same."""
+    w, b = np.zeros(x.shape[1]), 0.0
+    share = np.where(y > 0, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
+    for _ in range(rounds):
+        error = (1 / (1 + np.exp(-(x @ w + b))) - y) * share
+        w -= rate * (x.T @ error + ridge * w)
+        b -= rate * error.sum()
+    return w, b
+
+
+def values(spark: SparkSession, columns: str, rows: list[tuple]) -> DataFrame:
+    """A literal table; texts hold no quotes."""
+
+    def cell(v) -> str:
+        return f"'{v}'" if isinstance(v, str) else f"{v!r}D" if isinstance(v, float) else str(v)
+
+    return spark.sql(f"SELECT * FROM VALUES {', '.join('(' + ', '.join(map(cell, r)) + ')' for r in rows)} AS t({columns})")
+
+
 def train(spark: SparkSession) -> Model:
-    """One logistic regression per family over sparse word and pair features."""
-    rows = spark.createDataFrame([(f, t) for f, t in TEMPLATES] + [("", t) for t in OTHERS], "family string, text string")
-    rows = rows.withColumn("features", features(words(F.col("text"))))
-    counted = CountVectorizer(inputCol="features", outputCol="x", binary=True, minDF=1.0).fit(rows)
-    x = counted.transform(rows).cache()
-    weights = []
+    """One sparse logistic regression per family; the training texts are the two lists above."""
+    texts, labels = [t for _, t in TEMPLATES] + OTHERS, [f for f, _ in TEMPLATES] + [""] * len(OTHERS)
+    names = sorted({g for t in texts for g in grams_of(t)})
+    place = {g: i for i, g in enumerate(names)}
+    x = np.zeros((len(texts), len(names)))
+    for r, t in enumerate(texts):
+        x[r, [place[g] for g in grams_of(t)]] = 1
+    weights, scales = [], []
     for family in sorted({f for f, _ in TEMPLATES}):
-        labelled = x.withColumn("label", (F.col("family") == family).cast("double"))
-        fitted = LogisticRegression(featuresCol="x", labelCol="label", regParam=0.003, maxIter=60, standardization=False).fit(labelled)
-        weights += [(family, counted.vocabulary[i], float(v)) for i, v in enumerate(fitted.coefficients.toArray()) if abs(v) > 1e-4]
-        weights.append((family, "", float(fitted.intercept)))
-    x.unpersist()
-    table = spark.createDataFrame(weights, "family string, feature string, weight double")
-    own = rows.select(F.monotonically_increasing_id().alias("row"), "family", F.explode(F.concat("features", F.array(F.lit("")))).alias("feature"))
-    margin = own.withColumnRenamed("family", "truth").join(table, "feature").groupBy("row", "truth", "family").agg(F.sum("weight").alias("margin"))
-    inside, outside = F.when(F.col("truth") == F.col("family"), F.col("margin")), F.when(F.col("truth") != F.col("family"), F.col("margin"))
-    scales = margin.groupBy("family").agg(F.min(inside).alias("low"), F.max(outside).alias("high")).select(
-        "family", ((F.col("low") + F.col("high")) / 2).alias("middle"), (6 / F.greatest(F.col("low") - F.col("high"), F.lit(1.0))).alias("slope")
+        y = np.array([f == family for f in labels], float)
+        w, b = logistic(x, y)
+        margin = x @ w + b
+        low, high = margin[y > 0].min(), margin[y == 0].max()
+        weights += [(family, g, float(v)) for g, v in zip(names, w, strict=True) if abs(v) > 0.01]
+        weights.append((family, "", float(b)))
+        scales.append((family, float(low + high) / 2, float(6 / max(low - high, 1.0))))
+    grams = [(f, k, p, len(pairs_of(t))) for k, (f, t) in enumerate(TEMPLATES) for p in pairs_of(t)]
+    return Model(
+        values(spark, "family, feature, weight", weights), values(spark, "family, middle, slope", scales),
+        values(spark, "family, template, pair, pairs", grams),
     )
-    # the calibration is a few numbers: kept as values, so that later plans do not train again
-    scales = spark.createDataFrame([tuple(r) for r in scales.collect()], scales.schema)
-    grams = []
-    for k, (family, text) in enumerate(TEMPLATES):
-        own_pairs = pairs_of(text)
-        grams += [(family, k, p, len(own_pairs)) for p in own_pairs]
-    return Model(table, scales, spark.createDataFrame(grams, "family string, template int, pair string, pairs int"))
 
 
 def paragraphs(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", confirm: float = CONFIRM) -> DataFrame:
