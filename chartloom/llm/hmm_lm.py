@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from chartloom.llm.common import bytes_of, quoted, scan, written
 
-STATES, ROUNDS, PIECE = 8, 5, 256
+STATES, ROUNDS, PIECE, PRIOR = 8, 5, 256, 5.0
 #: Bounds of the two tables: symbols of the model, and words whose counts tasks keep.
 SYMBOLS, KNOWN = 32_000, 1_000_000
 FOLD_WORDS, TASK_TOKENS, BATCH_TOKENS = 300_000, 8_000_000, 400_000
@@ -269,8 +269,12 @@ def expected_counts(m: Hmm, sequences: list[np.ndarray], begins: np.ndarray, sum
             sums[2][:, z] += np.bincount(symbol, gamma[:, z], symbols)
 
 
-def baum_welch_round(corpus: DataFrame, m: Hmm, p: np.ndarray, strength: float = 100.0) -> Hmm:
-    """One round over the training rows; emissions are smoothed towards the unigram distribution."""
+def baum_welch_round(corpus: DataFrame, m: Hmm, p: np.ndarray, prior: float = PRIOR) -> Hmm:
+    """One round over the training rows.
+
+    Emissions are re-estimated as P(state | word) P(word) / P(state), with ``prior`` occurrences of every word spread over the
+    states as all words are: a rare word tells little about its states.
+    """
     shared = corpus.sparkSession.sparkContext.broadcast(vars(m))
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,7 +318,8 @@ def baum_welch_round(corpus: DataFrame, m: Hmm, p: np.ndarray, strength: float =
         return m
     k = len(m.start)
     start, move, emit = found[0] + 0.1, found[1].reshape(k, k) + 0.1, found[2].reshape(-1, k)
-    emit = emit + strength * p[:, None]
+    share = emit.sum(axis=0) / emit.sum()
+    emit = p[:, None] * (emit + prior * share) / (emit.sum(axis=1, keepdims=True) + prior)
     return Hmm(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
 
