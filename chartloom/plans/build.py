@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
@@ -12,6 +12,7 @@ from chartloom.functions.time import Zone
 from chartloom.operators.quality import failure_cases
 from chartloom.plans import assessments, circulatory, codes, encounters, fluids, measurements, medication, respiratory
 from chartloom.plans.schemas import RULES
+from chartloom.session import shared_folder
 from chartloom.sources.outputs import OutputStore, write_output
 
 log = logging.getLogger("chartloom.build")
@@ -26,6 +27,16 @@ class Inputs:
     zone: Zone = Zone()
     hospital_id: str = "site"
     source_name: str = "SOURCE"
+    _written: dict[str, DataFrame] = field(default_factory=dict)
+
+    def once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """An intermediate that several tables start from, written to the shared folder when first asked for."""
+        if name not in self._written:
+            df = make()
+            path = shared_folder(df.sparkSession, name)
+            df.write.parquet(path)
+            self._written[name] = df.sparkSession.read.schema(df.schema).parquet(path)
+        return self._written[name]
 
     @property
     def events(self) -> dict[str, DataFrame]:
@@ -35,10 +46,10 @@ class Inputs:
 
 def _medication(i: Inputs) -> tuple[DataFrame, DataFrame]:
     v = i.vocabularies
-    return medication.medication_admin(
-        i.events, i.sources["d_items"], v["med_category"], v["med_route_category"], v["med_route_category_special"],
-        v["continuous_med_groups"], v["intermittent_med_groups"], v.get("mar_action_dedup"), i.zone,
-    )
+    shared = i.once("medication-orders", lambda: medication.mapped_orders(
+        i.events, i.sources["d_items"], v["med_category"], v["med_route_category"], v["med_route_category_special"]
+    ))
+    return medication.from_mapped(shared, v["continuous_med_groups"], v["intermittent_med_groups"], v.get("mar_action_dedup"), i.zone)
 
 
 TABLES: dict[str, Callable[[Inputs], DataFrame]] = {

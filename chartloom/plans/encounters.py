@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.functions.text import case_map
 from chartloom.functions.time import Zone, age_at_event
 from chartloom.operators.events import drop_null_and_sentinel, fetch_events, rename_reorder
-from chartloom.operators.joins import dict_map, dict_map_default, full_outer_chain, value_map
+from chartloom.operators.joins import dict_map, dict_map_default, value_map
 from chartloom.operators.profiling import first_value_per_group, most_frequent
-from chartloom.operators.windows import dedup_exact, earliest_of
+from chartloom.operators.windows import earliest_of
 
 # ---- fixed values ----
 SEX = {"M": "Male", "F": "Female"}
@@ -125,13 +127,16 @@ def patient(
             "language_category"
         ),
     )
-    merged = full_outer_chain([race, sex, death, language], "patient_id", PATIENT_DEFAULTS)
-    out = merged.select(
+    # one row per patient in each frame and no column in common: stacked and folded in one shuffle
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [race, sex, death, language])
+    columns = [c for c in stacked.columns if c != "patient_id"]
+    merged = stacked.filter("patient_id IS NOT NULL").groupBy("patient_id").agg(*[F.max(c).alias(c) for c in columns])
+    merged = merged.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in PATIENT_DEFAULTS.items()})
+    return merged.select(
         F.col("patient_id").cast("string").alias("patient_id"), "race_name", "race_category", "ethnicity_name",
         "ethnicity_category", "sex_name", "sex_category", F.lit(None).cast("date").alias("birth_date"),
         zone.to_utc("death_dttm").alias("death_dttm"), "language_name", "language_category",
     )
-    return dedup_exact(out)
 
 
 def hospitalization(

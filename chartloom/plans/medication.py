@@ -221,7 +221,20 @@ def medication_admin(
     Route tables carry the order attributes plus ``med_route_category`` (and ``itemid`` for the
     special ones).
     """
-    shared = augmented(with_route(medication_events(tables, dictionary, mapping), routes, special_routes), mapping)
+    shared = mapped_orders(tables, dictionary, mapping, routes, special_routes)
+    return from_mapped(shared, continuous_groups, intermittent_groups, rules, zone)
+
+
+def mapped_orders(
+    tables: dict[str, DataFrame], dictionary: DataFrame, mapping: DataFrame, routes: DataFrame, special_routes: DataFrame
+) -> DataFrame:
+    """Order rows with route, category, duration and target table: what both tables start from."""
+    return augmented(with_route(medication_events(tables, dictionary, mapping), routes, special_routes), mapping)
+
+
+def from_mapped(
+    shared: DataFrame, continuous_groups: DataFrame, intermittent_groups: DataFrame, rules: DataFrame | None = None, zone: Zone = Zone()
+) -> tuple[DataFrame, DataFrame]:
     cont, intm = split(shared)
     groups = dedup_keys(intermittent_groups.select("med_category", "med_group"), ["med_category"], ["med_group"])
     return continuous(cont, continuous_groups, rules, zone), intermittent(intm, groups, zone)

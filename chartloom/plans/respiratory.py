@@ -72,8 +72,6 @@ def respiratory_events(
     lookup = device_lookup(devices)
     events = events.withColumn("__device", F.when(is_device, F.col("value")))
     events = strict_dict_map(events, lookup, "__device", "device_category").drop("__device", "label", "variable")
-    # ranking, de-duplication and the pivot that follows all group by encounter and time: shuffle once
-    events = events.repartition("hadm_id", "time")
     return ranked_dedup(
         events, ["hadm_id", "time", "itemid"], is_device, "device_category", DEVICE_RANKING, ["storetime", "value"],
         exclude,
