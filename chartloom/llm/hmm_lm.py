@@ -128,7 +128,7 @@ class Coder(dict):
         self.sorted = v.hashes[self.order]
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 600_000:
+        if len(self) > 250_000:
             self.clear()
         h = np.uint64(xxhash.xxh64_intdigest(word, seed=42))
         i = int(np.searchsorted(self.sorted, h))

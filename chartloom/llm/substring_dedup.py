@@ -33,7 +33,7 @@ from chartloom.llm.common import WordHash, bytes_of, default_parallelism, grams,
 
 LENGTH, GRAM = 20, 8
 #: Suffix runs in a group, and words in a chunk that is folded by one task.
-GROUP_RUNS, CHUNK_WORDS = 20_000, 3_000_000
+GROUP_RUNS, CHUNK_WORDS = 20_000, 1_000_000
 FILTER_BITS, HOT_BITS = 25, 20
 WORD_BYTES = 6
 LAST = (1 << 63) - 1
