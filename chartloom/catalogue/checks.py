@@ -155,6 +155,34 @@ def failure_cases(t: Tables):
     return q.failure_cases(t.derive(DIRTY), "x", FAIL_RULES)
 
 
+CODED = "SELECT event_id, CASE WHEN event_id % 4 = 0 THEN event_type WHEN event_id % 9 > 0 THEN CAST(user_id AS VARCHAR) END AS code FROM events"
+
+
+@query("check_castable", with_ctes(f"{rep('castable_int', 'code', 'code')} FROM c WHERE code IS NOT NULL AND try_cast(code AS INT) IS NULL GROUP BY code", c=CODED))
+def check_castable(t: Tables):
+    return q.check_castable(t.derive(CODED.replace("VARCHAR", "STRING")), "x", "code", "int")
+
+
+@query(
+    "check_known_items",
+    with_ctes(
+        f"{rep('known_items', 'itemid', 'CAST(itemid AS VARCHAR)')} FROM w WHERE itemid NOT IN (SELECT itemid FROM d WHERE linksto IS NOT NULL) GROUP BY itemid",
+        w="SELECT l_partkey AS itemid FROM lineitem", d="SELECT p_partkey AS itemid, CASE WHEN p_size > 25 THEN 'chartevents' END AS linksto FROM part WHERE p_size < 45",
+    ),
+)
+def check_known_items(t: Tables):
+    parts = t.part.filter("p_size < 45").selectExpr("p_partkey AS itemid", "CASE WHEN p_size > 25 THEN 'chartevents' END AS linksto")
+    return q.check_known_items(t.lineitem.selectExpr("l_partkey AS itemid"), parts, "x")
+
+
+@query(
+    "check_conflicting_cells",
+    f"{rep('conflicting_cells', 'value', 'user_id || chr(124) || event_type', 'COUNT(DISTINCT value)')} FROM events GROUP BY user_id, event_type HAVING COUNT(DISTINCT value) > 1",
+)
+def check_conflicting_cells(t: Tables):
+    return q.check_conflicting_cells(t.events, "x", ["user_id"], "event_type", "value")
+
+
 @query(
     "failing_rows",
     with_ctes("SELECT event_id, category FROM d WHERE category NOT IN ('view', 'click')", d=DIRTY),

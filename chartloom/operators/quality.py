@@ -120,6 +120,27 @@ def check_mapping_ambiguity(mapping: DataFrame, table: str, key: str, category:
     return _report(bad, table, "mapping_ambiguity", key, F.col(key), F.col("n"))
 
 
+def check_castable(df: DataFrame, table: str, col: str, to: str) -> DataFrame:
+    """Values that are present but do not read as the wanted type, which the tables then show as NULL."""
+    bad = df.filter(F.col(col).isNotNull() & F.col(col).cast("string").try_cast(to).isNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    return _report(bad, table, f"castable_{to}", col, F.col(col), F.col("n"))
+
+
+def check_known_items(items: DataFrame, dictionary: DataFrame, table: str, item: str = "itemid", links: str = "linksto") -> DataFrame:
+    """Wanted items that the dictionary does not have or does not link to an event table: they have no events in any table."""
+    known = dictionary.select(F.col(item).alias("__i"), F.col(links).isNotNull().alias("linked")).groupBy("__i").agg(F.max("linked").alias("linked"))
+    wanted = items.filter(F.col(item).isNotNull()).groupBy(item).agg(F.count(F.lit(1)).alias("n"))
+    bad = wanted.join(known, F.col(item) == F.col("__i"), "left").filter(~F.coalesce("linked", F.lit(False)))
+    return _report(bad, table, "known_items", item, F.col(item), F.col("n"))
+
+
+def check_conflicting_cells(df: DataFrame, table: str, keys: Sequence[str], name: str, value: str) -> DataFrame:
+    """Cells of a pivot (keys, name) with more than one different value; ``n`` is the number of values."""
+    bad = df.groupBy(*keys, name).agg(F.count_distinct(value).alias("n")).filter(F.col("n") > 1)
+    cell = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in [*keys, name]])
+    return _report(bad, table, "conflicting_cells", value, cell, F.col("n"))
+
+
 def failing_rows(df: DataFrame, violations: DataFrame, col: str) -> DataFrame:
     """The offending rows behind value-level violations of one column."""
     bad = violations.filter(F.col("column") == col).select(F.col("value").alias("__v")).distinct()

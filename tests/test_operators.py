@@ -98,6 +98,17 @@ def test_fuzzy_match_with_a_table_of_categories(spark):
     assert joins.fuzzy_match(spark.createDataFrame([("category 2999",)], "n string"), "n", many).first()["category"] == "category 2999"
 
 
+def test_what_would_be_lost_is_reported(spark):
+    df = spark.createDataFrame([(1, "7"), (2, "x"), (3, None), (4, "7.5"), (4, "x")], "itemid int, v string")
+    got = {(r["value"], r["n"]) for r in quality.check_castable(df, "t", "v", "int").collect()}
+    assert got == {("x", 2), ("7.5", 1)}
+    dictionary = spark.createDataFrame([(1, "chartevents"), (2, None), (3, "labevents"), (3, None)], "itemid int, linksto string")
+    got = {(r["value"], r["n"]) for r in quality.check_known_items(df, dictionary, "t").collect()}
+    assert got == {("2", 1), ("4", 2)}
+    got = [(r["value"], r["n"]) for r in quality.check_conflicting_cells(df, "t", [], "itemid", "v").collect()]
+    assert got == [("4", 2)]
+
+
 def test_any_number_of_copies():
     assert [cohort.letters(i) for i in (0, 25, 26, 701, 702)] == ["A", "Z", "AA", "ZZ", "AAA"]
 
