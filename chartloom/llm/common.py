@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Callable, Iterator
 
@@ -40,7 +41,18 @@ def scan(df: DataFrame, per_task: Callable[[Iterator[pa.RecordBatch]], Iterator[
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(df.sparkSession.conf.get(key)) > BATCH_ROWS:
         df.sparkSession.conf.set(key, str(BATCH_ROWS))
-    return df.mapInArrow(per_task, schema)
+
+    def frugal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from per_task(batches)
+        release()
+
+    return df.mapInArrow(frugal, schema)
+
+
+def release() -> None:
+    """Gives memory that a Python worker no longer uses back to the machine: workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
 
 
 def bytes_of(batch: pa.RecordBatch, column: str) -> list[bytes]:
@@ -57,7 +69,7 @@ def record(schema: pa.Schema, *columns) -> pa.RecordBatch:
 class WordHash(dict):
     """64-bit hash of a word; remembers the words of a task, up to a bound."""
 
-    LIMIT = 1_000_000
+    LIMIT = 250_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

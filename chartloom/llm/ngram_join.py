@@ -6,8 +6,9 @@ then the hash. Two sets that link must share one of their first ``n - ceil(t n)
 the quality of the estimate decides the cost and never the result.
 
 1. Documents with equal sets are one class, represented by its smallest id.
-2. Prefix shingles that two or more representatives hold join these into candidate clusters (connected components of narrow rows).
-   All others are done.
+2. Representatives that hold a common prefix shingle are candidates if their sizes and profiles (counts of shingles in 128 parts by
+   hash, whose difference is a lower bound of the sets' difference) allow a link. Candidates form clusters, connected components of
+   narrow rows; all other documents are done.
 3. A cluster's sets are stored in a trie, ordered so that what most of them share comes first. A set is looked up before it is
    inserted: the walk shares the overlap along common paths, leaves a subtree when overlap plus what remains of the shorter side
    cannot reach the required overlap, and when the subtree's documents are already in the component of the set.
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +40,9 @@ from chartloom.llm.graph import Forest, components
 #: Share of the union that linked sets have in common, as a fraction.
 THRESHOLD = (9, 10)
 WORD_BITS, GRAM_BITS, TABLE_BLOCK_BITS = 22, 20, 16
-BLOCK = 2000
+BLOCK = 1000
+#: A set's profile counts its shingles in so many parts by hash; rows of postings in a group.
+PROFILE_BITS, POSTINGS = 7, 50_000
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -67,20 +71,32 @@ def frequency_tables(docs: DataFrame, n: int, text_col: str) -> tuple[np.ndarray
     """Counts of words and of shingles of all documents by hash, in tables of fixed size (16 MB and 4 MB)."""
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, tables = WordHash(), [np.zeros(1 << WORD_BITS, np.int32), np.zeros(1 << GRAM_BITS, np.int32)]
+        hashes, tables = WordHash(), [np.zeros(1 << WORD_BITS, np.int64), np.zeros(1 << GRAM_BITS, np.int64)]
+        held: list[list[np.ndarray]] = [[], []]
+
+        def add() -> None:
+            for table, values, bits in zip(tables, held, (WORD_BITS, GRAM_BITS), strict=True):
+                if values:
+                    table += np.bincount((np.concatenate(values) >> np.uint64(64 - bits)).astype(np.int64), minlength=len(table))
+                values.clear()
+
+        size = 0
         for batch in batches:
-            found = [hashes.of(words_of(t)) for t in bytes_of(batch, "text")]
-            if words := [h for h in found if len(h)]:
-                all_words, all_grams = np.concatenate(words), np.concatenate([np.unique(shingles(h, n)) for h in words])
-                for table, values, bits in zip(tables, (all_words, all_grams), (WORD_BITS, GRAM_BITS), strict=True):
-                    at, count = np.unique((values >> np.uint64(64 - bits)).astype(np.int64), return_counts=True)
-                    table[at] += count.astype(np.int32)
+            for text in bytes_of(batch, "text"):
+                if len(h := hashes.of(words_of(text))):
+                    held[0].append(h)
+                    held[1].append(shingles(h, n))
+                    size += len(h)
+            if size > 500_000:
+                add()
+                size = 0
+        add()
         for k, table in enumerate(tables):
             for b in range(len(table) >> TABLE_BLOCK_BITS):
                 part = table[b << TABLE_BLOCK_BITS : (b + 1) << TABLE_BLOCK_BITS]
                 if part.any():
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([1000 * k + b], pa.int32()), pa.array([zlib.compress(part.astype("<i8").tobytes(), 1)], pa.binary())], names=["part", "counts"]
+                        [pa.array([1000 * k + b], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=["part", "counts"]
                     )
 
     def add(key, rows):
@@ -113,41 +129,45 @@ def ordered_set(hashes: np.ndarray, n: int, word_table: np.ndarray, gram_table:
     return g[np.lexsort((g, key[first], seen))]
 
 
-def sets(docs: DataFrame, n: int, tables, t: tuple[int, int], with_set: bool) -> DataFrame:
-    """``id, text`` → id, size, signature (16 bytes of a digest), prefix or the whole ordered set as bytes."""
+def sets(docs: DataFrame, n: int, tables, t: tuple[int, int], with_set: bool, marks=None) -> DataFrame:
+    """``id, text`` (with ``marks``, a broadcast bit table: also ``at``, rows without their bit are left out) → id, size, signature (16 bytes of a digest), profile, prefix or the whole ordered set as bytes."""
     shared = docs.sparkSession.sparkContext.broadcast(tables)
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, (word_table, gram_table) = WordHash(), shared.value
         for batch in batches:
-            size, sign, blob = [], [], []
+            if marks is not None:
+                pos = batch.column("at").to_numpy(zero_copy_only=False)
+                batch = batch.filter(pa.array(((marks.value[pos >> 3] >> (pos & 7).astype(np.uint8)) & 1).astype(bool)))
+            size, sign, profile, blob = [], [], [], []
             for text in bytes_of(batch, "text"):
                 hashes = cache.of(words_of(text))
                 s = ordered_set(hashes, n, word_table, gram_table) if len(hashes) else np.empty(0, np.uint64)
                 size.append(len(s))
+                profile.append(np.minimum(np.bincount((s >> np.uint64(64 - PROFILE_BITS)).astype(np.int64), minlength=1 << PROFILE_BITS), 255).astype(np.uint8).tobytes())
                 sign.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 if with_set:
                     blob.append(s.astype("<u8").tobytes())
                 else:
                     blob.append(s[: len(s) - need(len(s), t) + 1].view(np.int64).tolist() if len(s) else [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(size, pa.int64()), pa.array(sign, pa.binary()), pa.array(blob, pa.binary() if with_set else pa.list_(pa.int64()))],
-                names=["id", "size", "signature", "grams"],
+                [batch.column("id"), pa.array(size, pa.int64()), pa.array(sign, pa.binary()), pa.array(profile, pa.binary()), pa.array(blob, pa.binary() if with_set else pa.list_(pa.int64()))],
+                names=["id", "size", "signature", "profile", "grams"],
             )
 
-    return scan(docs, per_task, f"id long, size long, signature binary, grams {'binary' if with_set else 'array<long>'}")
+    return scan(docs, per_task, f"id long, size long, signature binary, profile binary, grams {'binary' if with_set else 'array<long>'}")
 
 
 class Trie:
     """Ordered sets with shared beginnings; answers which stored sets link with a given one, save those of its own component."""
 
-    __slots__ = ("t", "forest", "root")
+    __slots__ = ("t", "forest", "root")  # segments are arrays of 32-bit ranks
 
     def __init__(self, t: tuple[int, int], forest: Forest):
         # a node: [tokens, children by first token, sets that end here, smallest size, largest size, a document, mixed]
-        self.t, self.forest, self.root = t, forest, [[], {}, [], 1 << 60, 0, None, False]
+        self.t, self.forest, self.root = t, forest, [array("i"), {}, [], 1 << 60, 0, None, False]
 
-    def insert(self, tokens: list[int], doc: int) -> None:
+    def insert(self, tokens: array, doc: int) -> None:
         node, at, size, find = self.root, 0, len(tokens), self.forest.find
         while True:
             node[3], node[4] = min(node[3], size), max(node[4], size)
@@ -172,7 +192,7 @@ class Trie:
                 child = upper
             node, at = child, at + k
 
-    def links(self, tokens: list[int], doc: int) -> Iterator[int]:
+    def links(self, tokens: array, doc: int) -> Iterator[int]:
         """Documents of other components that link; the caller unites them, which prunes what is left of the walk."""
         size, t, find, rank = len(tokens), self.t, self.forest.find, {x: i for i, x in enumerate(tokens)}
         stack = [(c, 0, 0, 0) for c in self.root[1].values()]
@@ -209,10 +229,11 @@ def trie_links(ids: list[int], members: list[np.ndarray], sides: list[int], t: t
     order = np.empty(len(count), np.int64)
     order[np.argsort(-count, kind="stable")] = np.arange(len(count))
     ranks = order[inverse]
+    del flat, inverse, count, order
     forest, found = Forest(), []
     trie = Trie(t, forest)
     for k in sorted(range(len(ids)), key=lambda k: (sides[k] == 2, len(members[k]), ids[k])):
-        tokens = np.sort(ranks[where[k] : where[k + 1]]).tolist()
+        tokens = array("i", np.sort(ranks[where[k] : where[k + 1]]).astype(np.int32).tobytes())
         if sides[k] != 1:
             for other in trie.links(tokens, ids[k]):
                 if forest.union(other, ids[k]):
@@ -246,7 +267,8 @@ def ngram_join(
     """Per row: id, size (of its set), component (smallest id reachable by links)."""
     found, tables, rows = classes(docs, n, threshold, id_col, text_col)
     filled = found.filter("size > 0 AND id IS NOT NULL")
-    reps = filled.groupBy("signature", "size").agg(F.min("id").alias("rep"), F.min_by("grams", "id").alias("grams"))
+    reps = filled.groupBy("signature", "size").agg(F.min("id").alias("rep"), F.min_by(F.struct("grams", "profile"), "id").alias("of"))
+    reps = reps.select("signature", "size", "rep", "of.grams", "of.profile")
     reps = written(reps, "join-classes")
     links = cluster_links(reps, rows, tables, n, threshold, block)
     parts = written(components(links), "join-components")
@@ -256,10 +278,60 @@ def ngram_join(
     return small.select("id", "size", F.coalesce("component", "id").alias("component"))
 
 
+def plausible_pairs(gram: np.ndarray, rep: np.ndarray, size: np.ndarray, profile: np.ndarray, side: np.ndarray, t: tuple[int, int]) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that share a shingle and may link by size and profile.
+
+    The difference of two profiles is no more than the sets' symmetric difference, so no pair that links is left out.
+    """
+    order = np.lexsort((rep, size, gram))
+    gram, rep, size, profile, side = gram[order], rep[order], size[order], profile[order].astype(np.int16), side[order]
+    forest, found, at, step = Forest(), [], np.arange(len(gram)), 1
+    while True:
+        at = at[at + step < len(gram)]
+        at = at[gram[at] == gram[at + step]]
+        # sizes ascend within a shingle: once too large, all later ones are
+        at = at[-(-size[at + step] * t[0] // t[1]) <= size[at]]
+        if not len(at):
+            return found
+        for i in range(0, len(at), 200_000):
+            a = at[i : i + 200_000]
+            b = a + step
+            most = size[a] + size[b] - 2 * -(-(size[a] + size[b]) * t[0] // (t[0] + t[1]))
+            ok = (np.abs(profile[a] - profile[b]).sum(axis=1) <= most) & ((side[a] != side[b]) | (side[a] == 0))
+            for x, y in zip(rep[a[ok]].tolist(), rep[b[ok]].tolist(), strict=True):
+                if forest.union(x, y):
+                    found.append((x, y))
+        step += 1
+
+
+def plausible(live: DataFrame, t: tuple[int, int]) -> DataFrame:
+    """Edges between representatives that may link; a shingle with very many holders is compared in pairs of blocks."""
+
+    def per_group(rows):
+        columns = [rows.column(c).to_numpy() for c in ("gram", "rep", "size")]
+        profile = np.frombuffer(b"".join(rows.column("profile").to_pylist()), np.uint8).reshape(len(columns[0]), -1)
+        found = plausible_pairs(*columns, profile, rows.column("side").to_numpy(), t)
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    groups = -(-live.count() // POSTINGS)
+    blocks = F.ceil(F.col("holders") / F.lit(POSTINGS // 10)).cast("int")
+    few = live.filter(F.col("holders") <= POSTINGS // 10).select(
+        "gram", "rep", "size", "profile", F.lit(0).alias("side"), F.pmod(F.xxhash64("gram"), F.lit(max(1, groups))).alias("g"), F.lit(0).alias("i"), F.lit(0).alias("j")
+    )
+    many = live.filter(F.col("holders") > POSTINGS // 10).withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("rep"), blocks).cast("int")})
+    many = many.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "gram", "rep", "size", "profile", F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"),
+        F.col("gram").alias("g"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+    )
+    return few.unionByName(many).groupBy("g", "i", "j").applyInArrow(per_group, "a long, b long")
+
+
 def cluster_links(reps: DataFrame, rows: DataFrame, tables, n: int, t: tuple[int, int], block: int) -> DataFrame:
     posting = reps.select(F.explode("grams").alias("gram"), "rep")
-    shared = posting.groupBy("gram").agg(F.count(F.lit(1)).alias("holders"), F.min("rep").alias("least")).filter("holders > 1")
-    near = written(posting.join(shared, "gram").select(F.col("rep").alias("a"), F.col("least").alias("b")), "join-candidates")
+    shared = posting.groupBy("gram").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
+    live = posting.join(shared, "gram").join(reps.select("rep", "size", "profile"), "rep")
+    live = written(live.select("gram", "rep", "size", "profile", "holders"), "join-postings")
+    near = written(plausible(live, t), "join-candidates")
     clusters = components(near)
     clusters = written(clusters.unionByName(clusters.select(F.col("component").alias("node"), "component")).distinct(), "join-clusters")
     sizes = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
@@ -309,16 +381,8 @@ def sets_of(rows: DataFrame, live: DataFrame, tables, n: int, t: tuple[int, int]
     for r in marks.toLocalIterator():  # one row for each word of the fixed table at most
         view[r["word"]] = r["bits"]
     table = rows.sparkSession.sparkContext.broadcast(bits)
-
-    def per_task(batches):
-        marks = table.value
-        for batch in batches:
-            pos = batch.column("at").to_numpy(zero_copy_only=False)
-            keep = (marks[pos >> 3] >> (pos & 7).astype(np.uint8)) & 1
-            yield batch.filter(pa.array(keep.astype(bool))).select(["id", "text"])
-
-    hits = scan(rows.filter("id IS NOT NULL").select("id", "text", at.alias("at")), per_task, "id long, text string")
-    found = sets(hits, n, tables, t, True).select("id", "grams").dropDuplicates(["id"])
+    marked = rows.filter("id IS NOT NULL").select("id", "text", at.alias("at"))
+    found = sets(marked, n, tables, t, True, table).select("id", "grams").dropDuplicates(["id"])
     return live.join(found, "id")
 
 
