@@ -22,6 +22,10 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import itertools
+import json
+import sys
+import types
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -36,32 +40,118 @@ from chartloom.llm.common import bytes_of, quoted, scan, written
 
 WINDOW = 2048
 END_ID = 1
-#: Words whose ids a task remembers.
-KNOWN_WORDS = 400_000
+#: Words, and words without outer punctuation, whose ids a Python worker remembers.
+KNOWN_WORDS, KNOWN_CORES = 600_000, 1_000_000
+_OUTER = b".,;:!?|()"
+_BREAK = b"\0"
+
+
+def remembered(name: str) -> dict:
+    """A dictionary that later tasks of the same Python worker find again."""
+    place = sys.modules.setdefault("_chartloom_remembered", types.ModuleType("_chartloom_remembered"))
+    return place.__dict__.setdefault(name, {})
 
 
 class Tokens:
-    """Ids of whole texts, word by word: valid for tokenizers that drop white space and never join across it."""
+    """Ids of whole texts, word by word: valid for tokenizers that drop white space, never join across it and split off
+    punctuation. Ids are kept as packed bytes."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.kind = "<u2" if self.tokenizer.get_vocab_size() < 65536 else "<u4"
+        self.known, self.cores = remembered(f"words {path}"), remembered(f"cores {path}")
+        self.plain = self._letters_only(path)
+        self.mark = self.plain.encode(_BREAK.decode(), add_special_tokens=False).ids if self.plain else []
+
+    def _letters_only(self, path: str):
+        """The same model behind a plain split at white space, if its words are lower-cased runs of letters: lower-case
+        letters then need neither normalising nor the split by expressions."""
+        from tokenizers import Tokenizer
 
-    def ids(self, text: bytes, end_id: int) -> np.ndarray:
-        words, known = text.split(), self.known
-        new = list({w for w in words if w not in known})
-        if new:
-            if len(known) > KNOWN_WORDS:
-                known.clear()
-                new = list(set(words))
-            for i in range(0, len(new), 1000):
-                part = new[i : i + 1000]
-                coded = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-                known.update(zip(part, (e.ids for e in coded), strict=True))
-        out = list(itertools.chain.from_iterable(map(known.__getitem__, words)))
-        out.append(end_id)
-        return np.array(out, "<u4")
+        with open(path) as f:
+            spec = json.load(f)
+        steps = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+        splits = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        if steps[-1:] != ["Lowercase"] or [p.get("type") for p in splits] != ["Split", "ByteLevel"]:
+            return None
+        spec["normalizer"], splits[0] = None, {"type": "WhitespaceSplit"}
+        return Tokenizer.from_str(json.dumps(spec))
+
+    def packed(self, ids) -> bytes:
+        return np.asarray(ids, self.kind).tobytes()
+
+    def encode(self, words: list[bytes]) -> None:
+        """Ids of lower-case words of letters: many are encoded as one text with a mark between them."""
+        gap, size, mark = b" " + _BREAK + b" ", int(self.kind[2]), self.mark[0]
+        for i in range(0, len(words), 500):
+            part = words[i : i + 500]
+            ids = np.array(self.plain.encode_batch_fast([gap.join(part).decode()], add_special_tokens=False)[0].ids, np.int64)
+            cut = np.flatnonzero(ids == mark)
+            narrow = ids.astype(self.kind).tobytes()
+            starts, ends = [0, *((cut + 1) * size).tolist()], [*(cut * size).tolist(), len(narrow)]
+            self.cores.update((w, narrow[a:b]) for w, a, b in zip(part, starts, ends, strict=True))
+
+    @staticmethod
+    def core_of(word: bytes) -> bytes | None:
+        """The lower-case letters between outer punctuation, None if there is anything else; Latin letters only."""
+        if word.isalpha():
+            return word.lower()
+        if word.isascii():
+            return None
+        text = word.decode()
+        if text.isalpha() and max(text) < "\u0250" and unicodedata.is_normalized("NFC", text):
+            low = text.lower()
+            return low.encode() if low.isalpha() else None
+        return None
+
+    def learn(self, words: list[bytes]) -> None:
+        known, cores = self.known, self.cores
+        if len(known) > KNOWN_WORDS:
+            known.clear()
+        if len(cores) > KNOWN_CORES:
+            cores.clear()
+        simple, whole = [], []
+        for w in words:
+            inner = w.strip(_OUTER)
+            core = self.core_of(inner) if inner and len(self.mark) == 1 else None
+            if core is None:
+                whole.append(w)
+            else:
+                simple.append((w, inner, core))
+        self.encode(list({c for _, _, c in simple if c not in cores}))
+        outer = self.outer
+        for w, inner, core in simple:
+            if len(inner) == len(w):
+                known[w] = cores[core]
+            else:
+                at = w.index(inner)
+                known[w] = outer(w[:at]) + cores[core] + outer(w[at + len(inner) :])
+        for i in range(0, len(whole), 1000):
+            part = whole[i : i + 1000]
+            coded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
+            known.update((w, self.packed(e.ids)) for w, e in zip(part, coded, strict=True))
+
+    def outer(self, marks: bytes) -> bytes:
+        """Ids of punctuation before or after a word."""
+        if not marks:
+            return b""
+        if (ids := self.cores.get(marks)) is None:
+            ids = self.cores[marks] = self.packed(self.tokenizer.encode(marks.decode(), add_special_tokens=False).ids)
+        return ids
+
+    def ids(self, texts: list[bytes], end_id: int) -> list[bytes]:
+        """Packed ids of some texts, each with the end id; their new words are learned together."""
+        # A-Z in lower case first: the tokenizer does so too, but for its special tokens
+        low = [t.lower() if self.mark and b"<|" not in t else t for t in texts]
+        words, known, end = [t.split() for t in low], self.known, self.packed([end_id])
+        if new := [w for w in set(itertools.chain.from_iterable(words)) if w not in known]:
+            before = len(known)
+            self.learn(new)
+            if len(known) < before:  # forgotten, so the others are new again
+                self.learn([w for w in set(itertools.chain.from_iterable(words)) if w not in known])
+        return [b"".join(map(known.__getitem__, w)) + end for w in words]
 
 
 TOKENISED = "id long, source string, task int, start long, n long, ids binary"
@@ -74,16 +164,18 @@ def tokenised(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str,
         import zstandard
 
         pack, coder, place, task = zstandard.ZstdCompressor(level=1), Tokens(tokenizer_path), {}, TaskContext.get().partitionId()
+        width = int(coder.kind[2])
         for batch in batches:
             starts, sizes, blobs = [], [], []
             sources = batch.column("source").to_pylist()
-            for source, text in zip(sources, bytes_of(batch, "text"), strict=True):
-                ids = coder.ids(text, end_id)
-                starts.append(at := place.get(source, 0))
-                place[source] = at + len(ids)
-                sizes.append(len(ids))
-                narrow = ids.astype("<u2") if int(ids.max()) < 65536 else ids
-                blobs.append((b"\2" if narrow is not ids else b"\4") + pack.compress(narrow.tobytes()))
+            texts = bytes_of(batch, "text")
+            for i in range(0, len(texts), 100):  # new words of many texts at once
+                for source, ids in zip(sources[i : i + 100], coder.ids(texts[i : i + 100], end_id), strict=True):
+                    n = len(ids) // width
+                    starts.append(at := place.get(source, 0))
+                    place[source] = at + n
+                    sizes.append(n)
+                    blobs.append(bytes([width]) + pack.compress(ids))
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(sources, pa.string()), pa.array([task] * n, pa.int32()), pa.array(starts, pa.int64()),
