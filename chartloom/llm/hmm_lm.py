@@ -19,6 +19,7 @@ repeated rows are scored alike; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -127,13 +128,17 @@ class Coder(dict):
         self.order = np.argsort(v.hashes)
         self.sorted = v.hashes[self.order]
 
-    def __missing__(self, word: bytes) -> int:
+    def learn(self, documents: list[list[bytes]]) -> None:
+        """The codes of all words of some documents, looked up together."""
         if len(self) > 250_000:
             self.clear()
-        h = np.uint64(xxhash.xxh64_intdigest(word, seed=42))
-        i = int(np.searchsorted(self.sorted, h))
-        self[word] = code = int(self.order[i]) if i < len(self.sorted) and self.sorted[i] == h else -1
-        return code
+        new = [w for w in set(itertools.chain.from_iterable(documents)) if w not in self]
+        h = np.fromiter((xxhash.xxh64_intdigest(w, seed=42) for w in new), np.uint64, len(new))
+        code = np.full(len(new), -1)
+        if len(self.sorted):
+            at = np.minimum(np.searchsorted(self.sorted, h), len(self.sorted) - 1)
+            code = np.where(self.sorted[at] == h, self.order[at], -1)
+        self.update(zip(new, code.tolist(), strict=True))
 
 
 CODED = "id long, uid long, train boolean, n_tokens long, n_known long, base double, tail double, n_rare long, rare array<string>, codes binary"
@@ -151,8 +156,10 @@ def coded(docs: DataFrame, v: Vocabulary) -> DataFrame:
         end = np.log10(v.documents + 1.0) - base_total
         for batch in batches:
             out = [[] for _ in range(7)]
-            for text in bytes_of(batch, "text"):
-                words = words_of(text)
+            documents = [words_of(text) for text in bytes_of(batch, "text")]
+            for i, words in enumerate(documents):
+                if i % 200 == 0:
+                    coder.learn(documents[i : i + 200])
                 code = np.fromiter(map(coder.__getitem__, words), np.int64, len(words))
                 rare = code < 0
                 n_rare = int(rare.sum())
