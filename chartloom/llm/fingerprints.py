@@ -95,8 +95,12 @@ def sketches(texts: list[bytes]) -> list[np.ndarray]:
     return out
 
 
+def packed(sketch: np.ndarray) -> bytes:
+    return sketch.astype(">u4").tobytes()
+
+
 def fingerprint(sketch: np.ndarray) -> str:
-    return sketch.astype(">u4").tobytes().hex()
+    return packed(sketch).hex()
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -132,13 +136,14 @@ def compared(ids: list, texts: list[str], following: list[str]) -> list[list]:
     after = [own[i + 1] if i + 1 < len(texts) and following[i] is texts[i + 1] else next(rest) for i in range(len(texts))]
     turned = list(in_chunks(changed))
     return [
-        ids, [len(t) for t in texts], [hashlib.sha256(c).hexdigest() for c in changed], [fingerprint(s) for s in own], [fingerprint(s) for s in turned],
+        ids, [len(t) for t in texts], [hashlib.sha256(c).digest() for c in changed], [packed(s) for s in own], [packed(s) for s in turned],
         [likeness(a, b) for a, b in zip(own, turned, strict=True)], [likeness(a, b) for a, b in zip(own, after, strict=True)],
     ]
 
 
-COLUMNS = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-KINDS = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
+# digests and fingerprints stay bytes in the written table, which halves it, and become hex in the result
+COLUMNS = "id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
+KINDS = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64())
 NAMES = [c.split()[0] for c in COLUMNS.split(", ")]
 
 
@@ -193,7 +198,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     every = W.orderBy("part")  # one row for each range
     around = parts.withColumns({"next": F.lead("part").over(every), "least": F.min("part").over(W.partitionBy())}).select("part", F.coalesce("next", "least").alias("next"))
     edges = done.filter("edge = 'last'").select("id", "text", "part").join(around, "part").join(first, "next").select("id", "text", "following")
-    return done.filter("edge IS NULL").select(*NAMES).unionByName(scan(edges, _pairs, COLUMNS))
+    both = done.filter("edge IS NULL").select(*NAMES).unionByName(scan(edges, _pairs, COLUMNS))
+    return both.withColumns({c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")})
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
