@@ -1,13 +1,16 @@
-"""Licence notices in documents: a trained paragraph classifier, confirmed by comparison with templates.
+"""Licence notices in documents: a trained classifier of word windows, confirmed by comparison with templates.
 
-A paragraph is a line of the text. Its features are its distinct words and word pairs (lower case, letters and digits). A logistic
-regression per family, fitted on the template notices and on ordinary sentences that use the same words, gives each feature a weight;
-the margin between a family's own templates and everything else calibrates its score, so a paragraph below one half is of no known
-family. A prediction counts only if the paragraph also holds ``CONFIRM`` of the word pairs of a template of that family.
+A paragraph is a line of the text. Wherever a paragraph holds word pairs of a template close together (within ``SPREAD`` times its
+length), the window that the template would fill there is classified. Features of a window are its distinct words and word pairs
+(lower case, letters and digits). A logistic regression per family, fitted on the template notices and on ordinary sentences that use
+the same words, gives each feature a weight; the margin between a family's own templates and everything else calibrates its score.
+A window counts if its family's score is one half or more and if it holds ``CONFIRM`` of the word pairs of a template of that family.
+Words outside a window have no say, so a notice is found in a paragraph of any length. Where windows overlap, the one with most pairs
+of its template is the notice (LGPL before GPL); all notices that do not overlap are kept, of one family or of several.
 
-The corpus side is built-in functions only: lines without any cue word of a template are passed over, which loses nothing, because
+The corpus side is built-in functions only: paragraphs without any cue word of a template are passed over, which loses nothing, because
 every template keeps less than ``CONFIRM`` of its pairs when the pairs without a cue are taken away (checked when the model is made).
-The features of the remaining lines are joined with the weights, a table whose size the templates bound.
+Different paragraphs are searched once, different windows scored once, by joins with tables whose size the templates bound.
 
 Defined cases: NULL and empty texts have no paragraph; a document is reported once, with all families found in it; rows that share an
 id are reported with the notices of all of them; an empty table gives an empty result.
@@ -19,12 +22,14 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chartloom.llm.common import quoted
 
 CONFIRM = 0.6
+#: How many template lengths a notice may be spread over by words put in between.
+SPREAD = 2
 
 #: Usual notices of licence families: fixed values.
 TEMPLATES = [
@@ -115,7 +120,7 @@ def cue_words(confirm: float = CONFIRM) -> list[str]:
 class Model:
     weights: DataFrame  # family, feature, weight
     scales: DataFrame  # family, middle, slope: calibration of the margin
-    templates: DataFrame  # family, template, pair, pairs
+    templates: DataFrame  # family, template, pair, place (of the pair, from 0), pairs (different ones), size (words)
 
 
 def grams_of(text: str) -> list[str]:
@@ -160,35 +165,94 @@ def train(spark: SparkSession) -> Model:
         weights += [(family, g, float(v)) for g, v in zip(names, w, strict=True) if abs(v) > 0.01]
         weights.append((family, "", float(b)))
         scales.append((family, float(low + high) / 2, float(6 / max(low - high, 1.0))))
-    grams = [(f, k, p, len(pairs_of(t))) for k, (f, t) in enumerate(TEMPLATES) for p in pairs_of(t)]
+    grams = []
+    for k, (f, t) in enumerate(TEMPLATES):
+        w = re.findall("[a-z0-9]+", t.lower())
+        place = {p: i for i, p in reversed(list(enumerate(map(" ".join, zip(w, w[1:], strict=False)))))}
+        grams += [(f, k, p, i, len(place), len(w)) for p, i in sorted(place.items())]
     return Model(
         values(spark, "family, feature, weight", weights), values(spark, "family, middle, slope", scales),
-        values(spark, "family, template, pair, pairs", grams),
+        values(spark, "family, template, pair, place, pairs, size", grams),
     )
 
 
+def windows(different: DataFrame, model: Model, confirm: float) -> DataFrame:
+    """``key, family, template, held, low, high``: stretches of words (from 1) that hold ``confirm`` of a template's pairs.
+
+    ``different``: ``key, words``. A stretch begins and ends at a pair of the template, and is as wide as the template is there.
+    """
+    known_pairs = F.array(*[F.lit(p) for p in sorted({p for _, t in TEMPLATES for p in pairs_of(t)})])
+    pair = different.select("key", F.size("words").alias("n"), pairs(F.col("words")).alias("p")).filter(F.arrays_overlap("p", known_pairs))
+    hits = pair.select("key", "n", F.posexplode("p").alias("at", "pair")).join(model.templates, "pair")
+    group = ["key", "n", "family", "template", "pairs", "size"]
+    enough = hits.groupBy(*group).agg(F.collect_list(F.struct("at", "place")).alias("hits")).filter(
+        F.size(F.array_distinct("hits.place")) >= confirm * F.col("pairs")
+    )
+    longest = SPREAD * max(len(re.findall("[a-z0-9]+", t.lower())) for _, t in TEMPLATES)
+    following = Window.partitionBy("key", "template").orderBy("at").rowsBetween(0, longest - 1)
+    starts = enough.select(*group, F.inline("hits")).withColumn("next", F.collect_list(F.struct("at", "place")).over(following))
+    near = F.filter("next", lambda h: h["at"] - F.col("at") < SPREAD * F.col("size") - 1)
+    # only ends that add a pair of the template: any other end only makes the window wider
+    upto = starts.withColumn("next", near).filter(F.size(F.array_distinct("next.place")) >= confirm * F.col("pairs")).select(
+        *group, "at", "place", "next", F.posexplode("next").alias("k", "last")
+    ).withColumn("seen", F.slice("next.place", 1, F.col("k"))).filter(~F.array_contains("seen", F.col("last.place")))
+    held = F.size(F.array_distinct("seen")) + 1
+    return upto.withColumn("pairs_held", held).filter(F.col("pairs_held") >= confirm * F.col("pairs")).select(
+        "key", "family", "template", "at", "pairs_held", (F.col("pairs_held") / F.col("pairs")).alias("held"),
+        F.greatest(F.lit(1), F.col("at") - F.col("place") + 1).alias("low"),
+        F.least(F.col("n"), F.col("last.at") + F.col("size") - F.col("last.place")).alias("high"),
+    )
+
+
+def notices(found: DataFrame) -> DataFrame:
+    """The windows that are notices: of overlapping ones the best, then the best of what does not overlap it, and so on."""
+    # a window around another one of its template with as many pairs tells nothing more: first the best end of a start
+    start = Window.partitionBy("key", "template", "at").orderBy(F.desc("pairs_held"), "high")
+    found = found.withColumn("r", F.row_number().over(start)).filter("r = 1")
+    later = Window.partitionBy("key", "template").orderBy("at").rowsBetween(1, SPREAD * max(len(t.split()) for _, t in TEMPLATES) * 2)
+    found = found.withColumn("later", F.collect_list(F.struct("high", "pairs_held")).over(later)).filter(
+        ~F.exists("later", lambda o: (o["high"] <= F.col("high")) & (o["pairs_held"] >= F.col("pairs_held")))
+    )
+    # groups of windows that overlap from one to the next
+    order = Window.partitionBy("key").orderBy("low", "high", "template", "at")
+    reach = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    island = found.withColumn("new", F.when(F.col("low") <= reach, 0).otherwise(1))
+    island = island.withColumn("island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    ranked = F.struct(
+        (-F.col("pairs_held")).alias("rank"), (-F.col("held")).alias("less"), (F.col("high") - F.col("low")).alias("width"), (-F.col("score")).alias("worse"),
+        "family", "low", "high", "held", "score",
+    )
+    best_first = island.groupBy("key", "island").agg(F.array_sort(F.collect_list(ranked)).alias("all"))
+    kept = F.aggregate(
+        "all", F.slice("all", 1, 0),
+        lambda kept, w: F.when(F.exists(kept, lambda k: (k["low"] <= w["high"]) & (w["low"] <= k["high"])), kept).otherwise(F.concat(kept, F.array(w))),
+    )
+    return best_first.select("key", F.explode(kept).alias("w")).select("key", "w.low", "w.family", "w.score", "w.held")
+
+
 def paragraphs(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", confirm: float = CONFIRM) -> DataFrame:
-    """Paragraphs with a confirmed licence: id, line (from 0), family, score, held (share of the template's pairs)."""
+    """Notices: id, line (from 0), word (where it begins in the line, from 1), family, score, held (share of the template's pairs)."""
     cues = F.array(*[F.lit(c) for c in cue_words(confirm)])
     lines = docs.select(quoted(id_col).alias("id"), F.posexplode(F.split(quoted(text_col).cast("string"), "\n")).alias("line", "text"))
     near = lines.filter(F.arrays_overlap(words(F.col("text")), cues)).withColumn("key", F.sha2("text", 256))
-    # every different line is scored once, however many documents have it
-    different = near.groupBy("key", "text").agg(F.count(F.lit(1)).alias("n")).select("key", features(words(F.col("text"))).alias("features"))
-    known_pairs = F.array(*[F.lit(p) for p in sorted({p for _, t in TEMPLATES for p in pairs_of(t)})])
-    spread = different.filter(F.arrays_overlap("features", known_pairs)).select("key", F.explode(F.concat("features", F.array(F.lit("")))).alias("feature"))
-    margins = spread.join(model.weights, "feature").groupBy("key", "family").agg(F.sum("weight").alias("margin"))
-    scored = margins.join(model.scales, "family").withColumn("score", 1 / (1 + F.exp(-F.col("slope") * (F.col("margin") - F.col("middle")))))
-    best = scored.groupBy("key").agg(F.max(F.struct("score", "family")).alias("best")).select("key", "best.family", "best.score")
-    held = (
-        spread.select("key", F.col("feature").alias("pair")).join(model.templates, "pair").groupBy("key", "family", "template", "pairs")
-        .agg((F.count(F.lit(1)) / F.col("pairs")).alias("held")).groupBy("key", "family").agg(F.max("held").alias("held"))
+    # every different line is searched once, however many documents have it
+    different = near.groupBy("key", "text").agg(F.count(F.lit(1)).alias("n")).select("key", words(F.col("text")).alias("words"))
+    found = windows(different, model, confirm).join(different, "key").withColumn(
+        "window", F.array_join(F.slice("words", F.col("low"), F.col("high") - F.col("low") + 1), " ")
+    ).drop("words")
+    spread = found.select("family", "window").distinct().select(
+        "family", "window", F.explode(F.concat(features(F.split("window", " ")), F.array(F.lit("")))).alias("feature")
+    )
+    margins = spread.join(model.weights, ["family", "feature"]).groupBy("family", "window").agg(F.sum("weight").alias("margin"))
+    scored = margins.join(model.scales, "family").select(
+        "family", "window", (1 / (1 + F.exp(-F.col("slope") * (F.col("margin") - F.col("middle"))))).alias("score")
     )
-    confirmed = best.filter("score >= 0.5").join(held, ["key", "family"]).filter(F.col("held") >= confirm)
-    return near.select("id", "line", "key").join(confirmed, "key").select("id", "line", "family", "score", "held")
+    confirmed = notices(found.join(scored.filter("score >= 0.5"), ["family", "window"]))
+    return near.select("id", "line", "key").join(confirmed, "key").select("id", "line", F.col("low").alias("word"), "family", "score", "held")
 
 
 def licenses(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", confirm: float = CONFIRM) -> DataFrame:
-    """Per row: id, n_notices, families (comma-joined, by name), score (the highest)."""
+    """Per row: id, n_notices (that do not overlap), families (comma-joined, by name), score (the highest)."""
     found = paragraphs(docs, model or train(docs.sparkSession), id_col, text_col, confirm)
     per_doc = found.groupBy(F.col("id").alias("__id")).agg(
         F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("f"), F.max("score").alias("s")

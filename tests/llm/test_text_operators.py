@@ -138,6 +138,20 @@ def test_every_template_is_found_and_no_ordinary_sentence(table):
     assert {got[100 + i] for i in range(len(licenses.OTHERS))} == {""}
 
 
+def test_licence_notices_in_long_lines_and_several_in_one_line(table, sample):
+    """Ordinary words around a notice have no say, and a second notice of the line is not lost."""
+    english = " ".join(t for _, t, lang, *_ in sample if lang == "en" and t and "icense" not in t).replace("\n", " ")
+    lengths = (600, 1300, 3000, 8000)
+    rows = [(1000 * k + i, f"{english[i * 97 :][:n]} {t} {english[:n]}") for k, n in enumerate(lengths) for i, (_, t) in enumerate(licenses.TEMPLATES)]
+    rows += [(9000, "Released under the MIT License. Licensed under the Apache License, Version 2.0."),
+             (9001, "Licensed under CC BY-SA 4.0. Released under the MIT License. Licensed under CC BY-SA 4.0."), (9002, english[:100_000])]
+    got = {r["id"]: r for r in licenses.licenses(table(rows)).collect()}
+    for k in range(len(lengths)):
+        assert [got[1000 * k + i]["families"] for i in range(len(licenses.TEMPLATES))] == [f for f, _ in licenses.TEMPLATES]
+    assert got[9000]["families"] == "Apache-2.0,MIT" and got[9000]["n_notices"] == 2
+    assert got[9001]["families"] == "CC-BY-SA,MIT" and got[9001]["n_notices"] == 3 and got[9002]["families"] == ""
+
+
 # fingerprints
 
 
