@@ -1,6 +1,6 @@
 """Licence notices in documents: a trained classifier of word windows, confirmed by comparison with templates.
 
-A paragraph is a line of the text. Wherever a paragraph holds word pairs of a template close together (within ``SPREAD`` times its
+A paragraph is a run of lines up to a line without letters or digits, so hard-wrapped notices are whole, also in comments. Wherever a paragraph holds word pairs of a template close together (within ``SPREAD`` times its
 length), the window that the template would fill there is classified. Features of a window are its distinct words and word pairs
 (lower case, letters and digits). A logistic regression per family, fitted on the template notices and on ordinary sentences that use
 the same words, gives each feature a weight; the margin between a family's own templates and everything else calibrates its score.
@@ -9,8 +9,8 @@ Words outside a window have no say, so a notice is found in a paragraph of any l
 of its template is the notice (LGPL before GPL); all notices that do not overlap are kept, of one family or of several.
 
 The corpus side is built-in functions only: paragraphs without any cue word of a template are passed over, which loses nothing, because
-every template keeps less than ``CONFIRM`` of its pairs when the pairs without a cue are taken away (checked when the model is made).
-Different paragraphs are searched once, different windows scored once, by joins with tables whose size the templates bound.
+every template keeps less than ``CONFIRM`` of its pairs when the pairs without a cue are taken away (checked when the model is made),
+and so are those that hold too few pairs of every template; the others are a table in the shared folder. Different paragraphs are searched once, different windows scored once, by joins with tables whose size the templates bound.
 
 Defined cases: NULL and empty texts have no paragraph; a document is reported once, with all families found in it; rows that share an
 id are reported with the notices of all of them; an empty table gives an empty result.
@@ -25,9 +25,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import quoted
+from chartloom.llm.common import quoted, written
 
 CONFIRM = 0.6
+#: A line break before a line without letters or digits.
+BREAK = r"\n[^\p{L}\p{N}\n]*+(?=\n)"
 #: How many template lengths a notice may be spread over by words put in between.
 SPREAD = 2
 
@@ -50,8 +52,10 @@ TEMPLATES = [
     ("GPL", "Licensed under the GNU GPL version 2 or later."),
     ("GPL", "SPDX-License-Identifier: GPL-3.0-or-later"),
     ("LGPL", "This library is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License"),
     ("LGPL", "SPDX-License-Identifier: LGPL-2.1-or-later"),
     ("AGPL", "Licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License"),
     ("AGPL", "SPDX-License-Identifier: AGPL-3.0-only"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
@@ -176,14 +180,22 @@ def train(spark: SparkSession) -> Model:
     )
 
 
+def holds_one(text: Column, confirm: float) -> Column:
+    """Whether a paragraph holds ``confirm`` of the pairs of some template, wherever they stand."""
+    known = F.array_intersect(pairs(words(text)), F.array(*[F.lit(p) for p in sorted({p for _, t in TEMPLATES for p in pairs_of(t)})]))
+    each = F.array(*[
+        F.struct(F.array(*map(F.lit, pairs_of(t))).alias("pairs"), F.lit(confirm * len(pairs_of(t))).alias("least")) for _, t in TEMPLATES
+    ])
+    # the known pairs are few and made once per paragraph, the templates then pass over them
+    return F.exists(F.transform(F.array(known), lambda k: F.exists(each, lambda t: F.size(F.array_intersect(k, t["pairs"])) >= t["least"])), lambda x: x)
+
+
 def windows(different: DataFrame, model: Model, confirm: float) -> DataFrame:
     """``key, family, template, held, low, high``: stretches of words (from 1) that hold ``confirm`` of a template's pairs.
 
     ``different``: ``key, words``. A stretch begins and ends at a pair of the template, and is as wide as the template is there.
     """
-    known_pairs = F.array(*[F.lit(p) for p in sorted({p for _, t in TEMPLATES for p in pairs_of(t)})])
-    pair = different.select("key", F.size("words").alias("n"), pairs(F.col("words")).alias("p")).filter(F.arrays_overlap("p", known_pairs))
-    hits = pair.select("key", "n", F.posexplode("p").alias("at", "pair")).join(model.templates, "pair")
+    hits = different.select("key", F.size("words").alias("n"), F.posexplode(pairs(F.col("words"))).alias("at", "pair")).join(model.templates, "pair")
     group = ["key", "n", "family", "template", "pairs", "size"]
     enough = hits.groupBy(*group).agg(F.collect_list(F.struct("at", "place")).alias("hits")).filter(
         F.size(F.array_distinct("hits.place")) >= confirm * F.col("pairs")
@@ -231,11 +243,12 @@ def notices(found: DataFrame) -> DataFrame:
 
 
 def paragraphs(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", confirm: float = CONFIRM) -> DataFrame:
-    """Notices: id, line (from 0), word (where it begins in the line, from 1), family, score, held (share of the template's pairs)."""
+    """Notices: id, paragraph (from 0), word (where it begins there, from 1), family, score, held (share of the template's pairs)."""
     cues = F.array(*[F.lit(c) for c in cue_words(confirm)])
-    lines = docs.select(quoted(id_col).alias("id"), F.posexplode(F.split(quoted(text_col).cast("string"), "\n")).alias("line", "text"))
-    near = lines.filter(F.arrays_overlap(words(F.col("text")), cues)).withColumn("key", F.sha2("text", 256))
-    # every different line is searched once, however many documents have it
+    texts = docs.select(quoted(id_col).alias("id"), F.posexplode(F.split(quoted(text_col).cast("string"), BREAK)).alias("paragraph", "text"))
+    near = texts.filter(F.arrays_overlap(words(F.col("text")), cues)).filter(holds_one(F.col("text"), confirm))
+    near = written(near.withColumn("key", F.sha2("text", 256)), "license-paragraphs")
+    # every different paragraph is searched once, however many documents have it
     different = near.groupBy("key", "text").agg(F.count(F.lit(1)).alias("n")).select("key", words(F.col("text")).alias("words"))
     found = windows(different, model, confirm).join(different, "key").withColumn(
         "window", F.array_join(F.slice("words", F.col("low"), F.col("high") - F.col("low") + 1), " ")
@@ -248,7 +261,7 @@ def paragraphs(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
         "family", "window", (1 / (1 + F.exp(-F.col("slope") * (F.col("margin") - F.col("middle"))))).alias("score")
     )
     confirmed = notices(found.join(scored.filter("score >= 0.5"), ["family", "window"]))
-    return near.select("id", "line", "key").join(confirmed, "key").select("id", "line", F.col("low").alias("word"), "family", "score", "held")
+    return near.select("id", "paragraph", "key").join(confirmed, "key").select("id", "paragraph", F.col("low").alias("word"), "family", "score", "held")
 
 
 def licenses(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", confirm: float = CONFIRM) -> DataFrame:

@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import math
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -152,6 +153,23 @@ def test_licence_notices_in_long_lines_and_several_in_one_line(table, sample):
     assert got[9001]["families"] == "CC-BY-SA,MIT" and got[9001]["n_notices"] == 3 and got[9002]["families"] == ""
 
 
+def test_wrapped_licence_headers(table):
+    """Headers as they stand in files: wrapped at any width, in comments, with a blank line after them."""
+    again = "This {} is free software{} you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+    headers = [
+        ("GPL", again.format("program", ":", "", 3)), ("LGPL", again.format("library", ";", "Lesser ", 2.1)), ("AGPL", again.format("program", ":", "Affero ", 3)),
+        ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ]
+    rows, want = [], {}
+    for (family, text), width, mark, end in itertools.product(headers, (30, 50, 72), ("", "# ", " * ", "// "), ("\n", "\r\n")):
+        lines = ["demo.c", "", *textwrap.wrap(text, width), "", "int main"]
+        want[len(rows)] = (family, 1)
+        rows.append((len(rows), end.join(mark + x for x in lines)))
+    rows.append((len(rows), "Redistribution and use in source and binary forms\n\nwith or without\n\npermission of the owner"))
+    want[len(rows) - 1] = ("", 0)
+    assert {r["id"]: (r["families"], r["n_notices"]) for r in licenses.licenses(table(rows)).collect()} == want
+
+
 # fingerprints
 
 
