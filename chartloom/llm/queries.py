@@ -1,4 +1,4 @@
-"""The corpus operators bound to the documents table, with the SQL they are checked against."""
+"""The corpus operators bound to the benchmark tables, with the SQL they are checked against."""
 
 from __future__ import annotations
 
@@ -7,19 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.llm import exact_dedup, fingerprints, hmm_lm, language_id, licenses, mixing, ngram_join, packing, pii, substring_dedup
+from chartloom.llm import (
+    exact_dedup, fingerprints, hmm_lm, language_id, licenses, mixing, ngram_join, packing, periodic_runs, pii, substring_dedup, warc, whitening,
+)
+from chartloom.llm.common import SPACE
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_SQL: dict[str, str] = {}
 
 
-def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/documents.parquet")
-
-
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | None = None, table: str = "documents"):
     def register(fn: Callable[[DataFrame], DataFrame]):
-        LLM_QUERIES[name] = lambda spark, folder: fn(documents(spark, folder))
+        LLM_QUERIES[name] = lambda spark, folder: fn(spark.read.parquet(f"{folder}/{table}.parquet"))
         if sql:
             LLM_SQL[name] = sql
         return fn
@@ -138,3 +137,47 @@ def op9(docs: DataFrame) -> DataFrame:
 def op10(docs: DataFrame) -> DataFrame:
     pieces = packing.pack(docs, packing.default_tokenizer())
     return pieces.select(F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query("op11_whitening", table="embeddings")
+def op11(vectors: DataFrame) -> DataFrame:
+    return whitening.whiten(vectors).withColumnRenamed("id", "vec_id")
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """A tenth of the documents, by hash of the id, with a periodic tail in place of their last words."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split("text", SPACE), lambda w: w != "")
+    cut = docs.select("doc_id", "text", h.alias("h"), g.alias("g"), words.alias("w")).withColumn("n", F.size("w"))
+    start = F.col("g") % F.col("n")
+    period = 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))
+    tail = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.col("w")[F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")])
+    planted = cut.withColumn("a", F.when(F.col("n") > 0, start)).withColumn("p", period)
+    return planted.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), F.array_join(tail, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12(docs: DataFrame) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_periods(docs))
+    # least by (-length, start, period): the longest run, ties by start and period
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("q"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), F.col("best.s").alias("start"), (-F.col("best.l")).alias("length"),
+        F.col("best.q").alias("period"), F.floor(F.lit(-1000) * F.col("best.l") / F.col("best.q")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op13_warc", """
+WITH d AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+b AS (SELECT *, array_to_string(list_transform(range(8), k -> array_to_string(list_transform([15, 10, 5, 0], s ->
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(h, 1 + 5 * k::INTEGER, 5))::BIGINT >> s) & 31) + 1)::INTEGER, 1)), '')), '') AS payload_digest,
+      max(page_id) OVER (PARTITION BY h) AS original FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> original THEN original END AS refers_to
+FROM b
+""", table="pages")
+def op13(pages: DataFrame) -> DataFrame:
+    return warc.deduplicated(pages).select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
