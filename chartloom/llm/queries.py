@@ -170,11 +170,13 @@ def op12(docs: DataFrame) -> DataFrame:
     )
 
 
-@query("op13_warc", """
+DIGIT32 = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(h, {at}, 5))::BIGINT >> {shift}) & 31) + 1)::INTEGER, 1)"
+BASE32 = " || ".join(DIGIT32.format(at=1 + 5 * k, shift=shift) for k in range(8) for shift in (15, 10, 5, 0))
+
+
+@query("op13_warc", f"""
 WITH d AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
-b AS (SELECT *, array_to_string(list_transform(range(8), k -> array_to_string(list_transform([15, 10, 5, 0], s ->
-        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(h, 1 + 5 * k::INTEGER, 5))::BIGINT >> s) & 31) + 1)::INTEGER, 1)), '')), '') AS payload_digest,
-      max(page_id) OVER (PARTITION BY h) AS original FROM d)
+b AS (SELECT *, {BASE32} AS payload_digest, max(page_id) OVER (PARTITION BY h) AS original FROM d)
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> original THEN original END AS refers_to
 FROM b
