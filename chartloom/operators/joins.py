@@ -132,7 +132,7 @@ def lookback(
     values: Sequence[str],
     hours: float = 6,
     suffix: str = "_prev",
-    chunk_seconds: int = scans.DAY,
+    chunk_rows: int = scans.CHUNK_ROWS,
 ) -> DataFrame:
     """Values of the previous row of the same key, if it is less than ``hours`` old.
 
@@ -140,7 +140,7 @@ def lookback(
     """
     time = order[0]
     prior = F.struct(F.col(time).alias("__at"), *[F.col(v) for v in values])
-    out = scans.running(df, keys, order, {"__prior": scans.lag(prior)}, chunk_seconds)
+    out = scans.running(df, keys, order, {"__prior": scans.lag(prior)}, chunk_rows)
     age = F.unix_micros(F.col(time).cast("timestamp")) - F.unix_micros(F.col("__prior.__at").cast("timestamp"))
     fresh = all_of([F.col(k).isNotNull() for k in keys]) & (age < int(hours * 3_600_000_000))
     return out.withColumns({f"{v}{suffix}": F.when(fresh, F.col(f"__prior.{v}")) for v in values}).drop("__prior")
@@ -154,7 +154,7 @@ def asof_join(
     right_time: str,
     right_order: Sequence[str] = (),
     how: str = "inner",
-    chunk_seconds: int = scans.DAY,
+    chunk_rows: int = scans.CHUNK_ROWS,
 ) -> DataFrame:
     """For each left row the latest right row of the same key at or before it.
 
@@ -175,7 +175,7 @@ def asof_join(
     )
     both = l.unionByName(r, allowMissingColumns=True)
     order = ["__time", "__side", *[f"__tie{i}" for i in range(len(right_order))]]
-    out = scans.running(both, keys, order, {"__match": scans.last_so_far("__right")}, chunk_seconds)
+    out = scans.running(both, keys, order, {"__match": scans.last_so_far("__right")}, chunk_rows)
     out = out.filter(F.col("__side") == 1)
     if how == "inner":
         out = out.filter(F.col("__match").isNotNull())

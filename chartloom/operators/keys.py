@@ -73,13 +73,3 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
 
 def last_per_key(df: DataFrame, keys: Sequence[str], ordinal: str) -> DataFrame:
     return first_per_key(df, keys, [F.col(ordinal).desc_nulls_last()])
-
-
-def on_one_exchange(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
-    """(df shuffled by ``keys``, an aggregate that touches every column).
-
-    When rows and an aggregate of the same rows are joined, Spark computes the input twice unless
-    both branches read the same exchange, which needs them to use the same columns. The aggregate
-    counts over a hash of the whole row; keep it with a filter on ``>= 0``.
-    """
-    return df.repartition(*keys), F.count_if(F.hash(*df.columns) == 0)

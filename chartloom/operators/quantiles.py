@@ -1,15 +1,14 @@
-"""Exact interpolated quantiles without holding a group in memory.
+"""Exact interpolated quantiles by radix selection, without holding a group in memory.
 
-``percentile``/``median`` keep every distinct value of a group in one buffer. Instead:
+``percentile``/``median`` keep every distinct value of a group in one buffer. Here values become whole numbers in the same order (the
+bits of the double), which are read in three digits from the top:
 
-1. a mergeable sketch brackets each wanted position (pre-aggregated, bounded size); the larger the group, the narrower the
-   bracket, down to the sketch's own error;
-2. one more pass counts, per wanted quantile, the rows below its bracket and the distinct values inside it;
-3. the bracket is cut into buckets of equal width, whose counts tell which of them hold the position; only the values of those
-   are ranked, one bucket in a task.
+1. rows are counted by group and first digit, folded in every task before anything is shuffled; running sums over the digits tell
+   which of them hold the wanted positions, for all quantiles together;
+2. only rows under those digits are counted by their next digit, in the same way; then those under the digits found there by the last.
 
-The bracket only limits the work: the counts prove that it holds the position, and the job fails if it does not. Infinities and
-NaN (the largest value) are values like others.
+A digit whose rows all have one value needs no further level, so columns with few values are done after the first. No row is
+repeated for any quantile. A value that fills a group is one counter. Infinities and NaN (the largest value) are values like others.
 """
 
 from __future__ import annotations
@@ -22,11 +21,29 @@ from pyspark.sql import functions as F
 
 from chartloom.operators.keys import with_null_free_keys
 
-ACCURACY = 10_000
-# How far a bracket may reach to both sides of its quantile. With n rows it must cover the sketch's rank error (n / ACCURACY) and
-# two rows; the narrowest that does is taken, and beyond the widest the bracket has no end.
-REACH = [0.00015 * 4**k for k in range(6)]
-BUCKETS = 64
+#: Bits below each digit: the first has sign, exponent and eight bits of the fraction, the others 22 bits each.
+BELOW = (44, 22, 0)
+
+
+def ordered_bits(value: Column) -> Column:
+    """A whole number per double, in the same order: exponent and fraction, negated for negative values; -0.0 is 0.0."""
+    size = F.abs(value)
+    plain = (size >= 2.0**-1022) & (size < float("inf"))
+    small, size = size, F.when(plain, size).otherwise(1.0)
+    guess = F.floor(F.log2(size))
+    # the logarithm may round over a power of two
+    low = F.when(size < F.pow(F.lit(2.0), guess), guess - 1).when(size >= F.pow(F.lit(2.0), guess + 1), guess + 1).otherwise(guess)
+    half = F.floor(low / 2)  # the power in two steps stays in range
+    fraction = size / F.pow(F.lit(2.0), half) / F.pow(F.lit(2.0), low - half)
+    normal = (low + 1023) * F.lit(1 << 52) + ((fraction - 1) * F.lit(float(1 << 52))).cast("long")
+    tiny = (small * F.lit(2.0**537) * F.lit(2.0**537)).cast("long")
+    bits = (
+        F.when(plain, normal)
+        .when(F.isnan(value), F.lit(2047 * (1 << 52) + 1))
+        .when(small == float("inf"), F.lit(2047 * (1 << 52)))
+        .otherwise(tiny)
+    )
+    return F.when(F.isnan(value) | (value >= 0), bits).otherwise(-bits)
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles: dict[str, float]) -> DataFrame:
@@ -34,66 +51,52 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles: d
 
     Groups without any value do not appear.
     """
+    keys, probs = list(keys), list(quantiles.values())
     rows = df.select(*keys, F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
-    keys = list(keys)
     rows, on = with_null_free_keys(rows, keys)
-    group = [*on, *[k for k in keys if k not in on], "__n"]
-
-    probs = list(quantiles.values())
-    points = [min(max(p + s * d, 0.0), 1.0) for p in probs for s in (-1, 1) for d in REACH]
-    sketch = rows.groupBy(*on).agg(
-        F.count(F.lit(1)).alias("__n"), F.percentile_approx("__v", points, ACCURACY).alias("__q")
-    ).filter("__n > 0")
-
-    def end(i: int, side: int) -> Column:
-        """The bracket's end, NULL where it has none."""
-        out = F.lit(None).cast("double")
-        for k, d in reversed(list(enumerate(REACH))):
-            inside = 0 < probs[i] + (2 * side - 1) * d < 1
-            here = F.col("__q")[(2 * i + side) * len(REACH) + k] if inside else F.lit(None).cast("double")
-            out = F.when(F.lit(d - 1 / ACCURACY) * F.col("__n") >= 2, here).otherwise(out)
-        return out
-
-    sketch = sketch.select(*on, "__n", *[c for i in range(len(probs)) for c in (end(i, 0).alias(f"__lo{i}"), end(i, 1).alias(f"__hi{i}"))])
-    v = F.col("__v")
-
-    def entry(i: int) -> Column:
-        """(quantile, bucket, value) of a row up to the bracket's upper end; rows below the bracket are bucket -1 without value."""
-        lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
-        width = (hi - lo) / BUCKETS
-        cut = F.when((width > 0) & (width < float("inf")), F.least(F.greatest(F.floor((v - lo) / width), F.lit(0)), F.lit(BUCKETS))).otherwise(0)
-        inside = F.struct(F.lit(i).alias("i"), cut.cast("int").alias("b"), v.alias("x"))
-        below = F.struct(F.lit(i).alias("i"), F.lit(-1).alias("b"), F.lit(None).cast("double").alias("x"))
-        return F.when(hi.isNull() | (v <= hi), F.when(v < lo, below).otherwise(inside))
-
-    # without keys the sketch is one row, an aggregate over everything: the only side that is broadcast by hint
-    bracketed = rows.join(sketch, on) if on else rows.crossJoin(F.broadcast(sketch))
-    placed = bracketed.select(*group, F.explode(F.array_compact(F.array(*[entry(i) for i in range(len(probs))]))).alias("__en"))
-    placed = placed.select(*group, F.col("__en.i").alias("__i"), F.col("__en.b").alias("__b"), F.col("__en.x").alias("__x"))
-    counts = placed.groupBy(*group, "__i", "__b", "__x").agg(F.count(F.lit(1)).alias("__c"))
-
-    # at most BUCKETS + 2 rows per key and quantile
-    upto = W.partitionBy(*on, "__i").orderBy("__b").rowsBetween(W.unboundedPreceding, W.currentRow)
-    buckets = counts.groupBy(*on, "__n", "__i", "__b").agg(F.sum("__c").alias("__held")).withColumn("__to", F.sum("__held").over(upto))
-    buckets = buckets.withColumn("__start", F.col("__to") - F.col("__held"))
-    position = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("__i") + 1) * (F.col("__n") - 1)
-    needed = buckets.filter((F.col("__b") >= 0) & (F.col("__start") <= F.ceil(position)) & (F.col("__to") > F.floor(position)))
-    needed = needed.select(*on, "__i", "__b", "__start")
-
-    within = W.partitionBy(*on, "__i", "__b").orderBy("__x").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = counts.join(needed, [*on, "__i", "__b"]).withColumn("__to", F.col("__start") + F.sum("__c").over(within))
-    ranked = ranked.withColumn("__from", F.col("__to") - F.col("__c"))
-
-    def at(i: int, pos: Column) -> Column:
+    kept = [k for k in keys if k not in on]
+    rows = rows.select(*on, "__v", ordered_bits(F.col("__v")).alias("__bits"))
+
+    def wanted(n: Column) -> Column:
+        """The zero-based ranks on both sides of every position."""
+        at = [(n - 1) * F.lit(float(p)) for p in probs]
+        return F.array(*[f(a).cast("long") for a in at for f in (F.floor, F.ceil)])
+
+    found, digits, start = None, [], F.lit(0)
+    for level, below in enumerate(BELOW):
+        digit = f"__d{level}"
+        rows = rows.withColumn(digit, F.shiftright("__bits", below))
+        counted = rows.groupBy(*on, *digits, digit, *(["__n", "__start"] if level else [])).agg(
+            F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi")
+        )
+        group = W.partitionBy(*on, *digits)
+        if level == 0:
+            counted = counted.withColumn("__n", F.sum("__c").over(group)).withColumn("__start", F.lit(0).cast("long"))
+        upto = group.orderBy(digit).rowsBetween(W.unboundedPreceding, W.currentRow)
+        counted = counted.withColumn("__to", F.col("__start") + F.sum("__c").over(upto))
+        counted = counted.withColumn("__from", F.col("__to") - F.col("__c"))
+        digits = [*digits, digit]
+        held = F.exists(wanted(F.col("__n")), lambda at: (at >= F.col("__from")) & (at < F.col("__to")))
+        hit = counted.filter(held).select(*on, *digits, "__n", "__from", "__to", "__lo", "__hi")
+        single = F.col("__lo") == F.col("__hi") if below else F.lit(True)
+        done = hit.filter(single).select(*on, "__n", "__from", "__to", F.col("__lo").alias("__x"))
+        found = done if found is None else found.unionByName(done)
+        if below:
+            deeper = hit.filter(~single).select(*on, *digits, "__n", F.col("__from").alias("__start"))
+            rows = rows.drop("__n", "__start")
+            # without keys there are two digits per quantile at most: the only side that is broadcast by hint
+            rows = rows.join(deeper if on else F.broadcast(deeper), [*on, *digits])
+
+    def at(pos: Column) -> Column:
         # zero-based rank p belongs to the value whose count range holds it
-        return F.max(F.when((F.col("__from") <= pos) & (pos < F.col("__to")) & (F.col("__i") == i), F.col("__x")))
+        return F.max(F.when((F.col("__from") <= pos) & (pos < F.col("__to")), F.col("__x")))
 
     picks, results = [], []
     for i, (name, p) in enumerate(quantiles.items()):
         pos = (F.col("__n") - 1) * F.lit(float(p))
         a, b, w = F.col(f"__a{i}"), F.col(f"__b{i}"), pos - F.floor(pos)
-        picks += [at(i, F.floor(pos)).alias(f"__a{i}"), at(i, F.ceil(pos)).alias(f"__b{i}")]
-        missed = F.raise_error(F.lit(f"{name}: the bracket does not hold the position")).cast("double")
-        between = F.when((w == 0) | (a == b), a).otherwise(a * (1 - w) + b * w)
-        results.append(F.when(a.isNull() | b.isNull(), missed).otherwise(between).alias(name))
-    return ranked.groupBy(*group).agg(*picks).select(*keys, *results)
+        picks += [at(F.floor(pos)).alias(f"__a{i}"), at(F.ceil(pos)).alias(f"__b{i}")]
+        results.append(F.when((w == 0) | (a == b), a).otherwise(a * (1 - w) + b * w).alias(name))
+    picked = found.groupBy(*on, "__n").agg(*picks)
+    back = [F.when(~F.col(f"__null{i}"), F.col(f"__key{i}")).alias(k) if k in kept else F.col(k) for i, k in enumerate(keys)]
+    return picked.select(*back, *results)

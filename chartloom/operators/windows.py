@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chartloom.operators import scans
-from chartloom.operators.keys import any_of, first_per_key, null_safe_join, on_one_exchange
+from chartloom.operators.keys import any_of, first_per_key, null_safe_join
 
 
 def dedup_exact(df: DataFrame) -> DataFrame:
@@ -85,31 +86,28 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], in
 
 
 def window_string_agg(
-    df: DataFrame, keys: Sequence[str], value: str, into: str, sep: str = ", ", distinct: bool = False,
-    shared_exchange: bool = False,
+    df: DataFrame, keys: Sequence[str], value: str, into: str, sep: str = ", ", distinct: bool = False
 ) -> DataFrame:
     """Every row gets the sorted, joined values of its whole group (NULLs skipped, NULL if none).
 
-    Equal values are counted before they are gathered and the text is built once per group. With
-    ``shared_exchange`` rows and texts read one exchange by key: right for an input that is
-    expensive to compute and whose groups are small.
+    Equal values are counted before they are gathered and the text is built once per group.
     """
-    n = F.count(F.lit(1)).cast("int").alias("__n")
-    if shared_exchange:
-        df, touch = on_one_exchange(df, keys)
-        counts = df.groupBy(*keys, value).agg(n, touch.alias("__touch")).filter(F.col("__touch") >= 0)
-    else:
-        counts = df.groupBy(*keys, value).agg(n)
-    # NULL values are left out here, not filtered: a filter would split the shared exchange
-    entry = F.when(F.col(value).isNotNull(), F.struct(F.col(value).alias("v"), F.col("__n").alias("n")))
-    pairs = F.sort_array(F.collect_list(entry))
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).cast("int").alias("__n"))
+    pairs = F.sort_array(F.collect_list(F.struct(F.col(value).alias("v"), F.col("__n").alias("n"))))
     words = F.transform(pairs, lambda p: p["v"]) if distinct else F.flatten(
         F.transform(pairs, lambda p: F.array_repeat(p["v"], p["n"]))
     )
-    texts = counts.groupBy(*keys).agg(F.when(F.size(pairs) > 0, F.array_join(words, sep)).alias(into))
+    texts = counts.groupBy(*keys).agg(F.array_join(words, sep).alias(into))
     return null_safe_join(df, texts, keys, "left")
 
 
+def window_string_in_place(df: DataFrame, within: Sequence[str], value: str, into: str, sep: str = ", ") -> DataFrame:
+    """``window_string_agg`` for rows that are already partitioned by some of the columns ``within`` and have small groups: one
+    window, no join and no shuffle."""
+    values = F.collect_list(value).over(W.partitionBy(*within))
+    return df.withColumn(into, F.when(F.size(values) > 0, F.array_join(F.sort_array(values), sep)))
+
+
 def partition_count(df: DataFrame, keys: Sequence[str], into: str = "n") -> DataFrame:
     """COUNT(*) OVER (PARTITION BY keys) as a pre-aggregated count joined back."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(into))

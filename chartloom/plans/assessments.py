@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.functions.numeric import coma_total
 from chartloom.functions.text import case_map, prefix_number, strict_sum, text_to_ordinal, three_valued_delirium
 from chartloom.functions.time import Zone
 from chartloom.operators.events import fetch_events, only_items
-from chartloom.operators.joins import dict_map, lookback, outer_merge, value_map
+from chartloom.operators.joins import dict_map, lookback, value_map
 from chartloom.operators.profiling import conditional_pivot_max
-from chartloom.operators.reshape import melt_keep_nulls, pivot_first, pivot_max, unpivot_drop_nulls
+from chartloom.operators.reshape import melt_keep_nulls, pivot_first, pivot_max
+from chartloom.operators.scans import materialised
 from chartloom.operators.sets import concat_align, union_all
 from chartloom.operators.windows import dedup_keys
 
@@ -46,7 +47,7 @@ BRADEN_WORDS = {
     "braden_sensory": ["Completely Limited", "Very Limited", "Slight Impairment", "No Impairment"],
 }
 CAM_ITEMS = [228300, 228337, 229326, 228301, 228336, 229325, 228302, 228334, 228303, 228335, 229324]
-CAM_MENTAL_ITEM = 228300
+CAM_MENTAL_ITEM, CAM_MENTAL_LABEL = 228300, "CAM-ICU MS Change"
 CAM_LABELS = {
     "CAM-ICU MS Change": "cam_mental",
     "CAM-ICU Inattention": "cam_inattention",
@@ -69,6 +70,7 @@ def coma_scale(chart_events: DataFrame) -> DataFrame:
         "eyes": (F.col("itemid") == GCS_EYES, F.col("valuenum").cast("double")),
         "unable": (is_verbal & ett, F.lit(1)),
     })
+    base = materialised(base, "coma-scale")
     df = lookback(base, ["stay_id"], ["charttime", "subject_id"], ["motor", "verbal", "eyes"], hours=6)
     c = F.col
     return df.select(
@@ -92,65 +94,64 @@ def gcs(chart_events: DataFrame, icu_stays: DataFrame) -> DataFrame:
     )
 
 
-def sedation(tables: dict[str, DataFrame], dictionary: DataFrame) -> DataFrame:
-    events = fetch_events(tables, dictionary, [RASS_ITEM], extra=["storetime"]).select(
+def charted(tables: dict[str, DataFrame], dictionary: DataFrame) -> DataFrame:
+    """Events of all instruments but the coma scale, fetched once and written: every instrument reads this narrow table."""
+    items = [RASS_ITEM, *BRADEN_ITEMS, *CAM_ITEMS, *SBT_CATEGORIES]
+    events = fetch_events(tables, dictionary, items, extra=["storetime"])
+    label = F.when(F.col("itemid") == CAM_MENTAL_ITEM, CAM_MENTAL_LABEL).otherwise(F.col("label"))
+    return materialised(
+        events.select("hadm_id", "time", "itemid", label.alias("label"), "value", "storetime"), "assessments"
+    )
+
+
+def sedation(events: DataFrame) -> DataFrame:
+    scored = events.filter(F.col("itemid") == RASS_ITEM).select(
         F.col("hadm_id").cast("string").alias("hospitalization_id"), F.col("time").alias("recorded_dttm"),
         F.lit(RASS_NAME).alias("assessment_name"), F.lit(RASS_CATEGORY).alias("assessment_category"),
         prefix_number("value").alias("numerical_value"), F.col("value").alias("text_value"), "storetime",
     )
     keys = ["hospitalization_id", "recorded_dttm", "assessment_category", "numerical_value"]
-    return dedup_keys(events, keys, ["storetime", "text_value"]).drop("storetime")
-
-
-def skin_risk(tables: dict[str, DataFrame], dictionary: DataFrame, source: str = "SOURCE") -> DataFrame:
-    """Braden sub-scores and total, with the charted words beside the numbers."""
-    events = fetch_events(tables, dictionary, BRADEN_ITEMS, extra=["storetime"])
-    words = pivot_first(events, ["hadm_id", "time"], "label", "value", BRADEN_LABELS, ["storetime", "value"])
-    scores = words.select("hadm_id", "time", *[text_to_ordinal(c, w).alias(c) for c, w in BRADEN_WORDS.items()])
-    scores = scores.withColumn("braden_total", strict_sum(*BRADEN_WORDS))
-    ids = ["hadm_id", "time"]
-    numbers = unpivot_drop_nulls(scores, ids, [*BRADEN_WORDS, "braden_total"], "assessment_category", "numerical_value")
-    texts = unpivot_drop_nulls(words, ids, list(BRADEN_WORDS), "assessment_category", "categorical_value")
-    both = outer_merge(numbers, texts, [*ids, "assessment_category"])
-    names = {category: label for label, category in BRADEN_LABELS.items()}
-    return both.select(
-        F.col("hadm_id").cast("string").alias("hospitalization_id"), F.col("time").alias("recorded_dttm"),
-        F.coalesce(
-            case_map("assessment_category", {"braden_total": COMPUTED.format(source=source), **names}), F.col("assessment_category")
-        ).alias("assessment_name"),
-        "assessment_category", F.col("numerical_value").cast("double").alias("numerical_value"), "categorical_value",
-    )
+    return dedup_keys(scored, keys, ["storetime", "text_value"]).drop("storetime")
 
 
-def delirium(tables: dict[str, DataFrame], dictionary: DataFrame, source: str = "SOURCE") -> DataFrame:
-    events = fetch_events(tables, dictionary, CAM_ITEMS, extra=["storetime"])
-    events = events.withColumn(
-        "label", F.when(F.col("itemid") == CAM_MENTAL_ITEM, "CAM-ICU MS Change").otherwise(F.col("label"))
-    )
-    wide = pivot_first(events, ["hadm_id", "time"], "label", "value", list(CAM_LABELS), ["storetime", "value"])
-    c = {label: F.col(f"`{label}`") for label in CAM_LABELS}
-    wide = wide.withColumn("cam_total", three_valued_delirium(
-        c["CAM-ICU MS Change"], c["CAM-ICU Inattention"], c["CAM-ICU Disorganized thinking"],
-        F.coalesce(c["CAM-ICU Altered LOC"], c["CAM-ICU RASS LOC"]),
-    ))
-    long = unpivot_drop_nulls(
-        wide, ["hadm_id", "time"], [*CAM_LABELS, "cam_total"], "assessment_name", "categorical_value"
-    )
-    return long.select(
-        F.col("hadm_id").cast("string").alias("hospitalization_id"), F.col("time").alias("recorded_dttm"),
-        F.when(F.col("assessment_name") == "cam_total", COMPUTED.format(source=source))
-        .otherwise(F.col("assessment_name")).alias("assessment_name"),
-        case_map("assessment_name", {**CAM_LABELS, "cam_total": "cam_total"}).alias("assessment_category"),
-        "categorical_value",
+def _entry(name: Column | str, category: str, number: Column, words: Column) -> Column:
+    name = F.lit(name) if isinstance(name, str) else name
+    return F.struct(
+        name.alias("assessment_name"), F.lit(category).alias("assessment_category"),
+        number.cast("double").alias("numerical_value"), words.cast("string").alias("categorical_value"),
     )
 
 
-def breathing_trials(tables: dict[str, DataFrame], dictionary: DataFrame) -> DataFrame:
-    events = fetch_events(tables, dictionary, list(SBT_CATEGORIES)).withColumn(
-        "assessment_category", case_map("itemid", SBT_CATEGORIES)
+def sheets(events: DataFrame, source: str = "SOURCE") -> DataFrame:
+    """Skin-risk sub-scores with the charted words, delirium answers, and both totals: one pivot and one fan-out for all cells."""
+    cells = {**BRADEN_LABELS, **{label: label for label in CAM_LABELS}}
+    kept = events.filter(F.col("itemid").isin([*BRADEN_ITEMS, *CAM_ITEMS]))
+    wide = pivot_first(kept, ["hadm_id", "time"], "label", "value", cells, ["storetime", "value"])
+    cell = {label: F.col(f"`{label}`") for label in CAM_LABELS}
+    wide = wide.withColumns({f"{c}_score": text_to_ordinal(c, w) for c, w in BRADEN_WORDS.items()}).withColumns({
+        "braden_total": strict_sum(*[f"{c}_score" for c in BRADEN_WORDS]),
+        "cam_total": three_valued_delirium(
+            cell["CAM-ICU MS Change"], cell["CAM-ICU Inattention"], cell["CAM-ICU Disorganized thinking"],
+            F.coalesce(cell["CAM-ICU Altered LOC"], cell["CAM-ICU RASS LOC"]),
+        ),
+    })
+    nothing, computed = F.lit(None), COMPUTED.format(source=source)
+    entries = [
+        *[_entry(label, c, F.col(f"{c}_score"), F.col(c)) for label, c in BRADEN_LABELS.items()],
+        _entry(computed, "braden_total", F.col("braden_total"), nothing),
+        *[_entry(label, category, nothing, cell[label]) for label, category in CAM_LABELS.items()],
+        _entry(computed, "cam_total", nothing, F.col("cam_total")),
+    ]
+    present = F.filter(F.array(*entries), lambda e: e["numerical_value"].isNotNull() | e["categorical_value"].isNotNull())
+    return wide.select(
+        F.col("hadm_id").cast("string").alias("hospitalization_id"), F.col("time").alias("recorded_dttm"), F.inline(present)
     )
+
+
+def breathing_trials(events: DataFrame) -> DataFrame:
     category, value = F.col("assessment_category"), F.col("value")
-    return events.select(
+    trials = events.filter(F.col("itemid").isin(list(SBT_CATEGORIES)))
+    return trials.withColumn("assessment_category", case_map("itemid", SBT_CATEGORIES)).select(
         F.col("hadm_id").cast("string").alias("hospitalization_id"), F.col("time").alias("recorded_dttm"),
         F.col("label").alias("assessment_name"), "assessment_category",
         F.when(category == "sbt_delivery_pass_fail", case_map("value", SBT_RESULTS)).alias("categorical_value"),
@@ -162,10 +163,13 @@ def patient_assessments(
     tables: dict[str, DataFrame], dictionary: DataFrame, icu_stays: DataFrame, groups: DataFrame, zone: Zone = Zone(),
     source: str = "SOURCE",
 ) -> DataFrame:
-    """``groups`` maps assessment_category to assessment_group; ``source`` names the source system."""
+    """``groups`` maps assessment_category to assessment_group; ``source`` names the source system.
+
+    Chart events are read twice: for the coma scale, by stay, and for all other instruments.
+    """
+    events = charted(tables, dictionary)
     df = concat_align(
-        gcs(tables["chartevents"], icu_stays), sedation(tables, dictionary), skin_risk(tables, dictionary, source),
-        delirium(tables, dictionary, source), breathing_trials(tables, dictionary),
+        gcs(tables["chartevents"], icu_stays), sedation(events), sheets(events, source), breathing_trials(events)
     )
     lookup = value_map(groups, "assessment_category", "assessment_group", decision=None)
     df = dict_map(df, lookup, "assessment_category", "assessment_group")

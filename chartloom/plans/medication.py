@@ -14,6 +14,7 @@ from chartloom.operators.joins import left_join_filtered_dim, two_step_null_safe
 from chartloom.operators.reshape import interval_to_points
 from chartloom.operators.windows import (
     dedup_keys, deprioritised_first, qualify_first, running_last_non_null, window_string_agg,
+    window_string_in_place,
 )
 from chartloom.sources.vocabulary import vocabulary
 
@@ -148,7 +149,9 @@ def flatten(df: DataFrame) -> DataFrame:
         "med_route_category",
     )
     order = ["admin_dttm", "_timestamp_type", "statusdescription", "med_dose", "med_dose_unit", "med_name"]
-    points = scans.running(points, ORDER_KEYS, order, {"_rn": scans.row_number()})
+    # written once: bounds, summaries and rows read it; an instant stays in one range, for the action names gathered by instant
+    points = scans.materialised(points, "medication-points")
+    points = scans.running(points, ORDER_KEYS, order, {"_rn": scans.row_number()}, whole=1, keep_range=True)
     at_start, bolus = F.col("_timestamp_type") == "starttime", F.col("statusdescription") == BOLUS
     action = (
         F.when(bolus & at_start, "[Started Bolus]")
@@ -182,9 +185,11 @@ def dedup_actions(points: DataFrame, rules: DataFrame | None = None) -> DataFram
     """One row per instant: the rule for the joined action names picks display name and dose row."""
     rules = action_rules(points) if rules is None else rules
     rules = rules.select("mar_action_names", "mar_action_name_to_display", "mar_action_name_w_correct_dose")
-    df = window_string_agg(
-        points, [*ORDER_KEYS, "admin_dttm"], "_mar_action_name", "mar_action_names", shared_exchange=True
-    )
+    if "__chunk" in points.columns:  # from ``flatten``: partitioned already
+        within = [*scans.range_keys(points, ORDER_KEYS), "admin_dttm"]
+        df = window_string_in_place(points, within, "_mar_action_name", "mar_action_names")
+    else:
+        df = window_string_agg(points, [*ORDER_KEYS, "admin_dttm"], "_mar_action_name", "mar_action_names")
     df = df.join(rules, "mar_action_names", "left")
     keep = F.col("mar_action_name_w_correct_dose")
     df = df.filter(keep.isNull() | (keep == F.col("_mar_action_name")))
@@ -216,12 +221,12 @@ def medication_admin(
     rules: DataFrame | None = None,
     zone: Zone = Zone(),
 ) -> tuple[DataFrame, DataFrame]:
-    """(continuous, intermittent) tables from one shared mapping step.
+    """(continuous, intermittent) tables from one shared mapping step, which is written when this is called.
 
     Route tables carry the order attributes plus ``med_route_category`` (and ``itemid`` for the
     special ones).
     """
-    shared = mapped_orders(tables, dictionary, mapping, routes, special_routes)
+    shared = scans.materialised(mapped_orders(tables, dictionary, mapping, routes, special_routes), "medication-orders")
     return from_mapped(shared, continuous_groups, intermittent_groups, rules, zone)
 
 

@@ -12,6 +12,7 @@ from chartloom.operators.events import (
 )
 from chartloom.operators.joins import dict_map, strict_dict_map, value_map
 from chartloom.operators.reshape import coalesce_columns, pivot_unique
+from chartloom.operators.scans import materialised
 from chartloom.operators.windows import ranked_dedup, running_any
 
 # ---- fixed values ----
@@ -106,6 +107,6 @@ def respiratory_support(
     implied = F.coalesce(F.trim("device_name").isin(TRACH_DEVICES), F.lit(False)) | F.coalesce(
         F.col("tracheostomy").try_cast("double") == 1, F.lit(False)
     )
-    # the wall-clock order is kept for the running flag, then the time becomes UTC
-    out = running_any(out, ["hospitalization_id"], ["recorded_dttm"], implied, "tracheostomy")
+    # written once, read for bounds, summaries and rows; the wall-clock order is kept for the running flag, then the time becomes UTC
+    out = running_any(materialised(out.withColumn("__implied", implied), "respiratory"), ["hospitalization_id"], ["recorded_dttm"], F.col("__implied"), "tracheostomy")
     return out.withColumn("recorded_dttm", zone.to_utc("recorded_dttm")).select(*COLUMNS)

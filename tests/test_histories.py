@@ -34,7 +34,7 @@ def grouped(data):
     return by_key
 
 
-@pytest.mark.parametrize("seed, chunk", [(1, 3600), (2, 86_400), (3, 10_000_000)])
+@pytest.mark.parametrize("seed, chunk", [(1, 1), (2, 7), (3, 50), (4, 1_000_000)])
 def test_running_matches_brute_force(spark, seed, chunk):
     data = history(seed)
     df = spark.createDataFrame(data, SCHEMA)
@@ -52,13 +52,38 @@ def test_running_matches_brute_force(spark, seed, chunk):
     assert got == want
 
 
-@pytest.mark.parametrize("wanted", [["id", "n"], ["id", "k", "t", "v", "f", "n"]])
-def test_running_shares_one_exchange(spark, wanted):
-    """Also when later steps need only some of the columns."""
-    df = spark.createDataFrame(history(5), SCHEMA)
-    out = scans.running(df, ["k"], ["t", "id"], {"n": scans.row_number()}).select(*wanted)
-    out.collect()
-    assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+def test_running_shuffles_rows_once(spark):
+    """Wide rows pass one exchange; bounds and summaries are aggregates that are sent to all tasks."""
+    df = spark.createDataFrame(history(5), SCHEMA).withColumn("wide", F.lit("w"))
+    plan = scans.running(df, ["k"], ["t", "id"], {"n": scans.row_number()})._jdf.queryExecution().executedPlan().toString()
+    nodes = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("__chunk" in n and "Partial" not in n for n in nodes) >= 1 and "SortMergeJoin" not in plan
+
+
+def test_running_of_null_times_and_ties(spark):
+    """NULL times come first; rows at one instant are told apart by the rest of the order, and may be cut anywhere."""
+    rnd = random.Random(8)
+    data = [(i, rnd.choice(["a", None]), rnd.choice([None, T0]), rnd.choice([None, "x", "y"]), False) for i in range(300)]
+    got = scans.running(spark.createDataFrame(data, SCHEMA), ["k"], ["t", "id"], {"n": scans.row_number(), "v": scans.last_so_far("v")}, 5)
+    got = {r["id"]: (r["n"], r["v"]) for r in got.collect()}
+    for key in ("a", None):
+        last = None
+        rows = sorted((r for r in data if r[1] == key), key=lambda r: (r[2] is not None, r[0]))
+        for n, r in enumerate(rows, 1):
+            last = r[3] if r[3] is not None else last
+            assert got[r[0]] == (n, last)
+
+
+def test_instants_stay_whole(spark):
+    """With ``whole`` rows of one instant share a range, and the result is grouped by instant without another shuffle."""
+    df = spark.createDataFrame(history(9), SCHEMA)
+    out = scans.running(df, ["k"], ["t", "id"], {"n": scans.row_number()}, 10, whole=1, keep_range=True)
+    keys = scans.range_keys(out, ["k"])
+    assert out.groupBy("k", "t").agg(F.countDistinct("__chunk").alias("c")).filter("c > 1").count() == 0
+    assert out.select("__chunk").distinct().count() > 3
+    grouped = windows.window_string_in_place(out, [*keys, "t"], "v", "s")
+    count = lambda d: d._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert count(grouped) == count(out)
 
 
 def test_running_replaces_its_own_input(spark):
@@ -154,8 +179,8 @@ def test_dedup_is_preaggregated(spark):
 def test_window_string_agg_variants_agree(spark, rows):
     df = spark.createDataFrame(history(9), SCHEMA)
     plainly = windows.window_string_agg(df, ["k", "t"], "v", "s")
-    shared = windows.window_string_agg(df, ["k", "t"], "v", "s", shared_exchange=True)
-    assert rows(plainly, "id", "s") == rows(shared, "id", "s")
+    in_place = windows.window_string_in_place(df, ["k", "t"], "v", "s")
+    assert rows(plainly, "id", "s") == rows(in_place, "id", "s")
     by = {}
     for i, k, t, v, _ in history(9):
         by.setdefault((k, t), []).append(v)
@@ -169,18 +194,48 @@ def test_find_duplicates_null_keys(spark, rows):
     assert rows(windows.find_duplicates(df, ["k"]), "id") == [(1,), (2,)]
 
 
-def test_hot_key_is_spread_over_tasks(spark):
-    """One key with all rows: the running window is computed in many partitions."""
-    df = spark.range(20_000).select(
-        F.lit("hot").alias("k"), "id",
-        (F.lit(T0).cast("timestamp_ntz") + F.col("id") * F.expr("INTERVAL '5' MINUTE")).alias("t"),
-    )
-    setting = "spark.sql.adaptive.coalescePartitions.enabled"
-    spark.conf.set(setting, "false")
+@pytest.mark.parametrize("time", ["moving", "one instant", "none"])
+def test_hot_key_is_spread_over_tasks(spark, time):
+    """One key with all rows, over many days, at one instant or without times: the window is computed in many partitions."""
+    at = {"moving": "timestamp_ntz'2024-03-01' + id * INTERVAL '5' MINUTE", "one instant": "timestamp_ntz'2024-03-01'", "none": "cast(NULL AS timestamp_ntz)"}
+    df = spark.range(40_000).selectExpr("'hot' AS k", "id", f"{at[time]} AS t")
+    off = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "64"}
+    before = {key: spark.conf.get(key) for key in off}
+    for key, value in off.items():
+        spark.conf.set(key, value)
     try:
-        out = scans.running(df, ["k"], ["t", "id"], {"n": scans.row_number()})
-        sizes = [r["c"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("c")).collect()]
-        assert out.filter("n <> id + 1").count() == 0
+        out = scans.running(df, ["k"], ["t", "id"], {"n": scans.row_number(), "prev": scans.lag("id")}, 500)
+        sizes = [r["c"] for r in out.select(F.spark_partition_id().alias("p"), "n").groupBy("p").agg(F.count("n").alias("c"), F.max("n")).collect()]
+        assert out.filter("n <> id + 1 OR NOT (prev <=> nullif(id - 1, -1))").count() == 0
     finally:
-        spark.conf.set(setting, "true")
-    assert sum(sizes) == 20_000 and len(sizes) >= 6 and max(sizes) < 20_000 / 3
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(sizes) == 40_000 and len(sizes) >= 16 and max(sizes) < 40_000 / 8
+
+
+def test_ordered_bits(spark):
+    from chartloom.operators.quantiles import ordered_bits
+
+    rnd = np.random.default_rng(4)
+    edge = [0.0, -0.0, 5e-324, 2.0**-1022, 2.0**-1022 - 5e-324, 1.7976931348623157e308, float("inf"), float("nan")]
+    near = [f * 2.0**e for e in range(-1020, 1020, 17) for f in (1.0, 1 - 2**-53, 1 + 2**-52)]
+    values = [s * v for v in [*edge, *near, *np.exp(rnd.normal(0, 50, 3000)).tolist()] for s in (1, -1)]
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").select("v", ordered_bits(F.col("v")).alias("b"))
+    pairs = [(r["v"], r["b"]) for r in df.collect()]
+    for v, b in pairs:
+        if v == v:
+            assert b == int(np.copysign(1, v) * int(np.array([abs(v)]).view(np.int64)[0]))
+        else:
+            assert b > max(x for w, x in pairs if w == w)
+
+
+def test_quantiles_read_in_levels(spark):
+    """Values that share all but their last bits need every level; nothing is exploded."""
+    values = [1.0 + k * 2.0**-52 for k in range(3_000)] + [1.0 + k * 2.0**-30 for k in range(1_000)]
+    df = spark.createDataFrame([(i % 2 and "a" or None, v) for i, v in enumerate(values)], "k string, v double")
+    out = exact_quantiles(df, ["k"], "v", {"q": 0.25, "m": 0.5, "t": 0.875})
+    assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r["k"]: r for r in out.collect()}
+    for key, part in (("a", values[1::2]), (None, values[::2])):
+        for name, p in (("q", 0.25), ("m", 0.5), ("t", 0.875)):
+            assert got[key][name] == pytest.approx(np.quantile(part, p), rel=1e-16)

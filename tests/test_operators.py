@@ -198,12 +198,11 @@ def test_failure_cases_collects_everything(spark, rows):
     )
     assert rows(quality.failure_cases(df, "t", rules), "check", "column", "value", "n") == [
         ("isin", "cat", "bad", 1), ("not_null", "id", None, 1), ("range", "fio2", "3.0", 1),
-        ("schema_missing", "gone", "string", 2), ("unique_values_eq", "cat", "bad", 1),
+        ("schema_missing", "gone", "string", None), ("unique_values_eq", "cat", "bad", 1),
         ("unique_values_eq", "cat", "never", 0),
     ]
 
 
-def test_vocabulary_limit_raises(spark):
-    df = spark.range(50).select(F.col("id").alias("itemid"))
-    with pytest.raises(ValueError, match="not a vocabulary"):
-        events.vocabulary_values(df, "itemid", limit=10)
+def test_vocabulary_values(spark):
+    df = spark.createDataFrame([(3,), (1,), (None,), (3,)], "itemid int")
+    assert events.vocabulary_values(df, "itemid") == [1, 3]
