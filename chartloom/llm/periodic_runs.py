@@ -32,7 +32,7 @@ from chartloom.llm.common import bytes_of, quoted, release, scan
 
 SHORTEST = 12
 #: Words that are sorted together.
-BATCH_WORDS = 250_000
+BATCH_WORDS = 100_000
 
 
 class Codes(dict):

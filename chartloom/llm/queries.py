@@ -148,8 +148,8 @@ def with_periods(docs: DataFrame) -> DataFrame:
     """A tenth of the documents, by hash of the id, with a periodic tail in place of their last words."""
     h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     g = F.floor(h / 10)
-    words = F.filter(F.split("text", SPACE), lambda w: w != "")
-    cut = docs.select("doc_id", "text", h.alias("h"), g.alias("g"), words.alias("w")).withColumn("n", F.size("w"))
+    words = F.when(h % 10 == 0, F.filter(F.split("text", SPACE), lambda w: w != ""))  # others are not cut at all
+    cut = docs.select("doc_id", "text", h.alias("h"), g.alias("g"), words.alias("w")).withColumn("n", F.coalesce(F.size("w"), F.lit(0)))
     start = F.col("g") % F.col("n")
     period = 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))
     tail = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.col("w")[F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")])
