@@ -25,25 +25,29 @@ from chartloom.operators.keys import with_null_free_keys
 BELOW = (44, 22, 0)
 
 
-def ordered_bits(value: Column) -> Column:
-    """A whole number per double, in the same order: exponent and fraction, negated for negative values; -0.0 is 0.0."""
-    size = F.abs(value)
-    plain = (size >= 2.0**-1022) & (size < float("inf"))
-    small, size = size, F.when(plain, size).otherwise(1.0)
-    guess = F.floor(F.log2(size))
-    # the logarithm may round over a power of two
-    low = F.when(size < F.pow(F.lit(2.0), guess), guess - 1).when(size >= F.pow(F.lit(2.0), guess + 1), guess + 1).otherwise(guess)
-    half = F.floor(low / 2)  # the power in two steps stays in range
-    fraction = size / F.pow(F.lit(2.0), half) / F.pow(F.lit(2.0), low - half)
-    normal = (low + 1023) * F.lit(1 << 52) + ((fraction - 1) * F.lit(float(1 << 52))).cast("long")
-    tiny = (small * F.lit(2.0**537) * F.lit(2.0**537)).cast("long")
+def with_ordered_bits(df: DataFrame, value: str, into: str) -> DataFrame:
+    """Adds a whole number per double, in the same order: exponent and fraction, negated for negative values; -0.0 is 0.0.
+
+    Step by step, so that no step repeats the one before; the result is never NULL, so joins on its digits add no filter.
+    """
+    v, size, plain, ratio, exponent = F.col(value), F.col("__size"), F.col("__plain"), F.col("__ratio"), F.col("__exponent")
+    df = df.withColumn("__size", F.abs(v))
+    df = df.withColumn("__plain", (size >= 2.0**-1022) & (size < float("inf")))
+    df = df.withColumn("__exponent", F.when(plain, F.least(F.floor(F.log2(size)), F.lit(1023))).otherwise(0))
+    # exact: division by a power of two; the logarithm may have rounded over one
+    df = df.withColumn("__ratio", F.when(plain, size / F.pow(F.lit(2.0), exponent)).otherwise(1.0))
+    df = df.withColumn("__exponent", exponent + F.when(ratio >= 2, 1).when(ratio < 1, -1).otherwise(0))
+    df = df.withColumn("__ratio", ratio * F.when(ratio >= 2, 0.5).when(ratio < 1, 2.0).otherwise(1.0))
     bits = (
-        F.when(plain, normal)
-        .when(F.isnan(value), F.lit(2047 * (1 << 52) + 1))
-        .when(small == float("inf"), F.lit(2047 * (1 << 52)))
-        .otherwise(tiny)
+        F.when(plain, (exponent + 1023) * F.lit(1 << 52) + ((ratio - 1) * float(1 << 52)).cast("long"))
+        .when(F.isnan(v), F.lit(2047 * (1 << 52) + 1))
+        .when(size == float("inf"), F.lit(2047 * (1 << 52)))
+        .otherwise((size * 2.0**537 * 2.0**537).cast("long"))
     )
-    return F.when(F.isnan(value) | (value >= 0), bits).otherwise(-bits)
+    df = df.withColumn("__bits", F.coalesce(bits, F.lit(0)))
+    signed = F.when((v < 0) & ~F.isnan(v), -F.col("__bits")).otherwise(F.col("__bits"))
+    kept = [c for c in df.columns if c not in ("__size", "__plain", "__exponent", "__ratio", "__bits")]
+    return df.select(*kept, signed.alias(into))
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles: dict[str, float]) -> DataFrame:
@@ -55,7 +59,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles: d
     rows = df.select(*keys, F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
     rows, on = with_null_free_keys(rows, keys)
     kept = [k for k in keys if k not in on]
-    rows = rows.select(*on, "__v", ordered_bits(F.col("__v")).alias("__bits"))
+    rows = with_ordered_bits(rows.select(*on, "__v"), "__v", "__bits")
 
     def wanted(n: Column) -> Column:
         """The zero-based ranks on both sides of every position."""

@@ -214,13 +214,13 @@ def test_hot_key_is_spread_over_tasks(spark, time):
 
 
 def test_ordered_bits(spark):
-    from chartloom.operators.quantiles import ordered_bits
+    from chartloom.operators.quantiles import with_ordered_bits
 
     rnd = np.random.default_rng(4)
     edge = [0.0, -0.0, 5e-324, 2.0**-1022, 2.0**-1022 - 5e-324, 1.7976931348623157e308, float("inf"), float("nan")]
     near = [f * 2.0**e for e in range(-1020, 1020, 17) for f in (1.0, 1 - 2**-53, 1 + 2**-52)]
     values = [s * v for v in [*edge, *near, *np.exp(rnd.normal(0, 50, 3000)).tolist()] for s in (1, -1)]
-    df = spark.createDataFrame([(float(v),) for v in values], "v double").select("v", ordered_bits(F.col("v")).alias("b"))
+    df = with_ordered_bits(spark.createDataFrame([(float(v),) for v in values], "v double"), "v", "b")
     pairs = [(r["v"], r["b"]) for r in df.collect()]
     for v, b in pairs:
         if v == v:
