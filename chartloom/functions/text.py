@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -98,51 +97,6 @@ def null_if(col: Column | str, sentinel: str = "NA") -> Column:
     return F.nullif(_c(col), F.lit(sentinel))
 
 
-def _alternatives(pattern: str) -> list[str]:
-    """Split a regex at its top-level alternation bars."""
-    parts, depth, current, i = [], 0, "", 0
-    while i < len(pattern):
-        ch = pattern[i]
-        if ch == "\\":
-            current += pattern[i : i + 2]
-            i += 2
-            continue
-        depth += {"(": 1, "[": 1, ")": -1, "]": -1}.get(ch, 0)
-        if ch == "|" and depth == 0:
-            parts.append(current)
-            current = ""
-        else:
-            current += ch
-        i += 1
-    return [*parts, current]
-
-
-_SPECIAL = re.compile(r"[\\.^$*+?()\[\]{}|]")
-
-
-def _found(source: Column, pattern: str, lowered: bool) -> Column:
-    """Whether the regex is found.
-
-    Plain alternatives become substring tests, and a whole-word alternative is only tried where
-    its word occurs at all; both are far cheaper than scanning with the regex.
-    """
-    plain, words, rest = [], [], []
-    for alternative in dict.fromkeys(_alternatives(pattern)):
-        word = re.fullmatch(r"\\b(.+)\\b", alternative)
-        if not _SPECIAL.search(alternative):
-            plain.append(alternative)
-        elif word and not _SPECIAL.search(word[1]):
-            words.append((word[1], alternative))
-        else:
-            rest.append(alternative)
-    flag = "(?i)" if lowered else ""
-    tests = [source.contains(a.lower() if lowered else a) for a in plain]
-    tests += [source.contains(w.lower() if lowered else w) & source.rlike(flag + a) for w, a in words]
-    if rest:
-        tests.append(source.rlike(flag + "|".join(rest)))
-    return reduce(lambda a, b: a | b, tests)
-
-
 def first_match(
     col: Column | str, rules: Sequence[tuple[str, str]], ignore_case: bool = False, default: Column | None = None
 ) -> Column:
@@ -151,7 +105,8 @@ def first_match(
     def cases(source: Column) -> Column:
         out = None
         for pattern, category in rules:
-            hit = _found(source, pattern, ignore_case)
+            # lower-cased text needs the flag only for patterns with capitals of their own
+            hit = source.rlike("(?i)" + pattern if ignore_case and pattern != pattern.lower() else pattern)
             out = F.when(hit, category) if out is None else out.when(hit, category)
         return out
 

@@ -6,11 +6,11 @@ the checks of a declared schema into one report.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -187,3 +187,105 @@ def failure_cases(df: DataFrame, table: str, rules: TableRules) -> DataFrame:
     parts += [check_isin(df, table, c, v) for c, v in rules.isin.items() if c in have and isinstance(v, DataFrame)]
     parts += [check_unique_values_eq(df, table, c, v) for c, v in rules.values_eq.items() if c in have]
     return reduce(DataFrame.unionByName, parts)
+
+
+@dataclass(frozen=True)
+class Metric:
+    """One rule as two aggregates: how many rows break it, and the least offending value."""
+
+    name: str
+    check: str
+    column: str
+    count: Column
+    example: Column
+    missing: bool = False  # a violation if the count is zero
+
+    def columns(self) -> list[Column]:
+        return [self.count.alias(f"{self.name}_n"), self.example.alias(f"{self.name}_v")]
+
+
+def observed_rules(df: DataFrame, rules: TableRules) -> list[Metric]:
+    """The rules on cells as aggregates of fixed size, for ``Dataset.observe`` while the table is written.
+
+    Value sets are lists here (``rules_for`` reads them from their vocabularies).
+    """
+    have, out = set(df.columns), []
+
+    def add(check: str, c: str, bad: Column, value: Column | None = None, missing: bool = False) -> None:
+        text = F.lit(None).cast("string") if value is None else value.cast("string")
+        out.append(Metric(f"m{len(out)}", check, c, F.count_if(bad), F.min(text if missing else F.when(bad, text)), missing))
+
+    def listed(values: Sequence | DataFrame, c: str) -> list:
+        if isinstance(values, DataFrame):
+            raise TypeError(f"{c}: permitted values must be a list here, see rules_for")
+        return list(values)
+
+    for c in rules.required:
+        if c in have:
+            add("not_null", c, F.col(c).isNull())
+    for c in rules.all_null:
+        if c in have:
+            add("all_null", c, F.col(c).isNotNull())
+    for c, values in rules.isin.items():
+        if c in have:
+            add("isin", c, F.col(c).isNotNull() & ~F.col(c).isin(listed(values, c)), F.col(c))
+    for c, (low, high) in rules.ranges.items():
+        if c in have:
+            add("range", c, ~F.col(c).between(low, high), F.col(c))
+    for c, values in rules.values_eq.items():
+        if c in have:
+            add("unique_values_eq", c, F.col(c).isNotNull() & ~F.col(c).cast("string").isin([str(v) for v in listed(values, c)]), F.col(c))
+            for v in values:
+                add("value_missing", c, F.col(c).cast("string") == str(v), F.lit(str(v)), missing=True)
+    return out
+
+
+def report_of(df: DataFrame, table: str, rules: TableRules, metrics: Sequence[Metric], found: Mapping) -> list[tuple]:
+    """Violations (table, check, column, example, n) from observed aggregates and from the schemas."""
+    actual = {f.name: f.dataType.simpleString() for f in df.schema}
+    wanted = {f.name: f.dataType.simpleString() for f in rules.schema}
+    rows = [(table, "schema_missing", c, t, None) for c, t in wanted.items() if c not in actual]
+    rows += [(table, "schema_type", c, actual[c], None) for c, t in wanted.items() if c in actual and actual[c] != t]
+    if rules.strict:
+        rows += [(table, "schema_unexpected", c, t, None) for c, t in actual.items() if c not in wanted]
+    for m in metrics:
+        n, example = found[f"{m.name}_n"], found[f"{m.name}_v"]
+        if m.missing and n == 0:
+            rows.append((table, m.check, m.column, example, 0))
+        elif not m.missing and n > 0:
+            rows.append((table, m.check, m.column, example, n))
+    return rows
+
+
+class RowCountChanged(AssertionError):
+    """A step that must keep its rows has changed their number."""
+
+
+class RowGuard:
+    """Row counts on both sides of steps that must keep them, collected while the result is computed.
+
+    Counts of a retried task can be too high, so a difference is confirmed by counting before it is an error.
+    """
+
+    def __init__(self) -> None:
+        self._open: list[tuple[str, DataFrame, DataFrame, Observation, Observation]] = []
+
+    def keep(self, name: str, before: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """``step(before)``, whose rows will be compared with those of ``before``."""
+        first, last, one = Observation(), Observation(), F.count(F.lit(1)).alias("n")
+        after = step(before.observe(first, one))
+        self._open.append((name, before, step(before), first, last))
+        return after.observe(last, one)
+
+    def confirm(self) -> dict[str, int]:
+        """To be called when the result has been written: rows per step; raises ``RowCountChanged``."""
+        counts = {}
+        for name, before, after, first, last in self._open:
+            counts[name] = first.get["n"]
+            if counts[name] != last.get["n"]:
+                a, b = before.count(), after.count()
+                if a != b:
+                    raise RowCountChanged(f"{name}: {a} rows before, {b} after")
+                counts[name] = a
+        self._open.clear()
+        return counts

@@ -5,15 +5,17 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chartloom.functions.time import Zone
-from chartloom.operators.quality import failure_cases
+from chartloom.operators.quality import RowGuard, failure_cases
+from chartloom.operators.scans import materialised
 from chartloom.plans import assessments, circulatory, codes, encounters, fluids, measurements, medication, respiratory
-from chartloom.plans.schemas import RULES
-from chartloom.session import shared_folder
-from chartloom.sources.outputs import OutputStore, write_output
+from chartloom.plans.schemas import rules_for
+from chartloom.sources.outputs import OutputStore, Staged, publish, published, stage_output
 
 log = logging.getLogger("chartloom.build")
 
@@ -29,13 +31,13 @@ class Inputs:
     source_name: str = "SOURCE"
     _written: dict[str, DataFrame] = field(default_factory=dict)
 
-    def once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    def once(self, name: str, make: Callable[[], DataFrame], guard: RowGuard | None = None) -> DataFrame:
         """An intermediate that several tables start from, written to the shared folder when first asked for."""
         if name not in self._written:
-            df = make()
-            path = shared_folder(df.sparkSession, name)
-            df.write.parquet(path)
-            self._written[name] = df.sparkSession.read.schema(df.schema).parquet(path)
+            made = materialised(make(), name)
+            if guard:
+                guard.confirm()
+            self._written[name] = made
         return self._written[name]
 
     @property
@@ -46,9 +48,10 @@ class Inputs:
 
 def _medication(i: Inputs) -> tuple[DataFrame, DataFrame]:
     v = i.vocabularies
+    guard = RowGuard()
     shared = i.once("medication-orders", lambda: medication.mapped_orders(
-        i.events, i.sources["d_items"], v["med_category"], v["med_route_category"], v["med_route_category_special"]
-    ))
+        i.events, i.sources["d_items"], v["med_category"], v["med_route_category"], v["med_route_category_special"], guard
+    ), guard)
     return medication.from_mapped(shared, v["continuous_med_groups"], v["intermittent_med_groups"], v.get("mar_action_dedup"), i.zone)
 
 
@@ -96,23 +99,43 @@ TABLES: dict[str, Callable[[Inputs], DataFrame]] = {
 def build_tables(
     inputs: Inputs, store: OutputStore, tables: Iterable[str] | None = None, cluster: bool = True
 ) -> dict[str, str]:
-    """Write the tables; returns table → path, or "failed: <reason>"."""
+    """Write the tables, then publish all that succeeded in one step; returns table → path, or "failed: <reason>".
+
+    Rules are checked while a table is written (``read_checks``); violations do not keep it from being published. Until the last
+    step readers see the release as it was.
+    """
     outcome: dict[str, str] = {}
+    staged: list[Staged] = []
+    spark: SparkSession | None = None
     for name in tables if tables is not None else TABLES:
         try:
             df = TABLES[name](inputs)
+            spark = df.sparkSession
             key = next((k for k in ("hospitalization_id", "patient_id") if k in df.columns), None)
-            outcome[name] = write_output(df, store, name, key if cluster else None)
+            done = stage_output(df, store, name, key if cluster else None, rules=rules_for(name, inputs.vocabularies))
+            staged.append(done)
+            outcome[name] = done.path
         except Exception as exc:  # reported per table, the others go on
             log.exception("building %s failed", name)
             outcome[name] = f"failed: {type(exc).__name__}: {str(exc).splitlines()[0] if str(exc) else ''}"
+    if staged:
+        number = publish(spark, store, staged)
+        rows = [(number, *row) for s in staged for row in s.report]
+        spark.createDataFrame(rows, "build bigint, " + CHECKS).coalesce(1).write.mode("append").parquet(f"{store.release}/_checks")
     return outcome
 
 
-def check_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One report of all rule violations over the built tables that have declared rules."""
-    parts = [failure_cases(df, name, RULES[name]) for name, df in tables.items() if name in RULES]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+CHECKS = "table string, check string, column string, example string, n bigint"
+
+
+def read_checks(spark: SparkSession, store: OutputStore, build: int | None = None) -> DataFrame:
+    """What the rules found while the tables of a build (the last by default) were written: one row per rule that was broken."""
+    found = spark.read.schema("build bigint, " + CHECKS).parquet(f"{store.release}/_checks")
+    number = build or published(spark, store).agg(F.max("build")).first()[0]
+    return found.filter(F.col("build") == number).drop("build")
+
+
+def check_tables(tables: Mapping[str, DataFrame], vocabularies: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """One report of all violations, value by value, over tables that exist already and have declared rules."""
+    rules = {name: rules_for(name, vocabularies or {}) for name in tables}
+    return reduce(DataFrame.unionByName, [failure_cases(df, name, rules[name]) for name, df in tables.items() if rules[name]])

@@ -11,6 +11,7 @@ from chartloom.functions.time import Zone, duration_minutes
 from chartloom.operators import scans
 from chartloom.operators.events import fetch_events, relevant_items, select_replace, vocabulary_values
 from chartloom.operators.joins import left_join_filtered_dim, two_step_null_safe_lookup
+from chartloom.operators.quality import RowGuard
 from chartloom.operators.reshape import interval_to_points
 from chartloom.operators.windows import (
     dedup_keys, deprioritised_first, qualify_first, running_last_non_null, window_string_agg,
@@ -65,7 +66,7 @@ def medication_events(tables: dict[str, DataFrame], dictionary: DataFrame, mappi
 
 
 def with_route(events: DataFrame, routes: DataFrame, special_routes: DataFrame) -> DataFrame:
-    """Route by the order's five attributes, else by four of them plus the item."""
+    """Route by the order's five attributes, else by four of them plus the item; every order row stays once."""
     usable = ~F.col("med_route_category").isin(UNUSABLE_ROUTES)
     out = two_step_null_safe_lookup(
         events, routes, special_routes, ROUTE_KEYS, "med_route_category", usable, SPECIAL_ROUTE_KEYS,
@@ -226,15 +227,23 @@ def medication_admin(
     Route tables carry the order attributes plus ``med_route_category`` (and ``itemid`` for the
     special ones).
     """
-    shared = scans.materialised(mapped_orders(tables, dictionary, mapping, routes, special_routes), "medication-orders")
+    guard = RowGuard()
+    shared = scans.materialised(mapped_orders(tables, dictionary, mapping, routes, special_routes, guard), "medication-orders")
+    guard.confirm()
     return from_mapped(shared, continuous_groups, intermittent_groups, rules, zone)
 
 
 def mapped_orders(
-    tables: dict[str, DataFrame], dictionary: DataFrame, mapping: DataFrame, routes: DataFrame, special_routes: DataFrame
+    tables: dict[str, DataFrame], dictionary: DataFrame, mapping: DataFrame, routes: DataFrame, special_routes: DataFrame,
+    guard: RowGuard | None = None,
 ) -> DataFrame:
-    """Order rows with route, category, duration and target table: what both tables start from."""
-    return augmented(with_route(medication_events(tables, dictionary, mapping), routes, special_routes), mapping)
+    """Order rows with route, category, duration and target table: what both tables start from.
+
+    The guard compares row counts around the route mapping; call its ``confirm`` when the result has been written.
+    """
+    events = medication_events(tables, dictionary, mapping)
+    routed = (guard or RowGuard()).keep("medication routes", events, lambda e: with_route(e, routes, special_routes))
+    return augmented(routed, mapping)
 
 
 def from_mapped(

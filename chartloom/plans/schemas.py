@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from chartloom.operators.events import vocabulary_values
 from chartloom.operators.quality import TableRules
 
 S, D, F32, I, B, TS, DATE, L = (
@@ -174,10 +177,25 @@ RULES: dict[str, TableRules] = {
 # ---- end of fixed values ----
 
 
-def rules_for(table: str, **vocabularies: DataFrame) -> TableRules:
-    """A table's rules, with permitted values read from vocabulary files added per column."""
-    base = RULES[table]
-    return TableRules(
-        base.schema, base.strict, base.required, {**base.isin, **vocabularies}, base.ranges, base.all_null,
-        base.values_eq,
-    )
+#: Columns whose permitted values come from a vocabulary: table -> column -> (vocabulary, its column).
+VOCABULARY_RULES = {
+    "labs": {"lab_category": ("labs", "lab_category")},
+    "input": {"input_category": ("input", "input_category"), "input_group": ("input", "input_group")},
+    "output": {"output_category": ("output", "output_category"), "output_group": ("output", "output_group")},
+    "vitals": {"vital_category": ("vitals", "vital_category")},
+    "medication_admin_continuous": {"med_category": ("med_category", "med_category"), "med_group": ("continuous_med_groups", "med_group")},
+    "medication_admin_intermittent": {"med_category": ("med_category", "med_category"), "med_group": ("intermittent_med_groups", "med_group")},
+}
+
+
+def rules_for(table: str, vocabularies: Mapping[str, DataFrame]) -> TableRules | None:
+    """A table's rules, with permitted values read from the curated vocabularies that are given."""
+    base = RULES.get(table)
+    if base is None:
+        return None
+    read = {
+        column: vocabulary_values(vocabularies[name], source)
+        for column, (name, source) in VOCABULARY_RULES.get(table, {}).items()
+        if name in vocabularies and source in vocabularies[name].columns
+    }
+    return TableRules(base.schema, base.strict, base.required, {**base.isin, **read}, base.ranges, base.all_null, base.values_eq)

@@ -224,7 +224,7 @@ def test_ordered_bits(spark):
     pairs = [(r["v"], r["b"]) for r in df.collect()]
     for v, b in pairs:
         if v == v:
-            assert b == int(np.copysign(1, v) * int(np.array([abs(v)]).view(np.int64)[0]))
+            assert b == int(np.copysign(1, v)) * int(np.array([abs(v)]).view(np.int64)[0])
         else:
             assert b > max(x for w, x in pairs if w == w)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chartloom.functions.time import Zone
 from chartloom.plans import encounters, medication
-from chartloom.plans.build import Inputs, build_tables, check_tables
+from chartloom.plans.build import Inputs, build_tables, check_tables, read_checks
 from chartloom.plans.schemas import RULES
 from chartloom.sources.catalog import MODULES, Catalog, csv_to_parquet, csv_to_parquet_many, read_source
 from chartloom.sources.outputs import OutputStore, read_output, write_output
@@ -159,6 +159,67 @@ def test_build_reports_failures_and_goes_on(spark, tmp_path):
     assert built.schema.fieldNames() == RULES["hospital_diagnosis"].schema.fieldNames()
     report = {(r["check"], r["column"], r["n"]) for r in check_tables({"hospital_diagnosis": built}).collect()}
     assert report == {("not_null", "diagnosis_code_format", 1)}
+    observed = {(r["check"], r["column"], r["n"]) for r in read_checks(spark, store).collect()}
+    assert observed == report  # collected while the table was written
+
+
+def test_failed_build_leaves_the_old_release(spark, tmp_path, monkeypatch):
+    """A build that is killed between tables publishes none of them; versions are found by build, and expire."""
+    from chartloom.plans import build
+    from chartloom.sources import outputs
+
+    store = OutputStore(str(tmp_path))
+    table = lambda n: spark.createDataFrame([(str(i), "A", 10) for i in range(n)], "hadm_id string, icd_code string, icd_version int")
+    monkeypatch.setattr(build, "TABLES", {"a": lambda i: i.sources["a"], "b": lambda i: i.sources["b"]})
+    build_tables(Inputs({"a": table(3), "b": table(4)}, {}), store)
+    assert [read_output(spark, store, n).count() for n in "ab"] == [3, 4]
+
+    def killed(i):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(build, "TABLES", {"a": lambda i: i.sources["a"], "b": killed})
+    with pytest.raises(KeyboardInterrupt):
+        build_tables(Inputs({"a": table(30)}, {}), store)
+    assert [read_output(spark, store, n).count() for n in "ab"] == [3, 4]
+    # a job that fails while it writes
+    broken = table(5).withColumn("x", F.when(F.col("hadm_id") == "3", F.raise_error(F.lit("no"))).otherwise(F.lit("1")))
+    monkeypatch.setattr(build, "TABLES", {"a": lambda i: broken, "b": lambda i: i.sources["b"]})
+    outcome = build_tables(Inputs({"b": table(6)}, {}), store)
+    assert outcome["a"].startswith("failed") and [read_output(spark, store, n).count() for n in "ab"] == [3, 6]
+    assert read_output(spark, store, "b", build=1).count() == 4
+    assert len(outputs.expire(spark, store, "b")) == 1 and read_output(spark, store, "b").count() == 6
+    with pytest.raises(FileNotFoundError):
+        read_output(spark, store, "c")
+
+
+def test_rules_are_observed_while_writing(spark, tmp_path):
+    from chartloom.operators.quality import TableRules
+    from chartloom.sources.outputs import stage_output
+    from pyspark.sql import types as T
+
+    df = spark.createDataFrame([("1", "bad", 3.0), (None, "ok", 0.5), ("2", None, None)], "id string, cat string, fio2 double").repartition(3)
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("gone", T.LongType())])
+    rules = TableRules(schema, True, ["id"], {"cat": ["ok"]}, {"fio2": (0.2, 1.0)}, ["fio2"], {"cat": ["ok", "never"]})
+    done = stage_output(df, OutputStore(str(tmp_path)), "t", "id", 2, rules)
+    assert done.rows == 3 and sorted(map(str, done.report)) == sorted(map(str, [
+        ("t", "schema_missing", "gone", "bigint", None), ("t", "schema_unexpected", "cat", "string", None),
+        ("t", "schema_unexpected", "fio2", "double", None), ("t", "not_null", "id", None, 1), ("t", "all_null", "fio2", None, 2),
+        ("t", "isin", "cat", "bad", 1), ("t", "range", "fio2", "3.0", 1), ("t", "unique_values_eq", "cat", "bad", 1),
+        ("t", "value_missing", "cat", "never", 0),
+    ]))
+
+
+def test_row_guard(spark):
+    from chartloom.operators.quality import RowCountChanged, RowGuard
+    from chartloom.operators.scans import materialised
+
+    df, dim = spark.range(50), spark.createDataFrame([(i, "x") for i in [1, 2, 2]], "id long, v string")
+    guard = RowGuard()
+    materialised(guard.keep("distinct look-up", df, lambda d: d.join(dim.dropDuplicates(["id"]), "id", "left")), "guard")
+    assert guard.confirm() == {"distinct look-up": 50}
+    materialised(guard.keep("ambiguous look-up", df, lambda d: d.join(dim, "id", "left")), "guard")
+    with pytest.raises(RowCountChanged, match="50 rows before, 51 after"):
+        guard.confirm()
 
 
 def test_scan_is_pruned_and_filtered(spark, tmp_path):
@@ -190,3 +251,32 @@ def test_one_shuffle_per_label_table(spark):
     units = vocabulary(spark, "careunit string, location_category string, location_type string", [("Ward", "ward", None)])
     plan = encounters.adt(transfers, units, "s")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan
+
+
+def test_isolates_are_told_apart_by_their_sensitivities(spark):
+    """Two orders with the same sensitivities are one isolate, a third with others is another; flags are no antibiotic."""
+    from chartloom.plans import microbiology
+
+    def row(hour, drug, result, organism="E. Coli"):
+        return (1, 2, at(1), at(9), at(hour), "Blood", "Culture", "cult", organism, drug, result)
+
+    data = [
+        row(1, "cefepime", "Resistant"), row(1, "Gentamicin 5", "susceptible"), row(2, "gentamicin", "Susceptible"), row(2, "Cefepime", "resistant "),
+        row(3, "cefepime", "susceptible"), row(3, "ESBL", "positive"), row(3, None, "resistant"), row(1, "cefepime", "intermediate", "yeast"),
+    ]
+    schema = "patient_id int, hospitalization_id int, lab_collect_dttm timestamp_ntz, lab_result_dttm timestamp_ntz, lab_order_dttm timestamp_ntz," \
+        " fluid_name string, micro_order_name string, method_name string, organism_name string, antibiotic_name string, susceptibility_name string"
+    names = "organism_name string, organism_category string, organism_group string"
+    ontology = vocabulary(spark, names, [("e. coli", "escherichia_coli", "gram negative"), ("E. COLI", "escherichia_coli", "gram negative")])
+    cultures = spark.createDataFrame(data, schema)
+    out = microbiology.microbiology_culture(cultures, ontology)
+    got = sorted((r["organism_category"] or "", r["organism_id"], r["n_orders"], r["antibiotic_category"], r["susceptibility_category"]) for r in out.collect())
+    assert got == [
+        ("", 1, 1, "cefepime", "intermediate"),
+        ("escherichia_coli", 1, 2, "cefepime", "non_susceptible"), ("escherichia_coli", 1, 2, "gentamicin", "susceptible"),
+        ("escherichia_coli", 2, 1, "cefepime", "susceptible"),
+    ]
+    doubtful = vocabulary(spark, names, [("e. coli", "a", "x"), ("E. coli", "b", "x")])
+    assert microbiology.ambiguous_organisms(cultures, doubtful).count() == 7
+    with pytest.raises(Exception, match="ambiguous organism"):
+        microbiology.microbiology_culture(cultures, doubtful).collect()
