@@ -315,3 +315,29 @@ CATEGORIES = ["big ring", "blue bolts", "green widget", "large gear", "red widge
 )
 def fuzzy_match(t: Tables):
     return joins.fuzzy_match(t.part, "p_name", CATEGORIES).withColumn("score", F.round("score", 4))
+
+
+def _words(table: str) -> str:
+    """Different words of six letters or more of a table's texts, in both engines."""
+    return f"SELECT DISTINCT w FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]{{6,}}')) AS w FROM {table})"
+
+
+@query(
+    "fuzzy_match_table",
+    with_ctes(
+        """SELECT n.w AS name, arg_min(c.w, (-score, c.w)) FILTER (WHERE score >= 80) AS category,
+          ROUND(MAX(score) FILTER (WHERE score >= 80), 4) AS score
+        FROM (SELECT n.w AS a, c.w AS b, 100.0 * (1 - CAST(levenshtein(n.w, c.w) AS DOUBLE) / greatest(length(n.w), length(c.w))) AS score FROM n CROSS JOIN c) x
+        JOIN n ON n.w = a JOIN c ON c.w = b GROUP BY n.w""",
+        n=_words("conversations"), c=_words("benchmark"),
+    ),
+)
+def fuzzy_match_table(t: Tables):
+    """A long category table: the words of one table against those of another, through the segment index."""
+
+    def words(df):
+        found = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{6,}"), F.lit(0)))
+        return df.select(found.alias("name")).distinct()
+
+    out = joins.fuzzy_match(words(t.conversations), "name", words(t.benchmark))
+    return out.select("name", "category", F.round("score", 4).alias("score"))

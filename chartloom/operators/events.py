@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,7 +58,7 @@ def fetch_events_by_table(
 def fetch_events(
     tables: Mapping[str, DataFrame],
     dictionary: DataFrame,
-    items: Iterable,
+    items: Iterable | DataFrame,
     original: bool = False,
     item: str = "itemid",
     links: str = "linksto",
@@ -64,9 +66,18 @@ def fetch_events(
 ) -> DataFrame:
     """Route items to their event tables through the dictionary and stack the events by name.
 
-    The item list is split per table on the driver from the (small) dictionary, so each scan gets
-    its own pushed-down item filter and tables without items are not read.
+    A list of items is split per table on the driver from the (small) dictionary, so each scan gets its own pushed-down item filter
+    and tables without items are not read. A DataFrame of items (column ``item``) may be of any size: nothing of it comes to the
+    driver, every given table is semi-joined with its part. Items that the dictionary does not link have no events
+    (``check_known_items`` reports them).
     """
+    if isinstance(items, DataFrame):
+        linked = items.select(item).distinct().join(dictionary.select(item, F.col(links).alias("__links")).distinct(), item)
+        parts = [
+            fetch_events_by_table(df, dictionary, linked.filter(F.col("__links") == name), name, original, item, extra)
+            for name, df in sorted(tables.items())
+        ]
+        return reduce(stack_events, parts)
     wanted = sorted(set(items))
     # bounded by the wanted items times the event tables
     routed = dictionary.filter(F.col(item).isin(wanted)).select(links, item).distinct().collect()

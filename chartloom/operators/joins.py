@@ -85,10 +85,15 @@ def two_step_null_safe_lookup(
 ) -> DataFrame:
     """Null-safe lookup on several keys with a per-item fallback; the first answer wins.
 
-    Both lookups are reduced to one row per key first, so the row count cannot change.
+    Both lookups are reduced to one row per key first, so the row count cannot change; a key with different answers fails the job.
     """
-    g = last_per_key(general.filter(general_only).select(*keys, F.col(value).alias("__general")), keys, "__general")
-    s = last_per_key(special.select(*special_keys, F.col(value).alias("__special")), special_keys, "__special")
+
+    def only(lookup: DataFrame, on: Sequence[str], into: str) -> DataFrame:
+        problem = F.raise_error(F.concat(F.lit(f"ambiguous {value}: "), F.array_join(F.sort_array(F.collect_set(value)), " / ")))
+        answer = F.when(F.count_distinct(value) > 1, problem.cast(lookup.schema[value].dataType)).otherwise(F.max(value))
+        return lookup.groupBy(*on).agg(answer.alias(into))
+
+    g, s = only(general.filter(general_only), list(keys), "__general"), only(special, list(special_keys), "__special")
     out = null_safe_join(df, g, list(keys), "left")
     out = null_safe_join(out, s, list(special_keys), "left")
     fallback = F.when(special_when, F.col("__special"))
@@ -214,13 +219,19 @@ def fuzzy_match(
     """Nearest category of each distinct name by Levenshtein ratio, NULL under ``min_score``.
 
     Names are de-duplicated first. A list of categories is held as a literal, so no pairs are shuffled, and ``score`` is the best
-    score of any category. For long vocabularies take a DataFrame (its first column): names meet only categories whose length
-    allows ``min_score`` (a join on the length), and ``score`` is NULL where none reaches it. Equal scores go to the
-    alphabetically first category.
+    score of any category. For long vocabularies take a DataFrame (its first column): names meet only categories with which they
+    share a segment, see ``fuzzy_candidates``; ``score`` is NULL where none reaches ``min_score``, and ``n_candidates`` is the number
+    of categories that were compared. Equal scores go to the alphabetically first category.
     """
     names = df.select(name).where(F.col(name).isNotNull()).distinct()
     if isinstance(categories, DataFrame):
-        return _fuzzy_join(names, name, categories.select(F.col(categories.columns[0]).alias("__c")), into, min_score)
+        vocabulary = categories.select(F.col(categories.columns[0]).alias("__c")).where(F.col("__c").isNotNull()).distinct()
+        pairs = fuzzy_candidates(names, name, vocabulary, "__c", min_score).withColumn("__s", similarity(F.col(name), F.col("__c")))
+        close = F.when(F.col("__s") >= min_score, F.struct((-F.col("__s")).alias("s"), F.col("__c").alias("c")))
+        best = pairs.groupBy(name).agg(F.min(close).alias("__b"), F.count(F.lit(1)).alias("n_candidates"))
+        return names.join(best, name, "left").select(
+            name, F.col("__b.c").alias(into), (-F.col("__b.s")).alias("score"), F.coalesce("n_candidates", F.lit(0)).alias("n_candidates")
+        )
     choices = F.array(*[F.lit(c) for c in sorted(set(categories), reverse=True)])
     scored = F.transform(
         choices, lambda c, i: F.struct(similarity(F.col(name), c).alias("score"), i.alias("i"), c.alias("c"))
@@ -233,12 +244,40 @@ def fuzzy_match(
     )
 
 
-def _fuzzy_join(names: DataFrame, name: str, categories: DataFrame, into: str, min_score: float) -> DataFrame:
-    # a distance is at least the difference of the lengths, so (short / long) bounds the ratio
-    share = F.lit(min_score / 100)
-    low, high = F.floor(F.length(name) * share), F.ceil(F.length(name) / F.greatest(share, F.lit(0.01)))
-    spread = names.withColumn("__l", F.explode(F.sequence(low, high)))
-    kept = categories.where(F.col("__c").isNotNull()).distinct().withColumn("__l", F.length("__c").cast("bigint"))
-    scored = spread.join(kept, "__l").withColumn("__s", similarity(F.col(name), F.col("__c"))).filter(F.col("__s") >= min_score)
-    best = scored.groupBy(name).agg(F.min(F.struct((-F.col("__s")).alias("s"), F.col("__c").alias("c"))).alias("__b"))
-    return names.join(best, name, "left").select(name, F.col("__b.c").alias(into), (-F.col("__b.s")).alias("score"))
+def fuzzy_candidates(names: DataFrame, name: str, categories: DataFrame, category: str, min_score: float) -> DataFrame:
+    """Pairs of a name and a category among which are all that reach ``min_score``.
+
+    A score allows ``d`` edits between texts of given lengths. A category is cut into d + 1 segments; d edits leave one of them as it
+    is, moved by d places at most. Categories are indexed by their segments and the length of the name looked for, and names look up
+    their substrings of the lengths such segments have: a join on text and length, whatever the number of categories. Texts so
+    short that they have no d + 1 segments are joined on their lengths.
+    """
+    share = min_score / 100
+    edits = lambda longest: F.floor(F.lit(1 - share) * longest + F.lit(1e-9)).cast("int")
+    low = lambda n: F.ceil(n * F.lit(share) - F.lit(1e-9)).cast("int")
+    high = lambda n: F.floor(n / F.lit(max(share, 0.01)) + F.lit(1e-9)).cast("int")
+
+    index = categories.select(F.col(category).alias("__c"), F.lower(category).alias("__t")).withColumn("__n", F.length("__t"))
+    index = index.withColumn("__l", F.explode(F.sequence(low(F.col("__n")), high(F.col("__n")))))
+    index = index.withColumn("__d", edits(F.greatest("__n", "__l"))).withColumn("__w", F.floor(F.col("__n") / (F.col("__d") + 1)).cast("int"))
+    texts = names.select(F.col(name), F.lower(name).alias("__q")).withColumn("__l", F.length("__q"))
+
+    short = index.filter("__w < 1").select("__c", "__l")
+    by_length = texts.join(short, "__l").select(name, "__c")
+
+    # d + 1 segments of width w or w + 1, the wider ones last
+    first_wide = F.col("__d") + 1 - (F.col("__n") - F.col("__w") * (F.col("__d") + 1))
+
+    def segment(i: Column) -> Column:
+        extra = F.greatest(i - first_wide, F.lit(0))
+        width = F.col("__w") + F.when(i >= first_wide, 1).otherwise(0)
+        at = i * F.col("__w") + extra
+        return F.struct(at.alias("at"), F.substr(F.col("__t"), at + 1, width).alias("s"))
+
+    cut = index.filter("__w >= 1").select("__c", "__l", "__d", F.inline(F.transform(F.sequence(F.lit(0), F.col("__d")), segment)))
+    widths = cut.groupBy("__l").agg(F.collect_set(F.length("s")).alias("__ws"))  # a few lengths per length of name
+    starts = F.sequence(F.lit(0), F.col("__l") - F.col("w"))
+    probes = texts.join(widths, "__l").select(name, "__l", "__q", F.explode("__ws").alias("w")).filter("w <= __l")
+    probes = probes.select(name, "__l", F.inline(F.transform(starts, lambda k: F.struct(k.alias("k"), F.substr(F.col("__q"), k + 1, F.col("w")).alias("s")))))
+    by_segment = probes.join(cut, ["__l", "s"]).filter(F.abs(F.col("k") - F.col("at")) <= F.col("__d")).select(name, "__c")
+    return by_segment.unionByName(by_length).distinct().withColumnRenamed("__c", category)

@@ -84,7 +84,7 @@ def test_guarded_sentinel_drop(spark):
 
 
 def test_fuzzy_match_with_a_table_of_categories(spark):
-    """The join on lengths finds what scoring all pairs finds, for any number of categories."""
+    """The segment index finds what scoring all pairs finds, for any number of categories, and compares few of them."""
     rnd = random.Random(2)
     word = lambda: "".join(rnd.choice("abc") for _ in range(rnd.randint(1, 9)))
     names = spark.createDataFrame([(word(),) for _ in range(80)] + [(None,), ("",)], "n string")
@@ -96,6 +96,23 @@ def test_fuzzy_match_with_a_table_of_categories(spark):
         assert by_join == by_list
     many = spark.range(3000).selectExpr("concat('category ', id) AS c")
     assert joins.fuzzy_match(spark.createDataFrame([("category 2999",)], "n string"), "n", many).first()["category"] == "category 2999"
+    # longer texts, edited: all pairs against the index
+    rnd = random.Random(5)
+    terms = sorted({"".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(4, 24))) for _ in range(300)})
+
+    def edited(t):
+        for _ in range(rnd.randint(0, 4)):
+            i = rnd.randrange(len(t) + 1)
+            t = rnd.choice([t[:i] + rnd.choice("abcdefgh") + t[i:], t[:i] + t[i + 1 :], t[:i] + "x" + t[i + 1 :]])
+        return t.upper() if rnd.random() < 0.2 else t
+
+    names = spark.createDataFrame([(edited(rnd.choice(terms)),) for _ in range(200)], "n string")
+    table = spark.createDataFrame([(c,) for c in terms], "c string")
+    for least in (70.0, 80.0, 90.0):
+        want = {r["n"]: (r["category"], r["score"] if r["category"] else None) for r in joins.fuzzy_match(names, "n", terms, min_score=least).collect()}
+        got = joins.fuzzy_match(names, "n", table, min_score=least).collect()
+        assert {r["n"]: (r["category"], r["score"]) for r in got} == want
+        assert sum(r["n_candidates"] for r in got) < len(got) * len(terms) / 4
 
 
 def test_what_would_be_lost_is_reported(spark):
@@ -206,3 +223,27 @@ def test_failure_cases_collects_everything(spark, rows):
 def test_vocabulary_values(spark):
     df = spark.createDataFrame([(3,), (1,), (None,), (3,)], "itemid int")
     assert events.vocabulary_values(df, "itemid") == [1, 3]
+
+
+def test_fetch_events_by_a_table_of_items(spark, rows):
+    """A DataFrame of items gives what the list gives, and nothing of it comes to the driver."""
+    chart = spark.createDataFrame(
+        [(1, 10, 5, "t", "a", 1.0, "u"), (2, 10, 5, "t", "b", 2.0, "u"), (9, 10, 5, "t", "c", 3.0, "u")],
+        "itemid int, hadm_id int, stay_id int, charttime string, value string, valuenum double, valueuom string",
+    )
+    procedures = spark.createDataFrame([(3, 10, 5, "t", "d", "u")], "itemid int, hadm_id int, stay_id int, endtime string, value string, valueuom string")
+    dictionary = vocabulary(spark, "itemid int, label string, linksto string", [(1, "x", "chartevents"), (2, "y", "chartevents"), (3, "z", "procedureevents")])
+    tables = {"chartevents": chart, "procedureevents": procedures}
+    items = spark.createDataFrame([(1,), (3,), (3,), (77,), (None,)], "itemid int")
+    by_table, by_list = events.fetch_events(tables, dictionary, items), events.fetch_events(tables, dictionary, [1, 3])
+    assert rows(by_table, *by_list.columns) == rows(by_list) and by_list.count() == 2
+
+
+def test_ambiguous_route_fails(spark):
+    df = spark.createDataFrame([("a", 1)], "k string, i int")
+    general = spark.createDataFrame([("a", "iv"), ("a", "iv")], "k string, r string")
+    special = spark.createDataFrame([("a", 1, "po")], "k string, i int, r string")
+    look = lambda g: joins.two_step_null_safe_lookup(df, g, special, ["k"], "r", F.lit(True), ["k", "i"], F.lit(True)).collect()
+    assert [r["r"] for r in look(general)] == ["iv"]
+    with pytest.raises(Exception, match="ambiguous r: im / iv"):
+        look(general.union(spark.createDataFrame([("a", "im")], "k string, r string")))
