@@ -2,16 +2,23 @@
 
 *Patterns* (e-mail, IP, card, phone) give the base spans, found left to right without overlap in linear time.
 
-*Terms.* A value found by a pattern is a protected entity. For every term within ``CONTEXT`` words of it the corpus tells how
-much it discloses: with n documents in all, PMI(t; e) = log2(n * n(t, e) / (n(t) * n(e))) against the information of the entity
-IC(e) = log2(n / n(e)). A term whose PMI reaches ``GENERALISE`` of IC(e) is generalised, one that reaches ``REMOVE`` is removed, wherever
-it occurs, provided that ``SUPPORT`` different contexts show it beside the entity (copies of one text are one context, so a chance
-neighbour in a copied text is none).
+*Terms.* A protected entity is a value found by a pattern, the domain of an address, or a kind of value: values pool into the other
+two. For a term t within ``CONTEXT`` words of an entity e the corpus tells how likely e is where t stands: of n(t) documents with t,
+n(t, e) show it beside e, in c different contexts (copies of one text are one). With p(e) = n(e) / n and a weight ``PRIOR`` for what is
+known without t,
 
-1. One scan finds the base spans of all documents and the contexts of the entities.
-2. Pairs of entity and term are counted; those with enough contexts are candidates.
-3. A second scan finds all occurrences of candidate terms (a table of fixed size passes over other words, the join is exact); their
-   documents give n(t), the disclosing ones give the additional spans. Without candidates it is left out.
+    p(e | t) = (c * n(t, e) / n(t) + PRIOR * p(e)) / (c + PRIOR),    PMI(t; e) = log2(p(e | t) / p(e)),    IC(e) = -log2 p(e).
+
+A term discloses e when it leaves at most ``GENERALISE`` bits of IC(e): IC(e) - PMI(t; e) <= GENERALISE. It is then generalised, wherever
+it occurs; at ``REMOVE`` bits or less it is removed. The prior asks for more contexts the rarer a term is beside e; one context alone is
+chance and never counts. The bound is in bits left, so it does not depend on the size of the corpus.
+
+1. One scan finds the base spans of all documents and the terms beside them; pairs of entity and term are counted.
+2. A second scan counts the documents of the terms that are left, folded per task: no occurrence leaves a task.
+3. A third scan gives the places of the disclosing terms, one row for a document that has any. They are few by their definition: most
+   documents with such a term have its entity. Without candidates or disclosing terms the later scans are left out.
+
+In both scans a table of fixed size passes over other words; exact joins on the term follow.
 
 Defined cases: NULL counts as empty; repeated rows have equal spans; a NULL id is a document like others; an empty table gives an
 empty result.
@@ -20,6 +27,8 @@ empty result.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +40,7 @@ from pyspark.sql import functions as F
 from chartloom.llm.common import bytes_of, quoted, scan, text_of, written
 
 KINDS = ("email", "ip", "card", "phone")
-CONTEXT, SUPPORT, GENERALISE, REMOVE = 10, 3, 0.9, 0.999
+CONTEXT, PRIOR, GENERALISE, REMOVE = 10, 0.5, 0.5, 0.1
 FILTER_BITS = 1 << 22
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -90,16 +99,23 @@ def terms(text: str, start: int = 0, end: int | None = None) -> Iterator[tuple[s
             yield m[0].lower(), m.start(), m.end()
 
 
-def contexts(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[int, int, list[str]]]:
-    """Entity, context (both hashed) and terms near each base span; other base spans give no terms."""
+def entities(kind: str, value: str) -> list[str]:
+    """What a value stands for: itself, its kind, and the domain of an address."""
+    return [f"value:{kind}:{value}", f"kind:{kind}", *([f"domain:{value.rpartition('@')[2].lower()}"] if kind == "email" else [])]
+
+
+def contexts(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[list[int], int, list[str]]]:
+    """Entities, context (hashed) and terms of the words near each base span; words with digits or addresses give no terms."""
+    words = [m.span() for m in _WORD.finditer(text)] if spans else []
+    starts, ends = [a for a, _ in words], [b for _, b in words]
     for kind, a, b in spans:
-        left = text[max(0, a - 40 * CONTEXT) : a].split()[-CONTEXT:]
-        right = text[b : b + 40 * CONTEXT].split()[:CONTEXT]
-        near = sorted({t for w in (*left, *right) if "@" not in w and not _DIGIT.search(w) for t, _, _ in terms(w)})
-        yield hash_of(f"{kind}:{text[a:b]}"), hash_of("\n".join(near)), near
+        before, after = bisect_right(ends, a), bisect_left(starts, b)
+        near = [text[p:q] for p, q in (*words[max(0, before - CONTEXT) : before], *words[after : after + CONTEXT])]
+        found = sorted({t for w in near if "@" not in w and not _DIGIT.search(w) for t, _, _ in terms(w)})
+        yield [hash_of(e) for e in entities(kind, text[a:b])], hash_of("\n".join(found)), found
 
 
-BASE = "id long, mark long, n_email long, n_ip long, n_card long, n_phone long, base string, entities array<struct<entity:bigint,context:bigint,near:array<string>>>"
+BASE = "id long, mark long, n_email long, n_ip long, n_card long, n_phone long, base string, near array<struct<entities:array<bigint>,context:bigint,terms:array<string>>>"
 
 
 def found(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -107,7 +123,7 @@ def found(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataF
     rows = docs.select(quoted(id_col).cast("long").alias("id"), text_of(f"`{text_col}`").alias("text")).withColumn("mark", F.xxhash64("text"))
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entity = pa.list_(pa.struct([("entity", pa.int64()), ("context", pa.int64()), ("near", pa.list_(pa.string()))]))
+        entity = pa.list_(pa.struct([("entities", pa.list_(pa.int64())), ("context", pa.int64()), ("terms", pa.list_(pa.string()))]))
         for batch in batches:
             counts, base, near = [[] for _ in KINDS], [], []
             for raw in bytes_of(batch, "text"):
@@ -116,84 +132,125 @@ def found(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataF
                 for kind, column in zip(KINDS, counts, strict=True):
                     column.append(sum(s[0] == kind for s in spans))
                 base.append(joined(spans))
-                near.append([{"entity": e, "context": c, "near": t} for e, c, t in contexts(text, spans)])
+                near.append([{"entities": e, "context": c, "terms": t} for e, c, t in contexts(text, spans)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("mark"), *(pa.array(c, pa.int64()) for c in counts), pa.array(base, pa.string()), pa.array(near, entity)],
-                names=["id", "mark", *(f"n_{k}" for k in KINDS), "base", "entities"],
+                names=["id", "mark", *(f"n_{k}" for k in KINDS), "base", "near"],
             )
 
     return rows, written(scan(rows, per_task, BASE), "pii-base")
 
 
-def occurrences(rows: DataFrame, candidates: DataFrame) -> DataFrame:
-    """``id, mark, term, start, end`` of all candidate terms in all texts."""
+def filter_table(candidates: DataFrame) -> np.ndarray:
+    """Bits of a table of fixed size, by hash of the terms."""
     at = F.pmod(F.xxhash64("term"), F.lit(FILTER_BITS))
     words = candidates.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(term), {FILTER_BITS}) & 63 as int))")).alias("bits"))
     table = np.zeros(FILTER_BITS // 64, np.int64)
     got = words.toArrow()  # one row per 64 bits of the fixed table at most
     table[got.column("word").to_numpy()] = got.column("bits").to_numpy()
-    shared = rows.sparkSession.sparkContext.broadcast(table.view(np.uint8))
+    return table.view(np.uint8)
+
+
+class Passing(dict):
+    """The terms of a word that pass the table; remembers the words of a task, up to a bound."""
+
+    LIMIT = 300_000
+
+    def __init__(self, bits: np.ndarray) -> None:
+        super().__init__()
+        self.bits = bits.tobytes()
+
+    def __missing__(self, word: bytes) -> tuple[str, ...]:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        out = []
+        for t, _, _ in terms(word.decode()):
+            i = hash_of(t) % FILTER_BITS
+            if self.bits[i >> 3] >> (i & 7) & 1:
+                out.append(t)
+        self[word] = found = tuple(out)
+        return found
+
+
+def document_counts(rows: DataFrame, candidates: DataFrame) -> DataFrame:
+    """``term, n_t``: how many rows have each candidate term."""
+    shared = rows.sparkSession.sparkContext.broadcast(filter_table(candidates))
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, known = shared.value, {}
-
-        def wanted(word: bytes) -> bool:
-            hit = known.get(word)
-            if hit is None:
-                if len(known) > 500_000:
-                    known.clear()
-                hit = False
-                for t, _, _ in terms(word.decode()):
-                    i = hash_of(t) % FILTER_BITS
-                    hit = hit or bool(bits[i >> 3] >> (i & 7) & 1)
-                known[word] = hit
-            return hit
+        passing, counts = Passing(shared.value), Counter()
+
+        def folded() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n_t"])
 
         for batch in batches:
-            out = [[] for _ in range(5)]
-            for doc, mark, raw in zip(batch.column("id").to_pylist(), batch.column("mark").to_pylist(), bytes_of(batch, "text"), strict=True):
-                if any([wanted(w) for w in set(raw.split())]):
+            for raw in bytes_of(batch, "text"):
+                counts.update({t for w in set(raw.split()) for t in passing[w]})
+            if len(counts) > 300_000:
+                yield folded()
+                counts.clear()
+        yield folded()
+
+    counted = scan(rows.select("text"), per_task, "term string, n_t long").groupBy("term").agg(F.sum("n_t").alias("n_t"))
+    return counted.join(candidates.select("term"), "term", "left_semi")
+
+
+def places_of(rows: DataFrame, strong: DataFrame) -> DataFrame:
+    """``id, mark, term, start, end, bits`` of the disclosing terms in all texts."""
+    shared = rows.sparkSession.sparkContext.broadcast(filter_table(strong))
+    place = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+
+    def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passing = Passing(shared.value)
+        for batch in batches:
+            at, found = [], []
+            for k, raw in enumerate(bytes_of(batch, "text")):
+                if any([passing[w] for w in set(raw.split())]):
                     text = raw.decode()
-                    for m in _WORD.finditer(text):
-                        if wanted(m[0].encode()):
-                            for t, a, b in terms(text, *m.span()):
-                                for column, value in zip(out, (doc, mark, t, a, b), strict=True):
-                                    column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["id", "mark", "term", "start", "end"])
+                    here = [
+                        {"term": t, "start": a, "end": b}
+                        for m in _WORD.finditer(text) if (hits := passing[m[0].encode()])
+                        for t, a, b in terms(text, *m.span()) if t in hits
+                    ]
+                    at.append(k)
+                    found.append(here)
+            picked = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(picked), batch.column("mark").take(picked), pa.array(found, place)], names=["id", "mark", "places"])
 
-    return scan(rows, per_task, "id long, mark long, term string, start int, end int").join(candidates.select("term").distinct(), "term", "left_semi")
+    found = scan(rows, per_task, "id long, mark long, places array<struct<term:string,start:int,end:int>>")
+    return found.select("id", "mark", F.inline("places")).join(strong, "term")
 
 
-def disclosing(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT, generalise: float = GENERALISE):
-    """The base table, and the places of disclosing terms (id, mark, term, start, end, share; distinct) or None without candidates.
+def disclosing(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = GENERALISE, prior: float = PRIOR):
+    """The base table, and the places of disclosing terms (id, mark, term, start, end, bits; distinct) or None if there are none.
 
-    ``share``: the largest PMI(t; e) / IC(e) over the entities.
+    ``bits``: what the term leaves of the information of the entity it discloses most.
     """
     rows, base = found(docs, id_col, text_col)
-    seen = base.select("id", "mark", F.explode("entities").alias("e")).select("id", "mark", "e.entity", "e.context", F.explode("e.near").alias("term"))
+    seen = base.select("id", "mark", F.inline("near")).select("id", "mark", "context", F.explode("entities").alias("entity"), "terms")
     document = F.struct("id", "mark")
+    n = base.count()
+    n_e = seen.groupBy("entity").agg(F.count_distinct(document).alias("n_e"))
     # one row per context first, so that thousands of copies of a text are folded before they are counted
-    per_context = seen.groupBy("entity", "term", "context").agg(F.count_distinct(document).alias("n"))
-    pairs = per_context.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("n_te")).filter(F.col("contexts") >= support)
-    pairs = written(pairs, "pii-pairs")
+    beside = seen.select("id", "mark", "context", "entity", F.explode("terms").alias("term"))
+    per_context = beside.groupBy("entity", "term", "context").agg(F.count_distinct(document).alias("n"))
+    pairs = per_context.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n_te")).filter("c > 1")
+    pairs = written(pairs.join(n_e, "entity"), "pii-pairs")
     if pairs.isEmpty():
         return base, None
-    places = written(occurrences(rows, pairs), "pii-terms")
-    n = base.count()
-    n_t = places.select("id", "mark", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    n_e = base.select("id", "mark", F.explode(F.array_distinct("entities.entity")).alias("entity")).distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    n_te = F.least("n_te", "n_t", "n_e")
-    measured = pairs.join(n_t, "term").join(n_e, "entity").withColumns({
-        "pmi": F.log2(n * n_te / (F.col("n_t") * F.col("n_e"))), "ic": F.log2(n / F.col("n_e")),
-    })
-    strong = measured.filter("ic > 0").groupBy("term").agg(F.max(F.col("pmi") / F.col("ic")).alias("share")).filter(F.col("share") >= generalise)
-    return base, places.join(strong, "term").distinct()
+    n_t = document_counts(rows, pairs.select("term").distinct())
+    p_e = F.col("n_e") / F.lit(n)
+    p = (F.col("c") * F.least(F.lit(1.0), F.col("n_te") / F.col("n_t")) + F.lit(prior) * p_e) / (F.col("c") + F.lit(prior))
+    # an entity that half of all documents have is nothing to disclose
+    measured = pairs.join(n_t, "term").filter(p_e <= 0.5).withColumn("bits", -F.log2(p)).filter((F.col("bits") <= generalise) & (p > p_e))
+    strong = written(measured.groupBy("term").agg(F.min("bits").alias("bits")), "pii-strong")
+    if strong.isEmpty():
+        return base, None
+    return base, written(places_of(rows, strong).distinct(), "pii-places")
 
 
-def pii_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT, generalise: float = GENERALISE) -> DataFrame:
+def pii_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = GENERALISE) -> DataFrame:
     """Per row: id, n_email, n_ip, n_card, n_phone, base (spans of the patterns), spans (all of them, terms last)."""
-    base, places = disclosing(docs, id_col, text_col, support, generalise)
+    base, places = disclosing(docs, id_col, text_col, generalise)
     columns = ["id", *(f"n_{k}" for k in KINDS), "base"]
     if places is None:
         return base.select(*columns, F.col("base").alias("spans"))
@@ -206,14 +263,14 @@ def pii_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     return both.select(*columns, F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), "more").alias("spans"))
 
 
-def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
-    """``id, text``: base spans replaced by their kind, disclosing terms by ``[TERM]`` or, above ``remove``, by nothing."""
-    base, places = disclosing(docs, id_col, text_col, support, generalise)
+def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+    """``id, text``: base spans replaced by their kind, disclosing terms by ``[TERM]`` or, at ``remove`` bits left, by nothing."""
+    base, places = disclosing(docs, id_col, text_col, generalise)
     rows = docs.select(quoted(id_col).cast("long").alias("id"), text_of(f"`{text_col}`").alias("text")).withColumn("mark", F.xxhash64("text"))
     cuts = base.filter("base <> ''").select("id", "mark", "base").distinct()
     if places is not None:
         per_doc = places.groupBy("id", "mark").agg(F.array_join(F.collect_set(F.concat_ws(
-            ":", F.when(F.col("share") >= remove, "remove").otherwise("term"), F.col("start").cast("string"), F.col("end").cast("string")
+            ":", F.when(F.col("bits") <= remove, "remove").otherwise("term"), F.col("start").cast("string"), F.col("end").cast("string")
         )), ",").alias("base"))
         cuts = cuts.unionByName(per_doc).groupBy("id", "mark").agg(F.array_join(F.collect_list("base"), ",").alias("base"))
     cuts = cuts.select(F.col("id").alias("__id"), F.col("mark").alias("__mark"), "base")

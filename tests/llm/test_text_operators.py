@@ -121,6 +121,68 @@ def test_pii_terms_that_reveal(table):
     assert len(pii.pii_spans(table(ODD)).collect()) == len(ODD) and pii.pii_spans(table([])).count() == 0
 
 
+def test_pii_terms_against_brute_force(spark, table):
+    """Contexts, counts and bits recomputed row by row, on random texts with names beside addresses, numbers and pooled domains."""
+    rng = random.Random(9)
+    names, filler = ["Zork", "Quill", "Brann", "Oda"], ["mail", "the", "from", "about", "house", "tree", "river", "stone"]
+    rows = []
+    for i in range(300):
+        words = [rng.choice(filler) for _ in range(rng.randint(5, 40))]
+        if rng.random() < 0.3:
+            k = rng.randrange(4)
+            near = [names[k], f"{names[k].lower()}{'' if rng.random() < 0.5 else i}@{'acme' if k < 2 else 'site'}{k % 2}.org"]
+            at = rng.randrange(len(words))
+            words[at:at] = near if rng.random() < 0.7 else near[::-1]
+        if rng.random() < 0.1:
+            words.insert(0, rng.choice(names))
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, rows[0][1]) for i in range(5)] + [(2000, None)]
+
+    near, n_docs, n_e, n_t = {}, len(rows), {}, {}
+    for i, text in rows:
+        words = [(m.start(), m.end()) for m in pii._WORD.finditer(text or "")]
+        for w in {t for a, b in words for t, _, _ in pii.terms(text[a:b])}:
+            n_t.setdefault(w, set()).add(i)
+        for kind, a, b in pii.base_spans(text or ""):
+            left, right = [w for w in words if w[1] <= a][-10:], [w for w in words if w[0] >= b][:10]
+            here = sorted({t for p, q in left + right if "@" not in text[p:q] and not any(c.isdigit() for c in text[p:q]) for t, _, _ in pii.terms(text[p:q])})
+            for e in pii.entities(kind, text[a:b]):
+                n_e.setdefault(e, set()).add(i)
+                for t in here:
+                    near.setdefault((e, t), {}).setdefault(tuple(here), set()).add(i)
+    strong = set()
+    for (e, t), places in near.items():
+        c, n_te, p_e = len(places), sum(map(len, places.values())), len(n_e[e]) / n_docs
+        p = (c * min(1, n_te / len(n_t[t])) + pii.PRIOR * p_e) / (c + pii.PRIOR)
+        if c > 1 and p_e <= 0.5 and p > p_e and -math.log2(p) <= pii.GENERALISE:
+            strong.add(t)
+    assert strong and strong <= {n.lower() for n in names}
+    for r in pii.pii_spans(table(rows)).collect():
+        text = dict(rows)[r["id"]] or ""
+        want = [("term", a, b) for m in pii._WORD.finditer(text) for t, a, b in pii.terms(text, *m.span()) if t in strong]
+        assert r["spans"] == ",".join(filter(None, [r["base"], pii.joined(want)]))
+
+
+def test_pii_card_and_phone_patterns_as_regular_expressions():
+    import re
+
+    rng = random.Random(6)
+    card, phone = re.compile(r"[0-9](?:[\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+    def luhn(digits):
+        doubled = [int(d) * (2 if k % 2 else 1) for k, d in enumerate(reversed(digits))]
+        return sum(d - 9 if d > 9 else d for d in doubled) % 10 == 0
+
+    hits = 0
+    for _ in range(4000):
+        text = "".join(rng.choice("0123456789012345678901234567 -+(.)a") for _ in range(60))
+        want = [("card", *m.span()) for m in card.finditer(text) if 13 <= len(d := re.sub("[^0-9]", "", m[0])) <= 19 and luhn(d)]
+        want += [("phone", *m.span()) for m in phone.finditer(text) if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+        assert [s for s in pii.base_spans(text) if s[0] in ("card", "phone")] == want
+        hits += len(want)
+    assert hits > 200
+
+
 # licences
 
 
