@@ -11,7 +11,7 @@ goes on in blocks: when a queue is empty, the others share on by weight.
 
 1. One scan tokenises; a task writes its documents' ids (compressed) with their place among the task's tokens of the source.
 2. Tokens per (task, source) are summed and turned into queue offsets: few rows, one per task and source.
-3. A second scan over the written ids cuts every document at the windows' bounds. No ids are shuffled.
+3. A second scan over the written ids cuts every document at the windows' bounds.
 
 The remainder of less than a window is cut into windows of powers of two, which need no padding.
 
@@ -23,45 +23,45 @@ from __future__ import annotations
 
 import itertools
 import json
-import sys
-import types
-import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from chartloom.llm.common import bytes_of, quoted, scan, written
+from chartloom.llm.common import quoted, scan, written
 
 WINDOW = 2048
 END_ID = 1
-#: Words, and words without outer punctuation, whose ids a Python worker remembers.
-KNOWN_WORDS, KNOWN_CORES = 600_000, 1_000_000
-_OUTER = b".,;:!?|()"
-_BREAK = b"\0"
-
-
-def remembered(name: str) -> dict:
-    """A dictionary that later tasks of the same Python worker find again."""
-    place = sys.modules.setdefault("_chartloom_remembered", types.ModuleType("_chartloom_remembered"))
-    return place.__dict__.setdefault(name, {})
+#: Words, and words without outer punctuation, whose ids a task remembers; bytes of text that are coded together.
+KNOWN_WORDS, KNOWN_CORES, SLICE_BYTES = 400_000, 600_000, 4 << 20
+_OUTER = ".,;:!?|()"
+#: Letters whose lower case and normal form are letters of the same range; words of others are given to the tokenizer as they are.
+_LETTERS = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+_ENDED = r"([a-zß-öø-ÿ])([.,;:!?|)])([\x20\x09-\x0D]|$)"
+_OUTER_BYTES, _BREAK = _OUTER.encode(), b"\0"
 
 
 class Tokens:
     """Ids of whole texts, word by word: valid for tokenizers that drop white space, never join across it and split off
-    punctuation. Ids are kept as packed bytes."""
+    punctuation.
+
+    Texts are split and their words numbered in Arrow; only different words are looked up or encoded, as packed bytes, and the
+    texts' ids are gathered from them by number.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = "<u2" if self.tokenizer.get_vocab_size() < 65536 else "<u4"
-        self.known, self.cores = remembered(f"words {path}"), remembered(f"cores {path}")
+        self.known: dict[bytes, bytes] = {}
+        self.cores: dict[bytes, bytes] = {}
         self.plain = self._letters_only(path)
         self.mark = self.plain.encode(_BREAK.decode(), add_special_tokens=False).ids if self.plain else []
 
@@ -93,41 +93,25 @@ class Tokens:
             starts, ends = [0, *((cut + 1) * size).tolist()], [*(cut * size).tolist(), len(narrow)]
             self.cores.update((w, narrow[a:b]) for w, a, b in zip(part, starts, ends, strict=True))
 
-    @staticmethod
-    def core_of(word: bytes) -> bytes | None:
-        """The lower-case letters between outer punctuation, None if there is anything else; Latin letters only."""
-        if word.isalpha():
-            return word.lower()
-        if word.isascii():
-            return None
-        text = word.decode()
-        if text.isalpha() and max(text) < "\u0250" and unicodedata.is_normalized("NFC", text):
-            low = text.lower()
-            return low.encode() if low.isalpha() else None
-        return None
-
-    def learn(self, words: list[bytes]) -> None:
+    def learn(self, words: pa.Array) -> None:
         known, cores = self.known, self.cores
         if len(known) > KNOWN_WORDS:
             known.clear()
         if len(cores) > KNOWN_CORES:
             cores.clear()
-        simple, whole = [], []
-        for w in words:
-            inner = w.strip(_OUTER)
-            core = self.core_of(inner) if inner and len(self.mark) == 1 else None
-            if core is None:
+        plain, inner = words.cast(pa.binary()).to_pylist(), pc.utf8_trim(words, characters=_OUTER)
+        simple = pc.match_substring_regex(inner, _LETTERS).to_pylist() if len(self.mark) == 1 else [False] * len(words)
+        core = pc.utf8_lower(inner).cast(pa.binary()).to_pylist()
+        self.encode(list({c for c, ok in zip(core, simple, strict=True) if ok and c not in cores}))
+        outer, whole = self.outer, []
+        for w, c, ok in zip(plain, core, simple, strict=True):
+            if not ok:
                 whole.append(w)
-            else:
-                simple.append((w, inner, core))
-        self.encode(list({c for _, _, c in simple if c not in cores}))
-        outer = self.outer
-        for w, inner, core in simple:
-            if len(inner) == len(w):
-                known[w] = cores[core]
-            else:
-                at = w.index(inner)
-                known[w] = outer(w[:at]) + cores[core] + outer(w[at + len(inner) :])
+            elif len(c) == len(w):
+                known[w] = cores[c]
+            else:  # letters keep their length in bytes in lower case
+                at = len(w) - len(w.lstrip(_OUTER_BYTES))
+                known[w] = outer(w[:at]) + cores[c] + outer(w[at + len(c) :])
         for i in range(0, len(whole), 1000):
             part = whole[i : i + 1000]
             coded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
@@ -141,17 +125,46 @@ class Tokens:
             ids = self.cores[marks] = self.packed(self.tokenizer.encode(marks.decode(), add_special_tokens=False).ids)
         return ids
 
-    def ids(self, texts: list[bytes], end_id: int) -> list[bytes]:
-        """Packed ids of some texts, each with the end id; their new words are learned together."""
-        # A-Z in lower case first: the tokenizer does so too, but for its special tokens
-        low = [t.lower() if self.mark and b"<|" not in t else t for t in texts]
-        words, known, end = [t.split() for t in low], self.known, self.packed([end_id])
-        if new := [w for w in set(itertools.chain.from_iterable(words)) if w not in known]:
+    def coded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts after each other, and where each text's begin (and the last one's end)."""
+        if self.mark:  # A-Z in lower case first: the tokenizer does so too, but for its special tokens
+            texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        if len(self.mark) == 1:  # a single mark after a letter is a word of its own, so fewer different words are met
+            texts = pc.replace_substring_regex(texts, _ENDED, r"\1 \2\3")
+        split = pc.ascii_split_whitespace(texts)
+        numbered = split.flatten().dictionary_encode()
+        words, known = numbered.dictionary, self.known
+        plain = words.cast(pa.binary()).to_pylist()
+        known[b""] = b""  # beside white space at the ends
+        if new := [k for k, w in enumerate(plain) if w not in known]:
             before = len(known)
-            self.learn(new)
-            if len(known) < before:  # forgotten, so the others are new again
-                self.learn([w for w in set(itertools.chain.from_iterable(words)) if w not in known])
-        return [b"".join(map(known.__getitem__, w)) + end for w in words]
+            self.learn(words.take(pa.array(new, pa.int64())))
+            known[b""] = b""
+            if len(known) < before + len(new) and (gone := [k for k, w in enumerate(plain) if w not in known]):  # forgotten meanwhile
+                self.learn(words.take(pa.array(gone, pa.int64())))
+        blobs = list(map(known.__getitem__, plain))
+        width = int(self.kind[2])
+        size = np.fromiter(map(len, blobs), np.int64, len(blobs)) // width
+        every, first = np.frombuffer(b"".join(blobs), self.kind), np.cumsum(size) - size
+        number = numbered.indices.to_numpy(zero_copy_only=False)
+        count = size[number]
+        upto = np.cumsum(count)
+        total = int(upto[-1]) if len(upto) else 0
+        ids = every[np.repeat(first[number] - (upto - count), count) + np.arange(total)]
+        lists = split.offsets.to_numpy(zero_copy_only=False)
+        return ids, np.r_[0, upto][lists - lists[0]]
+
+    def ids(self, texts: pa.Array, end_id: int) -> Iterator[bytes]:
+        """Packed ids of some texts, each with the end id; texts are coded in slices of bounded size."""
+        end = self.packed([end_id])
+        sizes = np.r_[0, np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))]
+        a = 0
+        while a < len(texts):
+            b = max(a + 1, int(np.searchsorted(sizes, sizes[a] + SLICE_BYTES, "right")) - 1)
+            ids, at = self.coded(texts.slice(a, b - a))
+            for start, stop in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                yield ids[start:stop].tobytes() + end
+            a = b
 
 
 TOKENISED = "id long, source string, task int, start long, n long, ids binary"
@@ -168,14 +181,13 @@ def tokenised(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str,
         for batch in batches:
             starts, sizes, blobs = [], [], []
             sources = batch.column("source").to_pylist()
-            texts = bytes_of(batch, "text")
-            for i in range(0, len(texts), 100):  # new words of many texts at once
-                for source, ids in zip(sources[i : i + 100], coder.ids(texts[i : i + 100], end_id), strict=True):
-                    n = len(ids) // width
-                    starts.append(at := place.get(source, 0))
-                    place[source] = at + n
-                    sizes.append(n)
-                    blobs.append(bytes([width]) + pack.compress(ids))
+            texts = pc.fill_null(batch.column("text").cast(pa.string()), "")
+            for source, ids in zip(sources, coder.ids(texts, end_id), strict=True):
+                n = len(ids) // width
+                starts.append(at := place.get(source, 0))
+                place[source] = at + n
+                sizes.append(n)
+                blobs.append(bytes([width]) + pack.compress(ids))
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(sources, pa.string()), pa.array([task] * n, pa.int32()), pa.array(starts, pa.int64()),
