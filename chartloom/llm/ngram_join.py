@@ -31,16 +31,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import WordHash, bytes_of, grams, mixed, quoted, scan, written
+from chartloom.llm.common import WordHash, bytes_of, grams, mixed, quoted, release, scan, written
 from chartloom.llm.graph import Forest, components
 
 #: Share of the union that linked sets have in common, as a fraction.
 THRESHOLD = (9, 10)
 WORD_BITS, GRAM_BITS, TABLE_BLOCK_BITS = 22, 20, 16
-BLOCK = 1000
+#: Sets, and shingles of all its sets, in a block.
+BLOCK, BLOCK_SHINGLES = 1000, 400_000
 #: A set's profile counts its shingles in so many parts by hash; rows of postings in a group.
 PROFILE_BITS, POSTINGS = 7, 50_000
 
@@ -249,6 +250,8 @@ def join_groups(rows: DataFrame, t: tuple[int, int]) -> DataFrame:
     def per_group(rows):
         members = [np.frombuffer(b.as_py(), "<u8") for b in rows.column("grams")]
         found = trie_links(rows.column("id").to_pylist(), members, rows.column("side").to_pylist(), t)
+        if sum(map(len, members)) > BLOCK_SHINGLES // 4:
+            release()
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
     return rows.groupBy("g1", "g2", "g3").applyInArrow(per_group, "a long, b long")
@@ -326,6 +329,11 @@ def plausible(live: DataFrame, t: tuple[int, int]) -> DataFrame:
     return few.unionByName(many).groupBy("g", "i", "j").applyInArrow(per_group, "a long, b long")
 
 
+def blocks_of(members: Column, shingles: Column, block: int) -> Column:
+    """Blocks of a cluster: bounded both in sets and in shingles, so whole sets of long texts do not pile up in a task."""
+    return F.ceil(F.greatest(members / F.lit(block), shingles / F.lit(BLOCK_SHINGLES))).cast("int")
+
+
 def cluster_links(reps: DataFrame, rows: DataFrame, tables, n: int, t: tuple[int, int], block: int) -> DataFrame:
     posting = reps.select(F.explode("grams").alias("gram"), "rep")
     shared = posting.groupBy("gram").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
@@ -334,10 +342,10 @@ def cluster_links(reps: DataFrame, rows: DataFrame, tables, n: int, t: tuple[int
     near = written(plausible(live, t), "join-candidates")
     clusters = components(near)
     clusters = written(clusters.unionByName(clusters.select(F.col("component").alias("node"), "component")).distinct(), "join-clusters")
-    sizes = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
+    measured = clusters.join(reps.select(F.col("rep").alias("node"), "size"), "node")
+    sizes = measured.groupBy("component").agg(F.count(F.lit(1)).alias("members"), F.sum("size").alias("shingles"))
     live = clusters.join(sizes, "component").select(
-        F.col("node").alias("id"), "component",
-        F.ceil(F.col("members") / F.lit(block)).cast("int").alias("blocks"),
+        F.col("node").alias("id"), "component", blocks_of(F.col("members"), F.col("shingles"), block).alias("blocks"),
     ).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     live = written(live, "join-live")
     candidates = written(sets_of(rows, live, tables, n, t), "join-live-sets")
@@ -357,7 +365,8 @@ def cluster_links(reps: DataFrame, rows: DataFrame, tables, n: int, t: tuple[int
     with_sets = candidates.filter("blocks > 2")
     every = with_sets.select("component", "id", "grams", F.lit(1).alias("side"), "block", "blocks")
     few = with_sets.join(rest, "id", "left_semi")
-    rest_blocks = few.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("probes"))
+    held = F.sum(F.octet_length("grams") / 8)
+    rest_blocks = few.groupBy("component").agg(blocks_of(F.count(F.lit(1)), held, block).alias("probes"))
     stored = every.join(rest_blocks, "component").select(
         "component", "block", F.explode(F.expr("sequence(0, probes - 1)")).alias("probe"), "id", "grams", "side"
     )
