@@ -15,8 +15,9 @@ from chartloom.llm.common import quoted, written
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is near a learned language; ``lang`` only trains the centroids."""
     model = language_id.fit(language_id.training_rows(docs, F.lit(True), "doc_id", "text", "lang"))
-    decided = language_id.predict(docs.withColumn("__text", F.col("text")), model)
-    return decided.filter("NOT rejected").select(*[quoted(c) for c in docs.columns])
+    # the rows travel as one column, so none of theirs can clash with the prediction's
+    rows = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"), F.col("text").alias("__text"))
+    return language_id.predict(rows, model).filter("NOT rejected").select("row.*")
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
