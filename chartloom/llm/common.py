@@ -29,6 +29,14 @@ def quoted(column: str) -> Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the rows do not have, in any case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: computed once, lineage cut, readable by every executor."""
     path = shared_folder(df.sparkSession, purpose)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from chartloom.llm.common import SPACE, quoted, text_of, written
+from chartloom.llm.common import SPACE, quoted, text_of, unused, written
 
 #: Distinct keys in a bucket.
 CAPACITY = 4096
@@ -125,8 +125,9 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Ids name documents; where an id is repeated, its rows are told apart by their digest, and of full repeats one stays.
     """
     decided = exact_dedup(docs, id_col, text_col, capacity)
-    stays = decided.filter("kept").select(F.col("id").alias("__id"), F.col("digest").alias("__digest"))
-    marked = docs.withColumns({"__own": F.sha2(normalised(text_of(f"`{text_col}`")), 256), "__len": F.length(text_of(f"`{text_col}`"))})
-    found = marked.join(stays, quoted(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__digest")), "left_semi")
-    repeated = W.partitionBy(quoted(id_col), "__own").orderBy(F.col("__len").desc())
-    return found.withColumn("__n", F.row_number().over(repeated)).filter("__n = 1").select(*[quoted(c) for c in docs.columns])
+    i, digest, own, size, n = (unused(docs, c) for c in ("__id", "__digest", "__own", "__len", "__n"))
+    stays = decided.filter("kept").select(F.col("id").alias(i), F.col("digest").alias(digest))
+    marked = docs.withColumns({own: F.sha2(normalised(text_of(f"`{text_col}`")), 256), size: F.length(text_of(f"`{text_col}`"))})
+    found = marked.join(stays, quoted(id_col).eqNullSafe(F.col(i)) & (F.col(own) == F.col(digest)), "left_semi")
+    repeated = W.partitionBy(quoted(id_col), own).orderBy(F.col(size).desc())
+    return found.withColumn(n, F.row_number().over(repeated)).filter(F.col(n) == 1).select(*[quoted(c) for c in docs.columns])

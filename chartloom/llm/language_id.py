@@ -2,8 +2,9 @@
 
 A text's vector counts its byte 3-grams, hashed to ``DIMS`` places, over letters only (everything else counts as one blank);
 counts are damped by a logarithm, weighted by inverse document frequency and scaled to length one. Document frequencies come from
-all training rows. Every language gets several centroids by spherical k-means. A text takes the language of the centroid with the
-highest cosine; it is rejected if its distance exceeds that centroid's radius, or if it holds no letter.
+all training rows. Every language gets several centroids by spherical k-means from a balanced start; small clusters are given up. A text takes the
+language of the centroid with the highest cosine; it is rejected if its distance exceeds the language's bound
+for texts of its length, or if it holds no letter.
 
 The centroids are fitted on a sample of about ``fit_rows`` training rows per language, chosen by a hash of the id: the bound is a
 parameter, the sample goes to the driver as sparse vectors. Prediction reads whole texts in Arrow batches and keeps one block of
@@ -28,6 +29,10 @@ from chartloom.llm.common import bytes_of, quoted, scan
 DIMS = 4096
 FIT_ROWS = 1000
 CENTROIDS = 4
+#: The least share of a language's rows in a cluster; the share of training rows that count as far ones for the bound.
+SHARE, FAR = 0.05, 0.005
+#: Different n-grams from which on the bound does not grow.
+FULL = 400
 BLOCK_BYTES = 4_000_000
 BLOCK_ROWS = 256
 
@@ -71,7 +76,7 @@ class Model:
     languages: list[str]  # of each centroid
     centroids: np.ndarray  # float32, a row each, length one
     idf: np.ndarray
-    radius: np.ndarray  # largest distance that is accepted
+    bound: np.ndarray  # least cosine that is accepted, for a text of one n-gram
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -82,6 +87,11 @@ def weighted(n: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return unit(np.log1p(n).astype(np.float32) * idf)
 
 
+def reach(vectors: np.ndarray) -> np.ndarray:
+    """By how much texts of so many different n-grams come nearer to a centroid than a text of one: short texts are far from any."""
+    return np.sqrt(np.clip((vectors != 0).sum(axis=1), 1, FULL))
+
+
 def document_frequency(train: DataFrame) -> tuple[int, np.ndarray]:
     """Rows, and how many of them hold each n-gram place; sums of one row per task and place."""
 
@@ -128,16 +138,39 @@ def sample_vectors(train: DataFrame, fit_rows: int) -> dict[str, np.ndarray]:
     return {k: np.stack(v) for k, v in out.items()}
 
 
-def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
-    """Centroids, and the cluster of each row; the first centroids are rows far from each other."""
-    chosen = [unit(x.mean(axis=0, keepdims=True))[0]]
-    for _ in range(min(k, len(x)) - 1):
-        chosen.append(x[int(np.argmin((x @ np.stack(chosen).T).max(axis=1)))])
-    c = np.stack(chosen)
-    for _ in range(rounds):
-        label = (x @ c.T).argmax(axis=1)
-        c = np.stack([unit(x[label == j].mean(axis=0, keepdims=True))[0] if (label == j).any() else c[j] for j in range(len(c))])
-    return c, (x @ c.T).argmax(axis=1)
+def halves(x: np.ndarray) -> np.ndarray:
+    """A balanced split: which rows lie above the median along the rows' main direction."""
+    centred = x - x.mean(axis=0)
+    direction = centred[int((centred * centred).sum(axis=1).argmax())]
+    for _ in range(10):
+        direction = centred.T @ (centred @ direction)
+        direction /= max(float(np.linalg.norm(direction)), 1e-30)
+    along = centred @ direction
+    upper = np.zeros(len(x), bool)
+    upper[np.argsort(along, kind="stable")[len(x) // 2 :]] = True
+    return upper
+
+
+def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12, least: float = SHARE) -> tuple[np.ndarray, np.ndarray]:
+    """Centroids, and the cluster of each row.
+
+    The start is balanced: the largest cluster is split in halves until there are ``k``. Clusters that end under the share ``least``
+    of the rows are given up one by one, the smallest first, and their rows go to the others: no centroid stands for a few odd texts.
+    """
+    label = np.zeros(len(x), np.int64)
+    for new in range(1, min(k, len(x))):
+        at = np.flatnonzero(label == np.bincount(label).argmax())
+        label[at[halves(x[at])]] = new
+    while True:
+        for _ in range(rounds):
+            kept = [j for j in range(label.max() + 1) if (label == j).any()]
+            c = np.stack([unit(x[label == j].mean(axis=0, keepdims=True))[0] for j in kept])
+            label = (x @ c.T).argmax(axis=1)
+        size = np.bincount(label, minlength=len(c))
+        if len(c) == 1 or size.min() >= least * len(x):
+            return c, label
+        rest = np.delete(c, int(size.argmin()), axis=0)
+        label = (x @ rest.T).argmax(axis=1)
 
 
 def fit(train: DataFrame, fit_rows: int = FIT_ROWS, centroids: int = CENTROIDS) -> Model:
@@ -145,20 +178,20 @@ def fit(train: DataFrame, fit_rows: int = FIT_ROWS, centroids: int = CENTROIDS)
     train = train.filter("lang IS NOT NULL AND text IS NOT NULL")
     rows, df = document_frequency(train)
     idf = (np.log((1 + rows) / (1 + df)) + 1).astype(np.float32)
-    languages, all_c, radius = [], [], []
+    languages, all_c, bound = [], [], []
     for lang, n in sorted(sample_vectors(train, fit_rows).items()):
-        x = weighted(n, idf)
-        c, label = spherical_kmeans(x, centroids)
-        near = (x @ c.T).max(axis=1)
-        for j in range(len(c)):
-            own = near[label == j]
-            if len(own):
-                languages.append(lang)
-                all_c.append(c[j])
-                radius.append(1 - 0.5 * float(own.min()))
+        x = weighted(n[n.any(axis=1)], idf)  # texts without a letter have no direction
+        if not len(x):
+            continue
+        c, _ = spherical_kmeans(x, centroids)
+        # one bound for all centroids of a language: half of what all but its farthest training rows reach for their length
+        reached = float(np.quantile((x @ c.T).max(axis=1) / reach(x), FAR))
+        languages += [lang] * len(c)
+        all_c += list(c)
+        bound += [0.5 * reached] * len(c)
     if not languages:
         return Model([], np.zeros((0, DIMS), np.float32), idf, np.zeros(0))
-    return Model(languages, np.stack(all_c).astype(np.float32), idf, np.array(radius))
+    return Model(languages, np.stack(all_c).astype(np.float32), idf, np.array(bound))
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -170,16 +203,17 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             texts = bytes_of(batch, "__text")
             langs, scores, rejected = [], [], []
             for a, b in blocks(texts):
-                near = np.zeros((b - a, 1), np.float32)
+                near, far = np.zeros((b - a, 1), np.float32), np.ones(b - a)
                 if model.languages:
-                    near = weighted(counts(texts[a:b]), model.idf) @ model.centroids.T
+                    vectors = weighted(counts(texts[a:b]), model.idf)
+                    near, far = vectors @ model.centroids.T, reach(vectors)
                 best = near.argmax(axis=1)
                 for i, j in enumerate(best):
                     known = bool(model.languages) and has_letter(texts[a + i])
                     score = min(1.0, max(0.0, float(near[i, j]))) if known else 0.0
                     langs.append(model.languages[j] if known else "und")
                     scores.append(score)
-                    rejected.append(not known or 1 - score > model.radius[j])
+                    rejected.append(not known or score < model.bound[j] * far[i])
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in kept], pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
                 names=[*kept, "lang_pred", "score", "rejected"],

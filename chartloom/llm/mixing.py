@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from chartloom.llm.common import WORD, quoted, text_of
+from chartloom.llm.common import WORD, quoted, text_of, unused
 
 MAX_RATE = 3
 SEED = "mix-1"
@@ -95,11 +95,12 @@ def emit(
     weights: DataFrame | None = None, max_rate: int = MAX_RATE, seed: str = SEED,
 ) -> DataFrame:
     """The mixture itself: each document as many times as decided, with its own columns."""
-    rates = rates_of(docs, text_col, source_col, weights, max_rate).select(F.col("source").alias("__source"), F.col("rate").alias("__rate"))
-    whole = F.floor("__rate")
-    copies = whole + (draw(seed, quoted(id_col)) < F.col("__rate") - whole).cast("long")
+    source, rate, copy = (unused(docs, c) for c in ("__source", "__rate", "__copy"))
+    rates = rates_of(docs, text_col, source_col, weights, max_rate).select(F.col("source").alias(source), F.col("rate").alias(rate))
+    whole = F.floor(rate)
+    copies = whole + (draw(seed, quoted(id_col)) < F.col(rate) - whole).cast("long")
     return (
-        docs.join(rates, quoted(source_col).eqNullSafe(F.col("__source")))
-        .withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
+        docs.join(rates, quoted(source_col).eqNullSafe(F.col(source)))
+        .withColumn(copy, F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
         .select(*[quoted(c) for c in docs.columns])
     )

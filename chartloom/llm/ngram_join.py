@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import WordHash, bytes_of, grams, mixed, quoted, release, scan, written
+from chartloom.llm.common import WordHash, bytes_of, grams, mixed, quoted, release, scan, unused, written
 from chartloom.llm.graph import Forest, components
 
 #: Share of the union that linked sets have in common, as a fraction.
@@ -398,7 +398,6 @@ def sets_of(rows: DataFrame, live: DataFrame, tables, n: int, t: tuple[int, int]
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """The document with the smallest id of every component, with all columns; a repeated id keeps its rows."""
     joined = ngram_join(docs, id_col, text_col, n, threshold)
-    stays = joined.filter("id = component OR id IS NULL").select(F.col("id").alias("__id")).distinct()
-    return docs.join(stays, quoted(id_col).cast("long").eqNullSafe(F.col("__id")), "left_semi")
-
-
+    name = unused(docs, "__id")
+    stays = joined.filter("id = component OR id IS NULL").select(F.col("id").alias(name)).distinct()
+    return docs.join(stays, quoted(id_col).cast("long").eqNullSafe(F.col(name)), "left_semi")

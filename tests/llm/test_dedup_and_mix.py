@@ -6,6 +6,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from chartloom.llm import exact_dedup, mixing, ngram_join
 from chartloom.llm.graph import components
@@ -176,3 +177,19 @@ def test_one_per_component(table):
     got = ngram_join.one_per_component(docs, n=5, threshold=(8, 10))
     assert sorted(r["doc_id"] for r in got.collect()) == [1, 3, 4, 5] and got.columns == docs.columns
     assert ngram_join.ngram_join(table([])).count() == 0
+
+
+def test_columns_that_stages_use_themselves(spark, table):
+    """Stages keep columns whatever their names: none is lost, overwritten or ambiguous."""
+    import corpus_pipeline
+
+    rows = [(1, "the house and the garden are old", "en", "a"), (2, "the house and the garden are old", "en", "a"), (3, "das haus und der garten sind alt", "de", "b")]
+    names = ["score", "rejected", "lang_pred", "__text", "__id", "__own", "__len", "__n", "__digest", "__rate", "__source", "__copy", "component", "row"]
+    docs = table(rows).withColumns({c: F.concat(F.lit(f"{c}-"), F.col("doc_id")) for c in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns
+        kept = out.collect()
+        assert kept and all(r[c] == f"{c}-{r['doc_id']}" for r in kept for c in names), name
+        if name != "mixing":
+            assert {r["doc_id"] for r in kept} <= {1, 2, 3} and 3 in {r["doc_id"] for r in kept}

@@ -57,11 +57,12 @@ def test_pipeline_against_brute_force(spark):
     from pyspark.sql import functions as F
 
     model = language_id.fit(language_id.training_rows(docs, F.lit(True), "doc_id", "text", "lang"))
-    near = lambda t: language_id.weighted(language_id.counts([t.encode()]), model.idf) @ model.centroids.T
+    vector = lambda t: language_id.weighted(language_id.counts([t.encode()]), model.idf)[0]
     want = []
     for r in rows:
-        c = near(r[1])[0]
-        if any(ch.isalpha() for ch in r[1]) and 1 - c.max() <= model.radius[c.argmax()]:
+        v = vector(r[1])
+        c = model.centroids @ v
+        if any(ch.isalpha() for ch in r[1]) and c.max() >= model.bound[c.argmax()] * min(400, np.count_nonzero(v)) ** 0.5:
             want.append(r)
     got_columns, got = run("language ID", rows)
     assert got_columns == columns and sorted(got) == sorted(want) and len(got) >= 0.95 * len(rows)

@@ -43,6 +43,27 @@ def test_language_id_odd_cases(table):
     assert {r["lang_pred"] for r in language_id.predict(rows, nothing).collect()} == {"und"}
 
 
+def test_language_id_clusters_and_short_texts(spark, sample, table):
+    """Every centroid stands for a good share of its language, and clean texts are not rejected for being short."""
+    rng = np.random.default_rng(0)
+    docs = [(t, lang) for _, t, lang, *_ in sample if t and lang]
+    idf = np.ones(language_id.DIMS, np.float32)
+    for lang in {lang for _, lang in docs}:
+        x = language_id.weighted(language_id.counts([t.encode() for t, l in docs if l == lang]), idf)
+        c, label = language_id.spherical_kmeans(x, 4)
+        assert 1 <= len(c) <= 4 and np.bincount(label).min() >= 0.05 * len(x)
+    model = language_id.fit(language_id.training_rows(table(sample), F.lit(True), "doc_id", "text", "lang"))
+    short = []
+    for t, lang in docs:
+        words = [w for w in t.split() if w.isalpha()]
+        for n in (3, 6):
+            if len(words) > n:
+                a = int(rng.integers(len(words) - n))
+                short.append((len(short), " ".join(words[a : a + n]), lang))
+    got = language_id.predict(table(short).select("doc_id", "lang", F.col("text").alias("__text")), model).collect()
+    assert not any(r["rejected"] for r in got) and sum(r["lang"] == r["lang_pred"] for r in got) >= 0.9 * len(got)
+
+
 # substring dedup
 
 
