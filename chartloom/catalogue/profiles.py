@@ -289,6 +289,24 @@ def cohort_profile(t: Tables):
     return pf.cohort_profile(tables, {"unique_orders": "order_id", "unique_customers": "customer_id"})
 
 
+HOLDERS = {
+    "customers": "SELECT c_custkey AS id FROM customer", "buyers": "SELECT nullif(o_custkey, 7) AS id FROM orders",
+    "visitors": "SELECT user_id AS id FROM events", "suppliers": "SELECT s_suppkey AS id FROM supplier",
+}
+
+
+@query(
+    "cohort_overlap",
+    " UNION ALL ".join(
+        f"SELECT '{a}' AS table_a, '{b}' AS table_b, COUNT(*) AS n_ids FROM (SELECT DISTINCT id FROM ({HOLDERS[a]}) WHERE id IS NOT NULL) x"
+        f" WHERE id IN (SELECT id FROM ({HOLDERS[b]}) y WHERE id IS NOT NULL)"
+        for i, a in enumerate(HOLDERS) for b in list(HOLDERS)[i:]
+    ),
+)
+def cohort_overlap(t: Tables):
+    return pf.id_overlaps({name: t.derive(sql) for name, sql in HOLDERS.items()}, "id")
+
+
 OLD_NEW = "o_orderpriority AS category FROM orders WHERE"
 
 

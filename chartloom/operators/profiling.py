@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -344,6 +345,26 @@ def cohort_profile(tables: Mapping[str, DataFrame], ids: Mapping[str, str]) -> D
     return out
 
 
+def id_overlaps(tables: Mapping[str, DataFrame], ids: str) -> DataFrame:
+    """Per pair of tables (a table with itself included): distinct ids that both hold; NULL is no id.
+
+    Every id gets a bit per table that holds it. Bits of one id merge in the tasks and once more by id, so all tables are read once
+    and their distinct ids are shuffled once, for any number of pairs; what is left is one count per combination of tables.
+    """
+    if len(tables) > 63:
+        raise ValueError("at most 63 tables")
+    marked = [df.filter(F.col(ids).isNotNull()).select(F.col(ids).alias("id"), F.lit(1 << k).alias("bits")) for k, df in enumerate(tables.values())]
+    held = reduce(DataFrame.union, marked).groupBy("id").agg(F.bit_or("bits").alias("bits"))
+    combinations = held.groupBy("bits").agg(F.count(F.lit(1)).alias("n"))
+    names = list(tables)
+    pairs = F.array(*[
+        F.struct(F.lit(a).alias("table_a"), F.lit(b).alias("table_b"), F.lit(1 << i | 1 << j).alias("both"))
+        for i, a in enumerate(names) for j, b in enumerate(names) if i <= j
+    ])
+    totals = combinations.select("bits", "n", F.inline(pairs)).groupBy("table_a", "table_b")
+    return totals.agg(F.sum(F.when(F.col("bits").bitwiseAND(F.col("both")) == F.col("both"), F.col("n")).otherwise(0)).alias("n_ids"))
+
+
 def version_delta(old: DataFrame, new: DataFrame, category: str) -> DataFrame:
     """Rows per category in two versions; the delta is NULL where the new version has none."""
     a = old.groupBy(category).agg(F.count(F.lit(1)).alias("old_n"))

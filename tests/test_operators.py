@@ -247,3 +247,14 @@ def test_ambiguous_route_fails(spark):
     assert [r["r"] for r in look(general)] == ["iv"]
     with pytest.raises(Exception, match="ambiguous r: im / iv"):
         look(general.union(spark.createDataFrame([("a", "im")], "k string, r string")))
+
+
+def test_id_overlaps(spark, rows):
+    """Equal to exact distinct counts, NULL and repeated ids included; empty tables hold nothing."""
+    rnd = random.Random(4)
+    data = {n: [rnd.choice([None, *range(30)]) for _ in range(k)] for n, k in (("a", 40), ("b", 25), ("c", 0))}
+    tables = {n: spark.createDataFrame([(i,) for i in ids], "id int") for n, ids in data.items()}
+    held = {n: {i for i in ids if i is not None} for n, ids in data.items()}
+    want = {("a", "a"): "aa", ("a", "b"): "ab", ("a", "c"): "ac", ("b", "b"): "bb", ("b", "c"): "bc", ("c", "c"): "cc"}
+    got = {(r["table_a"], r["table_b"]): r["n_ids"] for r in profiling.id_overlaps(tables, "id").collect()}
+    assert got == {k: len(held[v[0]] & held[v[1]]) for k, v in want.items()}
