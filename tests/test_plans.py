@@ -280,3 +280,65 @@ def test_isolates_are_told_apart_by_their_sensitivities(spark):
     assert microbiology.ambiguous_organisms(cultures, doubtful).count() == 7
     with pytest.raises(Exception, match="ambiguous organism"):
         microbiology.microbiology_culture(cultures, doubtful).collect()
+
+
+def nodes(plan):
+    """All operators of a physical plan."""
+    yield plan
+    children = plan.children()
+    for i in range(children.size()):
+        yield from nodes(children.apply(i))
+
+
+def static_plan(spark, df):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return list(nodes(df.filter("true")._jdf.queryExecution().executedPlan()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def recorded(monkeypatch, module, spark, into):
+    """Keeps the plans of what a module writes while it builds its plan."""
+    from chartloom.operators.scans import materialised
+
+    def write(df, purpose):
+        into[purpose] = static_plan(spark, df)
+        return materialised(df, purpose)
+
+    monkeypatch.setattr(module, "materialised", write)
+
+
+def test_assessments_read_chart_events_twice(spark, tmp_path, monkeypatch):
+    from chartloom.plans import assessments
+
+    items = [(i, f"label {i}", "chartevents") for i in [assessments.RASS_ITEM, *assessments.BRADEN_ITEMS, *assessments.CAM_ITEMS, *assessments.SBT_CATEGORIES]]
+    path, schema = str(tmp_path / "chart"), "subject_id int, hadm_id int, stay_id int, itemid int, charttime timestamp_ntz, storetime timestamp_ntz, value string, valuenum double, valueuom string"
+    data = [(1, 2, 3, i, at(1), at(2), "3", 3.0, None) for i, _, _ in items] + [(1, 2, 3, i, at(1), at(2), "x", 4.0, None) for i in assessments.RAW_GCS_CATEGORIES]
+    spark.createDataFrame(data, schema).write.parquet(path)
+    written = {}
+    recorded(monkeypatch, assessments, spark, written)
+    out = assessments.patient_assessments(
+        {"chartevents": spark.read.parquet(path)}, vocabulary(spark, "itemid int, label string, linksto string", items),
+        spark.createDataFrame([(2, 3)], "hadm_id int, stay_id int"), vocabulary(spark, "assessment_category string, assessment_group string", [("RASS", "g")]),
+    )
+    scans_of = lambda plan: sum("Scan parquet" in n.nodeName() and path in n.toString() for n in plan)
+    assert set(written) == {"assessments", "coma-scale"}
+    assert sum(map(scans_of, written.values())) + scans_of(static_plan(spark, out)) == 2
+    assert out.filter("assessment_category = 'gcs_total' AND numerical_value = 12").count() == 1
+
+
+def test_continuous_medications_shuffle_rows_twice(spark, monkeypatch):
+    """Intervals once, for de-duplication; points once, by order key and range, for numbers and for actions."""
+    written = {}
+    recorded(monkeypatch, medication.scans, spark, written)
+    df = spark.createDataFrame([interval(at(1), at(2), 10, "alpha", "Stopped", 1.0)], INTERVAL)
+    points = medication.flatten(medication.dedup_intervals(df))
+    final = static_plan(spark, medication.dedup_actions(points))
+
+    def row_shuffles(plan, column):
+        found = [n for n in plan if n.nodeName() == "Exchange" and "hashpartitioning" in n.toString().split("\n")[0]]
+        return sum(column in n.output().toString() for n in found)
+
+    assert row_shuffles(written["medication-points"], "label") == 1
+    assert row_shuffles(final, "med_name") == 1
