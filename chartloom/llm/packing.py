@@ -21,6 +21,7 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import gc
 import itertools
 import json
 import zlib
@@ -176,6 +177,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str,
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
+        gc.disable()  # millions of words and no cycles among them; the worker collects when the task is done
         pack, coder, place, task = zstandard.ZstdCompressor(level=1), Tokens(tokenizer_path), {}, TaskContext.get().partitionId()
         width = int(coder.kind[2])
         for batch in batches:
@@ -194,6 +196,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str,
                  pa.array(sizes, pa.int64()), pa.array(blobs, pa.binary())],
                 names=["id", "source", "task", "start", "n", "ids"],
             )
+        gc.enable()
 
     rows = docs.select(
         quoted(id_col).cast("long").alias("id"), quoted(source_col).cast("string").alias("source"), quoted(text_col).cast("string").alias("text")
