@@ -38,9 +38,14 @@ def unused(df: DataFrame, name: str) -> str:
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows as a Parquet table in the shared folder: computed once, lineage cut, readable by every executor."""
+    """The rows as a Parquet table in the shared folder: computed once, lineage cut, readable by every executor.
+
+    What was shuffled for it is garbage from then on. Spark deletes shuffle files when the driver collects its own garbage, which a
+    driver with little to do does too rarely for jobs of many steps, so it is asked to.
+    """
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -399,5 +399,7 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """The document with the smallest id of every component, with all columns; a repeated id keeps its rows."""
     joined = ngram_join(docs, id_col, text_col, n, threshold)
     name = unused(docs, "__id")
-    stays = joined.filter("id = component OR id IS NULL").select(F.col("id").alias(name)).distinct()
-    return docs.join(stays, quoted(id_col).cast("long").eqNullSafe(F.col(name)), "left_semi")
+    # those that go are mostly few: as a written table of known size they are broadcast where they are, and the texts stay in place
+    stays = joined.filter("id IS NOT NULL").groupBy("id").agg(F.max(F.col("id") == F.col("component")).alias("stays"))
+    gone = written(stays.filter("NOT stays").select(F.col("id").alias(name)), "join-gone")
+    return docs.join(gone, quoted(id_col).cast("long") == F.col(name), "left_anti")
