@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Words that mean themselves in a regular expression.
+_PLAIN = re.compile("[A-Za-z0-9 ,/_-]+")
+
 
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -97,6 +101,25 @@ def null_if(col: Column | str, sentinel: str = "NA") -> Column:
     return F.nullif(_c(col), F.lit(sentinel))
 
 
+def found_in(source: Column, pattern: str) -> Column:
+    """``source.rlike(pattern)``, where alternatives that are plain words are looked for without a regular expression.
+
+    Java tries every alternative at every place of a text, so a long list of words costs far more than looking for each. A word
+    between word bounds is looked for first, and only texts that hold it meet the expression. Patterns with flags, classes,
+    alternatives within groups, or escapes other than of bounds and bars are left whole.
+    """
+    alternatives = re.split(r"(?<!\\)\|", pattern)
+    if re.search(r"\(\?|\[|\\[^b|]", pattern) or any(a.count("(") != a.count(")") for a in alternatives):
+        return source.rlike(pattern)
+    words = [a for a in alternatives if _PLAIN.fullmatch(a)]
+    words = [w for w in words if not any(v != w and v in w for v in words)]  # what holds a longer word holds the shorter
+    bounded = {a: a.removeprefix(r"\b").removesuffix(r"\b") for a in alternatives if not _PLAIN.fullmatch(a)}
+    hits = [source.contains(w) for w in dict.fromkeys(words)]
+    hits += [source.contains(w) & source.rlike(a) for a, w in bounded.items() if _PLAIN.fullmatch(w)]
+    others = [a for a, w in bounded.items() if not _PLAIN.fullmatch(w)]
+    return reduce(lambda a, b: a | b, [*hits, source.rlike("|".join(others))] if others else hits)
+
+
 def first_match(
     col: Column | str, rules: Sequence[tuple[str, str]], ignore_case: bool = False, default: Column | None = None
 ) -> Column:
@@ -106,7 +129,7 @@ def first_match(
         out = None
         for pattern, category in rules:
             # lower-cased text needs the flag only for patterns with capitals of their own
-            hit = source.rlike("(?i)" + pattern if ignore_case and pattern != pattern.lower() else pattern)
+            hit = found_in(source, "(?i)" + pattern if ignore_case and pattern != pattern.lower() else pattern)
             out = F.when(hit, category) if out is None else out.when(hit, category)
         return out
 

@@ -124,6 +124,25 @@ def test_first_match_equals_plain_regex(spark, pattern):
     assert got.filter("a <> b").count() == 0
 
 
+@pytest.mark.parametrize("pattern, left", [
+    ("larynx|epiglottis", []),
+    (r"sputum|\btip\b|tip of", [r"\btip\b"]),
+    ("knee fluid|joint (synovial) fluid|neph. tube", ["joint (synovial) fluid|neph. tube"]),
+    (r"\bgb\|pancreas|bile", [r"\bgb\|pancreas"]),
+    ("a(b|c)d|e", ["a(b|c)d|e"]), ("(?i)A|b", ["(?i)A|b"]), ("[a|b]c|d", ["[a|b]c|d"]), (r"\)(a|b\()", [r"\)(a|b\()"]),
+])
+def test_plain_words_need_no_regex(spark, pattern, left):
+    """A long list of words in one Java expression costs time in proportion to the list at every place of a text."""
+    samples = ["larynx", "xepiglottisy", "a tip", "tips", "tip off", "joint synovial fluid", "neph-tube", "nephtube", "gb|pancreas", "xgb|pancreas",
+               "gb", "abd", "acd", "ad", "A", "B", "e", "ac", "|c", "ab", "d", ")a", ")b(", "b(", "bi\nle", "bile", "", None]
+    df = spark.createDataFrame([(s,) for s in samples], "s string")
+    got = df.select("s", text.found_in(F.col("s"), pattern).alias("a"), F.col("s").rlike(pattern).alias("b"))
+    assert got.filter("NOT a <=> b").collect() == []
+    hit = text.first_match("s", [(pattern, "hit")])
+    plan = df.select(hit.alias("a"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("RLIKE") == len(left) and all(f", {p})" in plan for p in left)
+
+
 def test_words_and_maps(spark):
     assert one(spark, text.text_to_ordinal(F.lit("b"), ["a", "b"])) == 2
     assert one(spark, text.text_to_ordinal(F.lit("z"), ["a", "b"])) is None
