@@ -131,15 +131,17 @@ def ordered_set(hashes: np.ndarray, n: int, word_table: np.ndarray, gram_table:
 
 
 def sets(docs: DataFrame, n: int, tables, t: tuple[int, int], with_set: bool, marks=None) -> DataFrame:
-    """``id, text`` (with ``marks``, a broadcast bit table: also ``at``, rows without their bit are left out) → id, size, signature (16 bytes of a digest), profile, prefix or the whole ordered set as bytes."""
+    """``id, text`` (with ``marks``, a broadcast bit table: also ``at``, rows without their bit, and ids that the task had before, are left out) → id, size, signature (16 bytes of a digest), profile, prefix or the whole ordered set as bytes."""
     shared = docs.sparkSession.sparkContext.broadcast(tables)
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, (word_table, gram_table) = WordHash(), shared.value
+        cache, (word_table, gram_table), seen = WordHash(), shared.value, set()
         for batch in batches:
             if marks is not None:
                 pos = batch.column("at").to_numpy(zero_copy_only=False)
                 batch = batch.filter(pa.array(((marks.value[pos >> 3] >> (pos & 7).astype(np.uint8)) & 1).astype(bool)))
+                # rows that repeat an id are folded where they are read
+                batch = batch.filter(pa.array([not (i in seen or seen.add(i)) for i in batch.column("id").to_pylist()], pa.bool_()))
             size, sign, profile, blob = [], [], [], []
             for text in bytes_of(batch, "text"):
                 hashes = cache.of(words_of(text))
@@ -245,11 +247,17 @@ def trie_links(ids: list[int], members: list[np.ndarray], sides: list[int], t: t
 
 
 def join_groups(rows: DataFrame, t: tuple[int, int]) -> DataFrame:
-    """``task columns g1, g2, g3; id, grams, side`` → links a, b of every group."""
+    """``task columns g1, g2, g3; id, grams, side`` → links a, b of every group. Of an id that comes more than once on a side, the
+    smallest set (as bytes) takes part."""
 
     def per_group(rows):
-        members = [np.frombuffer(b.as_py(), "<u8") for b in rows.column("grams")]
-        found = trie_links(rows.column("id").to_pylist(), members, rows.column("side").to_pylist(), t)
+        ids, sides, sets = (rows.column(c).to_pylist() for c in ("id", "side", "grams"))
+        one: dict[tuple[int, int], int] = {}
+        for k, key in enumerate(zip(ids, sides, strict=True)):
+            if key not in one or sets[k] < sets[one[key]]:
+                one[key] = k
+        members = [np.frombuffer(sets[k], "<u8") for k in one.values()]
+        found = trie_links([i for i, _ in one], members, [side for _, side in one], t)
         if sum(map(len, members)) > BLOCK_SHINGLES // 4:
             release()
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
@@ -258,10 +266,10 @@ def join_groups(rows: DataFrame, t: tuple[int, int]) -> DataFrame:
 
 
 def classes(docs: DataFrame, n: int, t: tuple[int, int], id_col: str, text_col: str):
-    """A written table of every row's set class, and the tables of the global order."""
+    """A written table of every row's set class (with a row number), and the tables of the global order."""
     tables = frequency_tables(docs, n, text_col)
     rows = docs.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("text"))
-    return written(sets(rows, n, tables, t, False), "join-sets"), tables, rows
+    return written(sets(rows, n, tables, t, False).withColumn("row", F.monotonically_increasing_id()), "join-sets"), tables, rows
 
 
 def ngram_join(
@@ -270,12 +278,14 @@ def ngram_join(
     """Per row: id, size (of its set), component (smallest id reachable by links)."""
     found, tables, rows = classes(docs, n, threshold, id_col, text_col)
     filled = found.filter("size > 0 AND id IS NOT NULL")
-    reps = filled.groupBy("signature", "size").agg(F.min("id").alias("rep"), F.min_by(F.struct("grams", "profile"), "id").alias("of"))
-    reps = reps.select("signature", "size", "rep", "of.grams", "of.profile")
-    reps = written(reps, "join-classes")
+    named = filled.groupBy("signature", "size").agg(F.min(F.struct("id", "row")).alias("of"))
+    named = written(named.select("signature", "size", F.col("of.id").alias("rep"), F.col("of.row").alias("first")), "join-classes")
+    # only the numbers of the other rows move, mostly few and then broadcast: prefixes and profiles stay in place
+    others = written(filled.join(named, ["signature", "size"]).filter("row <> first").select("row"), "join-copies")
+    reps = filled.join(others, "row", "left_anti").select("size", F.col("id").alias("rep"), "grams", "profile")
     links = cluster_links(reps, rows, tables, n, threshold, block)
     parts = written(components(links), "join-components")
-    named = reps.select("signature", "size", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
+    named = named.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("signature", "size", F.coalesce("component", "rep").alias("component"))
     small = found.select("id", "size", "signature").join(named, ["signature", "size"], "left")
     return small.select("id", "size", F.coalesce("component", "id").alias("component"))
@@ -366,7 +376,8 @@ def cluster_links(reps: DataFrame, rows: DataFrame, tables, n: int, t: tuple[int
     every = with_sets.select("component", "id", "grams", F.lit(1).alias("side"), "block", "blocks")
     few = with_sets.join(rest, "id", "left_semi")
     held = F.sum(F.octet_length("grams") / 8)
-    rest_blocks = few.groupBy("component").agg(blocks_of(F.count(F.lit(1)), held, block).alias("probes"))
+    # written, so that its size is known and the sets need not be shuffled to meet it
+    rest_blocks = written(few.groupBy("component").agg(blocks_of(F.count(F.lit(1)), held, block).alias("probes")), "join-probes")
     stored = every.join(rest_blocks, "component").select(
         "component", "block", F.explode(F.expr("sequence(0, probes - 1)")).alias("probe"), "id", "grams", "side"
     )
@@ -382,7 +393,8 @@ FILTER_BITS = 1 << 23
 
 
 def sets_of(rows: DataFrame, live: DataFrame, tables, n: int, t: tuple[int, int]) -> DataFrame:
-    """The whole sets of the live ids. A bit table of fixed size lets the scan skip most other texts; the join is exact."""
+    """The whole sets of the live ids. A bit table of fixed size lets the scan skip most other texts; the join is exact. An id
+    that repeats may come once from every task of the scan; ``join_groups`` takes one of its sets."""
     at = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
     marks = live.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits"))
@@ -391,8 +403,7 @@ def sets_of(rows: DataFrame, live: DataFrame, tables, n: int, t: tuple[int, int]
         view[r["word"]] = r["bits"]
     table = rows.sparkSession.sparkContext.broadcast(bits)
     marked = rows.filter("id IS NOT NULL").select("id", "text", at.alias("at"))
-    found = sets(marked, n, tables, t, True, table).select("id", "grams").dropDuplicates(["id"])
-    return live.join(found, "id")
+    return live.join(sets(marked, n, tables, t, True, table).select("id", "grams"), "id")
 
 
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:

@@ -193,3 +193,22 @@ def test_columns_that_stages_use_themselves(spark, table):
         assert kept and all(r[c] == f"{c}-{r['doc_id']}" for r in kept for c in names), name
         if name != "mixing":
             assert {r["doc_id"] for r in kept} <= {1, 2, 3} and 3 in {r["doc_id"] for r in kept}
+
+
+def test_join_moves_no_sets_before_the_tries(spark, table, monkeypatch):
+    """Prefixes and whole sets stay where they were computed: only narrow rows are shuffled to find classes and live ids."""
+    plans, kept = {}, ngram_join.written
+
+    def recorded(df, purpose):
+        plans.setdefault(purpose, df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, purpose)
+
+    monkeypatch.setattr(ngram_join, "written", recorded)
+    base = [f"w{i}" for i in range(60)]
+    # id 1 comes with two texts, a copy has an id of its own, and enough near copies make a cluster of many blocks
+    rows = [(1, " ".join(base)), (1, "other words here"), (2, " ".join(base))] + [(10 + k, " ".join([*base[:59], f"x{k}"])) for k in range(12)]
+    got = {r["id"]: r["component"] for r in ngram_join.ngram_join(table(rows + rows[:3]), block=3).collect()}
+    assert got == {i: 1 for i, _ in rows}
+    moved = {name: [line for line in plan.splitlines() if "Exchange hash" in line] for name, plan in plans.items()}
+    assert "grams" not in plans["join-classes"] and "profile" not in plans["join-classes"]
+    assert moved["join-live-sets"] == [] and "join-probes" in plans
