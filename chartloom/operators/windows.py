@@ -9,7 +9,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chartloom.operators import scans
-from chartloom.operators.keys import any_of, first_per_key, null_safe_join
+from chartloom.operators.keys import any_of, first_per_key, null_safe_join, with_null_free_keys
+
+#: Bytes of group texts that the rows of a piece receive.
+TEXT_BYTES = 1 << 28
 
 
 def dedup_exact(df: DataFrame) -> DataFrame:
@@ -90,15 +93,28 @@ def window_string_agg(
 ) -> DataFrame:
     """Every row gets the sorted, joined values of its whole group (NULLs skipped, NULL if none).
 
-    Equal values are counted before they are gathered and the text is built once per group.
+    Equal values are counted before they are gathered and the text is built once per group. What the rows of a group receive grows
+    with the square of its rows, so a group is cut into pieces that receive ``TEXT_BYTES`` each, and pieces are dealt to all tasks.
+    A group of several pieces has thousands of rows, so the table of these groups is small against the rows and is broadcast.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).cast("int").alias("__n"))
-    pairs = F.sort_array(F.collect_list(F.struct(F.col(value).alias("v"), F.col("__n").alias("n"))))
+    base, on = with_null_free_keys(df, keys)
+    counts = base.groupBy(*on, value).agg(F.count(F.lit(1)).alias("__n"))
+    there = F.col(value).isNotNull()
+    pairs = F.sort_array(F.collect_list(F.when(there, F.struct(F.col(value).alias("v"), F.col("__n").cast("int").alias("n")))))
     words = F.transform(pairs, lambda p: p["v"]) if distinct else F.flatten(
         F.transform(pairs, lambda p: F.array_repeat(p["v"], p["n"]))
     )
-    texts = counts.groupBy(*keys).agg(F.array_join(words, sep).alias(into))
-    return null_safe_join(df, texts, keys, "left")
+    length = F.sum(F.when(there, (F.octet_length(F.col(value).cast("string")) + len(sep)) * (F.lit(1) if distinct else F.col("__n"))))
+    pieces = F.greatest(F.lit(1), F.ceil(F.sum("__n") * length.cast("double") / TEXT_BYTES).cast("int")).alias("__pieces")
+    texts = counts.groupBy(*on).agg(F.when(F.size(pairs) > 0, F.array_join(words, sep)).alias(into), pieces)
+    texts = texts.withColumn("__piece", F.explode(F.sequence(F.lit(0), F.col("__pieces") - 1))).drop("__pieces")
+    large = F.broadcast(counts.groupBy(*on).agg(pieces).filter("__pieces > 1"))
+    hashed = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+    piece = F.coalesce(F.pmod(F.xxhash64(*hashed), F.col("__pieces")).cast("int"), F.lit(0))
+    # by a fixed number: the rows are narrow and the pieces are not, so they must not be coalesced by size
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = base.join(large, on, "left").withColumn("__piece", piece).repartition(tasks, *on, "__piece")
+    return dealt.join(texts, [*on, "__piece"], "left").select(*keys, *[c for c in df.columns if c not in keys], into)
 
 
 def window_string_in_place(df: DataFrame, within: Sequence[str], value: str, into: str, sep: str = ", ") -> DataFrame:

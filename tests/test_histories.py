@@ -189,6 +189,20 @@ def test_window_string_agg_variants_agree(spark, rows):
         assert r["s"] == (", ".join(values) if values else None)
 
 
+@pytest.mark.parametrize("distinct", [False, True])
+def test_window_string_agg_deals_a_large_group(spark, monkeypatch, distinct):
+    """What the rows of a group receive grows with the square of its rows: it must not be one task's work."""
+    monkeypatch.setattr(windows, "TEXT_BYTES", 20_000, raising=False)
+    data = [(i, None if i % 2 else 7, "ab"[i % 4 == 0] if i % 3 else None) for i in range(2000)] + [(i, 8, None) for i in range(2000, 2003)]
+    df = spark.createDataFrame(data, "id int, k int, v string")
+    got = windows.window_string_agg(df, ["k"], "v", "s", distinct=distinct).withColumn("task", F.spark_partition_id()).collect()
+    values = {k: sorted(v for _, j, v in data if j == k and v is not None) for k in (None, 7, 8)}
+    texts = {k: ", ".join(sorted(set(v)) if distinct else v) or None for k, v in values.items()}
+    assert sorted((r["id"], r["s"]) for r in got) == [(i, texts[k]) for i, k, _ in data]
+    if not distinct:
+        assert all(len({r["task"] for r in got if r["k"] == k}) > 2 for k in (None, 7))
+
+
 def test_find_duplicates_null_keys(spark, rows):
     df = spark.createDataFrame([(1, None), (2, None), (3, "x")], "id int, k string")
     assert rows(windows.find_duplicates(df, ["k"]), "id") == [(1,), (2,)]
