@@ -26,6 +26,9 @@ from pyspark.sql import functions as F
 from chartloom.operators.keys import with_null_free_keys
 from chartloom.session import shared_folder
 
+#: Rows of a file of a written table. A scan task takes files up to a number of bytes, each with an opening cost, and well encoded rows
+#: are a few bytes on disk but far more in a sort: small files bound the rows of a task.
+FILE_ROWS = 250_000
 #: Rows of a range, and the most bounds there are: together they limit tasks and what is broadcast.
 CHUNK_ROWS, MAX_CHUNKS = 100_000, 16_384
 
@@ -57,7 +60,7 @@ def lag(expr: Column | str) -> Running:
 def materialised(df: DataFrame, purpose: str) -> DataFrame:
     """The rows as a table in the shared folder: for inputs that are expensive to compute and read more than once."""
     path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -203,6 +203,14 @@ def test_window_string_agg_deals_a_large_group(spark, monkeypatch, distinct):
         assert all(len({r["task"] for r in got if r["k"] == k}) > 2 for k in (None, 7))
 
 
+def test_written_tables_have_small_files(spark, monkeypatch):
+    """A scan task sorts the rows of all its files before it shuffles them, so a file must not hold all rows of a large task."""
+    monkeypatch.setattr(scans, "FILE_ROWS", 100, raising=False)
+    table = scans.materialised(spark.range(0, 1000, 1, 1), "small-files")
+    files = table.groupBy(F.input_file_name().alias("f")).count().collect()
+    assert sum(r["count"] for r in files) == 1000 and max(r["count"] for r in files) <= 100
+
+
 def test_find_duplicates_null_keys(spark, rows):
     df = spark.createDataFrame([(1, None), (2, None), (3, "x")], "id int, k string")
     assert rows(windows.find_duplicates(df, ["k"]), "id") == [(1,), (2,)]
