@@ -9,6 +9,8 @@ the quality of the estimate decides the cost and never the result.
 2. Representatives that hold a common prefix shingle are candidates if their sizes and profiles (counts of shingles in 128 parts by
    hash, whose difference is a lower bound of the sets' difference) allow a link. Candidates form clusters, connected components of
    narrow rows; all other documents are done.
+   The sets of a cluster of more than one block are clustered again: the holders of its shingles are counted exactly, sets that share
+   too few of theirs with others are done, and the prefixes of the rest follow the order of those counts.
 3. A cluster's sets are stored in a trie, ordered so that what most of them share comes first. A set is looked up before it is
    inserted: the walk shares the overlap along common paths, leaves a subtree when overlap plus what remains of the shorter side
    cannot reach the required overlap, and when the subtree's documents are already in the component of the set.
@@ -33,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from chartloom.llm.common import WordHash, bytes_of, grams, mixed, quoted, release, scan, unused, written
 from chartloom.llm.graph import Forest, components
@@ -44,6 +47,8 @@ WORD_BITS, GRAM_BITS, TABLE_BLOCK_BITS = 22, 20, 16
 BLOCK, BLOCK_SHINGLES = 1000, 400_000
 #: A set's profile counts its shingles in so many parts by hash; rows of postings in a group.
 PROFILE_BITS, POSTINGS = 7, 50_000
+#: Shingles whose holders are counted together.
+COUNT_SHINGLES = 1_000_000
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -117,6 +122,10 @@ def frequency_tables(docs: DataFrame, n: int, text_col: str) -> tuple[np.ndarray
     return np.log2((out[0] + 0.5) / total).astype(np.float16), np.log2(1 + np.maximum(0, out[1] - grams_total - 4 * np.sqrt(grams_total + 1))).astype(np.float16)
 
 
+def profile_of(s: np.ndarray) -> bytes:
+    return np.minimum(np.bincount((s >> np.uint64(64 - PROFILE_BITS)).astype(np.int64), minlength=1 << PROFILE_BITS), 255).astype(np.uint8).tobytes()
+
+
 def ordered_set(hashes: np.ndarray, n: int, word_table: np.ndarray, gram_table: np.ndarray) -> np.ndarray:
     """The set, rarest first; the key of a shingle depends on its words alone."""
     g = shingles(hashes, n)
@@ -147,7 +156,7 @@ def sets(docs: DataFrame, n: int, tables, t: tuple[int, int], with_set: bool, ma
                 hashes = cache.of(words_of(text))
                 s = ordered_set(hashes, n, word_table, gram_table) if len(hashes) else np.empty(0, np.uint64)
                 size.append(len(s))
-                profile.append(np.minimum(np.bincount((s >> np.uint64(64 - PROFILE_BITS)).astype(np.int64), minlength=1 << PROFILE_BITS), 255).astype(np.uint8).tobytes())
+                profile.append(profile_of(s))
                 sign.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 if with_set:
                     blob.append(s.astype("<u8").tobytes())
@@ -344,21 +353,140 @@ def blocks_of(members: Column, shingles: Column, block: int) -> Column:
     return F.ceil(F.greatest(members / F.lit(block), shingles / F.lit(BLOCK_SHINGLES))).cast("int")
 
 
-def cluster_links(reps: DataFrame, rows: DataFrame, tables, n: int, t: tuple[int, int], block: int) -> DataFrame:
-    posting = reps.select(F.explode("grams").alias("gram"), "rep")
+def candidate_clusters(posting: DataFrame, reps: DataFrame, t: tuple[int, int]) -> DataFrame:
+    """``gram, rep`` and ``rep, size, profile`` → a written table ``node, component`` of the clusters of sets that may link."""
     shared = posting.groupBy("gram").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
     live = posting.join(shared, "gram").join(reps.select("rep", "size", "profile"), "rep")
     live = written(live.select("gram", "rep", "size", "profile", "holders"), "join-postings")
-    near = written(plausible(live, t), "join-candidates")
-    clusters = components(near)
-    clusters = written(clusters.unionByName(clusters.select(F.col("component").alias("node"), "component")).distinct(), "join-clusters")
+    clusters = components(written(plausible(live, t), "join-candidates"))
+    return written(clusters.unionByName(clusters.select(F.col("component").alias("node"), "component")).distinct(), "join-clusters")
+
+
+def dealt(clusters: DataFrame, reps: DataFrame, block: int) -> DataFrame:
+    """Every clustered id with the number of blocks of its cluster and its own block."""
     measured = clusters.join(reps.select(F.col("rep").alias("node"), "size"), "node")
     sizes = measured.groupBy("component").agg(F.count(F.lit(1)).alias("members"), F.sum("size").alias("shingles"))
-    live = clusters.join(sizes, "component").select(
+    return clusters.join(sizes, "component").select(
         F.col("node").alias("id"), "component", blocks_of(F.col("members"), F.col("shingles"), block).alias("blocks"),
     ).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    live = written(live, "join-live")
+
+
+def shared_enough(sets: DataFrame, t: tuple[int, int], count_rows: int = COUNT_SHINGLES) -> DataFrame:
+    """``component, id, grams`` → the ids that hold as many shingles as a link takes together with others of their component.
+
+    Shingles go to buckets by hash, as 32 bits, each set's after each other. What a task meets more than once is known to be shared
+    and sent once, so a frequent shingle is few entries. Equal bits of different shingles, and repeated ids, only keep more ids.
+    """
+    total = sets.agg(F.sum(F.octet_length("grams")) / 8).first()[0] or 0
+    buckets = max(1, -(-int(total) // count_rows))
+    columns = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("ids", "known", "counts", "keys", "marks"))])
+
+    def deal(held: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+        """Rows of a bucket: ids, for each how many shared shingles are known and how many keys follow, their keys; and keys that are
+        shared whoever holds them."""
+        ids = np.array([i for i, _, _ in held], np.int64)
+        sizes = np.array([len(g) // 8 for _, _, g in held], np.int64)
+        flat = np.frombuffer(b"".join(g for _, _, g in held), "<u8")
+        own = np.repeat(np.arange(len(ids)), sizes)
+        key = mixed(flat + mixed(np.array([c for _, c, _ in held], np.int64).view(np.uint64))[own])
+        _, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
+        many = count[inverse] > 1
+        known = np.bincount(own[many], minlength=len(ids))
+        rows = [(int(ids[0]) % buckets, ids.tobytes(), known.astype("<i8").tobytes(), bytes(8 * len(ids)), b"", b"")]
+        marks, key, own = np.unique(key[many]), key[~many], own[~many]
+        place, marked = ((k >> np.uint64(32)) % np.uint64(buckets) for k in (key, marks))
+        order, by = np.lexsort((own, place)), np.argsort(marked, kind="stable")
+        key, own, place, marks, marked = key[order].astype("<u4"), own[order], place[order], marks[by].astype("<u4"), marked[by]
+        used = np.unique(np.concatenate([place, marked]))
+        cuts = [np.searchsorted(x, used, side).tolist() for x in (place, marked) for side in ("left", "right")]
+        for bucket, a, b, c, d in zip(used.tolist(), *cuts, strict=True):
+            who, n = np.unique(own[a:b], return_counts=True)
+            rows.append((bucket, ids[who].tobytes(), bytes(8 * len(who)), n.astype("<i8").tobytes(), key[a:b].tobytes(), marks[c:d].tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), columns, strict=True)], schema=columns)
+
+    def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("id", "component", "grams")), strict=True):
+                held.append(row)
+                size += len(row[2]) // 8
+                if size > count_rows // 4:
+                    yield deal(held)
+                    held, size = [], 0
+        if held:
+            yield deal(held)
+
+    def per_bucket(rows: pa.Table) -> pa.Table:
+        ids, known, counts, keys, marks = (
+            np.frombuffer(b"".join(rows.column(c).to_pylist()), kind) for c, kind in zip(columns.names[1:], ("<i8", "<i8", "<i8", "<u4", "<u4"), strict=True)
+        )
+        _, inverse, count = np.unique(np.concatenate([keys, marks]), return_inverse=True, return_counts=True)
+        who, own = np.unique(ids, return_inverse=True)
+        n = np.zeros(len(who), np.int64)
+        np.add.at(n, own, known)
+        np.add.at(n, np.repeat(own, counts), count[inverse[: len(keys)]] > 1)
+        return pa.table({"id": pa.array(who[n > 0], pa.int64()), "n": pa.array(n[n > 0], pa.int64())})
+
+    rows = scan(sets.select("id", "component", "grams"), per_task, "bucket int, ids binary, known binary, counts binary, keys binary, marks binary")
+    seen = rows.groupBy("bucket").applyInArrow(per_bucket, "id long, n long")
+    least = sets.groupBy("id").agg(F.min(F.expr("octet_length(grams) div 8")).alias("size"))
+    seen = seen.groupBy("id").agg(F.sum("n").alias("n")).join(least, "id")
+    return seen.filter(F.col("n") * t[1] >= F.col("size") * t[0]).select("id")
+
+
+def refined(large: DataFrame, t: tuple[int, int], block: int) -> tuple[DataFrame, DataFrame]:
+    """Sets of large clusters (``component, id, grams``) → the clusters that they make by the exact counts of their shingles: ids with
+    blocks, and their sets.
+
+    Long sets that share a few rare shingles by chance make one cluster, which costs the square of its size. Within it the holders of
+    a shingle are counted: sets that do not share enough with others are done, and the prefixes of the rest are taken anew by a total
+    order of exact counts.
+    """
+    kept = written(shared_enough(large, t), "join-kept")
+    # of an id that repeats the smallest set takes part, as in every group
+    kept = written(large.join(kept, "id", "left_semi").groupBy("component", "id").agg(F.min("grams").alias("grams")), "join-kept-sets")
+
+    def profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [np.frombuffer(g, "<u8") for g in batch.column("grams").to_pylist()]
+            profile = [profile_of(s) for s in held]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array(map(len, held), pa.int64()), pa.array(profile, pa.binary())], names=["rep", "size", "profile"]
+            )
+
+    def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for component, i, g in zip(*(batch.column(c).to_pylist() for c in ("component", "id", "grams")), strict=True):
+                gram = np.frombuffer(g, "<i8")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(gram), v), pa.int64()) for v in (component, i, len(gram))] + [pa.array(gram, pa.int64())],
+                    names=["component", "rep", "size", "gram"],
+                )
+
+    reps = written(scan(kept.select("id", "grams"), profiles, "rep long, size long, profile binary"), "join-kept-sizes")
+    posting = scan(kept.select("component", "id", "grams"), flat, "component long, rep long, size long, gram long")
+    posting = posting.select("rep", "size", F.xxhash64("component", "gram").alias("gram"))
+    held = posting.groupBy("gram").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
+    # a set's shingles without another holder come first in the order, so they need not be listed
+    mine = W.partitionBy("rep")
+    ranked = posting.join(held, "gram").withColumns({
+        "at": F.row_number().over(mine.orderBy("held", "gram")), "listed": F.count(F.lit(1)).over(mine),
+    })
+    least = F.ceil(F.col("size") * F.lit(t[0]) / F.lit(t[1]))
+    prefix = ranked.filter(F.col("at") + F.col("size") - F.col("listed") <= F.col("size") - least + 1).select("gram", "rep")
+    clusters = candidate_clusters(written(prefix, "join-prefixes"), reps, t)
+    live = written(dealt(clusters, reps, block), "join-live")
+    return live, written(live.join(kept.select("id", "grams"), "id"), "join-live-sets")
+
+
+def cluster_links(reps: DataFrame, rows: DataFrame, tables, n: int, t: tuple[int, int], block: int) -> DataFrame:
+    clusters = candidate_clusters(reps.select(F.explode("grams").alias("gram"), "rep"), reps, t)
+    live = written(dealt(clusters, reps, block), "join-live")
     candidates = written(sets_of(rows, live, tables, n, t), "join-live-sets")
+    if not live.filter("blocks > 1").isEmpty():
+        again, sets_again = refined(candidates.filter("blocks > 1").select("component", "id", "grams"), t, block)
+        live = live.filter("blocks = 1").unionByName(again)
+        candidates = candidates.filter("blocks = 1").unionByName(sets_again)
     own = candidates.select("component", "id", "grams", F.lit(0).alias("side"), F.explode(
         F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.array("block", F.pmod(F.col("block") - 1, F.col("blocks"))))
     ).alias("at"))

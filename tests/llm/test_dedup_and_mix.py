@@ -212,3 +212,35 @@ def test_join_moves_no_sets_before_the_tries(spark, table, monkeypatch):
     moved = {name: [line for line in plan.splitlines() if "Exchange hash" in line] for name, plan in plans.items()}
     assert "grams" not in plans["join-classes"] and "profile" not in plans["join-classes"]
     assert moved["join-live-sets"] == [] and "join-probes" in plans
+
+
+def test_chance_clusters_are_taken_apart(table, monkeypatch):
+    """Long texts that share a rare passage with the next one, but don't link, are not compared block by block."""
+    rng, sent, kept = random.Random(5), [], ngram_join.join_groups
+
+    def counted(rows, t):
+        sent.append(rows.count())
+        return kept(rows, t)
+
+    monkeypatch.setattr(ngram_join, "join_groups", counted)
+    texts = [[f"w{rng.randrange(500)}" for _ in range(4000)] for _ in range(24)]
+    texts = [[*(f"r{k}{x}" for x in "abc"), *text, *(f"r{k + 1}{x}" for x in "abc")] for k, text in enumerate(texts)]
+    rows = [(k, " ".join(text)) for k, text in enumerate(texts)] + [(100, " ".join([*texts[7][:3900], "new", *texts[7][3900:]]))]
+    got = {r["id"]: r["component"] for r in ngram_join.ngram_join(table(rows), n=3, threshold=(8, 10), block=5).collect()}
+    assert got == {i: 7 if i == 100 else i for i, _ in rows}
+    assert sum(sent) <= 4  # 300 before
+
+
+def test_shared_enough_against_counts(spark):
+    """Sets are left out only if they share too little within their component; of a repeated id all rows count."""
+    rng = random.Random(2)
+    sets = [(c, 50 * c + k, rng.sample(range(1, 800), rng.choice([5, 20, 60]))) for c in (0, 1) for k in range(30)] + [(2, 200, [1, 2, 3]), (2, 201, [9]), (2, 201, [9, 8])]
+    frame = spark.createDataFrame([(c, i, bytearray(b"".join(x.to_bytes(8, "little") for x in s))) for c, i, s in sets], "component long, id long, grams binary").repartition(3)
+    for t, count_rows in (((8, 10), 1_000_000), ((9, 10), 100)):
+        want = set()
+        for i in {i for _, i, _ in sets}:
+            own = [(c, s) for c, j, s in sets if j == i]
+            held = sum(sum(x in s2 for c2, _, s2 in sets if c2 == c) > 1 for c, s in own for x in s)
+            if held * t[1] >= t[0] * min(len(s) for _, s in own):
+                want.add(i)
+        assert {r["id"] for r in ngram_join.shared_enough(frame, t, count_rows).collect()} == want and 0 < len(want) < 61
