@@ -168,6 +168,17 @@ class Tokens:
             a = b
 
 
+_CODERS: dict[str, Tokens] = {}
+
+
+def coder_of(path: str) -> Tokens:
+    """The coder of this Python worker, with the words that its tasks have met: a word is encoded once a worker, not once a task."""
+    if path not in _CODERS:
+        _CODERS.clear()
+        _CODERS[path] = Tokens(path)
+    return _CODERS[path]
+
+
 TOKENISED = "id long, source string, task int, start long, n long, ids binary"
 
 
@@ -178,7 +189,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str,
         import zstandard
 
         gc.disable()  # millions of words and no cycles among them; the worker collects when the task is done
-        pack, coder, place, task = zstandard.ZstdCompressor(level=1), Tokens(tokenizer_path), {}, TaskContext.get().partitionId()
+        pack, coder, place, task = zstandard.ZstdCompressor(level=1), coder_of(tokenizer_path), {}, TaskContext.get().partitionId()
         width = int(coder.kind[2])
         for batch in batches:
             starts, sizes, blobs = [], [], []

@@ -424,3 +424,14 @@ def test_pieces_of_queues_are_nested():
     assert states[-1] == [1000, 10, 333, 1]
     assert all(sum(s) == schedule.bound(k) for k, s in enumerate(states))
     assert all(b >= a for x, y in itertools.pairwise(states) for a, b in zip(x, y, strict=True))
+
+
+def test_words_are_encoded_once_a_worker(monkeypatch):
+    """The next task of a worker finds the words of the one before, with the same ids."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(packing, "_CODERS", {})
+    texts, path = pa.array(["The house, the garden.", "", "42 Häuser"]), packing.default_tokenizer()
+    first = list(packing.coder_of(path).ids(texts, 1))
+    monkeypatch.setattr(packing.Tokens, "learn", lambda *a: pytest.fail("encoded again"))
+    assert list(packing.coder_of(path).ids(texts, 1)) == first
