@@ -21,7 +21,6 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
-import gc
 import itertools
 import json
 import zlib
@@ -39,120 +38,146 @@ from chartloom.llm.common import quoted, scan, written
 
 WINDOW = 2048
 END_ID = 1
-#: Words, and words without outer punctuation, whose ids a task remembers; bytes of text that are coded together.
-KNOWN_WORDS, KNOWN_CORES, SLICE_BYTES = 400_000, 600_000, 4 << 20
-_OUTER = ".,;:!?|()"
-#: Letters whose lower case and normal form are letters of the same range; words of others are given to the tokenizer as they are.
-_LETTERS = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+#: Words whose ids a worker remembers, and their bytes; bytes of text that are coded together; words that are encoded together.
+KNOWN_WORDS, KNOWN_BYTES, SLICE_BYTES, GROUP = 1_000_000, 64 << 20, 4 << 20, 100
+#: Random numbers by place in a word (modulo 64) and byte; a word's hash is their sum.
+_RANDOM = np.random.default_rng(10).integers(0, 1 << 64, (64, 256), np.uint64)
+#: What the plain path knows how to split, as this expression of a tokenizer does: runs of letters, single digits, runs of marks.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Letters whose lower case and normal form are letters of the same range, and ASCII but ' and <, which begin contractions and
+#: special tokens; words with any other character are given to the tokenizer as they are.
+_MARKS = r"!-&(-/:;=-@\[-`{-~"
+_PLAIN = rf"^[A-Za-zÀ-ÖØ-öø-ÿ0-9{_MARKS}]+$"
+_PIECE = rf"([a-zß-öø-ÿ]+|[0-9]|[{_MARKS}]+)"
 _ENDED = r"([a-zß-öø-ÿ])([.,;:!?|)])([\x20\x09-\x0D]|$)"
-_OUTER_BYTES, _BREAK = _OUTER.encode(), b"\0"
+
+
+def hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of words; that of the empty word is 0."""
+    _, offsets, values = words.buffers()
+    at = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    raw = np.frombuffer(values or b"", np.uint8)[at[0] : at[-1]]
+    at -= at[0]
+    place = (np.arange(len(raw)) - np.repeat(at[:-1], np.diff(at))) & 63
+    sums = np.r_[np.zeros(1, np.uint64), np.cumsum(_RANDOM[place, raw])]
+    return sums[at[1:]] - sums[at[:-1]]
 
 
 class Tokens:
     """Ids of whole texts, word by word: valid for tokenizers that drop white space, never join across it and split off
     punctuation.
 
-    Texts are split and their words numbered in Arrow; only different words are looked up or encoded, as packed bytes, and the
-    texts' ids are gathered from them by number.
+    Texts are split and their words numbered in Arrow; only different words are looked up or encoded, and the texts' ids are
+    gathered from them by number. Known words are one Arrow column, their ids one array: a few dozen bytes a word, and no Python
+    object for any of them. They are found by a sorted hash, and compared: a word whose hash another one has is encoded anew.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = "<u2" if self.tokenizer.get_vocab_size() < 65536 else "<u4"
-        self.known: dict[bytes, bytes] = {}
-        self.cores: dict[bytes, bytes] = {}
-        self.plain = self._letters_only(path)
-        self.mark = self.plain.encode(_BREAK.decode(), add_special_tokens=False).ids if self.plain else []
-
-    def _letters_only(self, path: str):
-        """The same model behind a plain split at white space, if its words are lower-cased runs of letters: lower-case
-        letters then need neither normalising nor the split by expressions."""
+        vocabulary = self.tokenizer.get_vocab()
+        self.kind = "<u2" if len(vocabulary) < 65536 else "<u4"
+        self.plain, suffix = self._plain(path)
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # ids that end a piece
+        if self.plain:
+            self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.words, self.every, self.at = pa.array([""]), np.empty(0, self.kind), np.zeros(2, np.int64)
+        self.hashes, self.order = np.zeros(1, np.uint64), np.zeros(1, np.int64)
+
+    def _plain(self, path: str):
+        """The same model behind a plain split at white space, and how its last token of a piece ends, if the tokenizer lower-cases
+        and splits by the expression above: pieces in lower case then need neither normalising nor expressions."""
         from tokenizers import Tokenizer
 
         with open(path) as f:
             spec = json.load(f)
         steps = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
         splits = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
-        if steps[-1:] != ["Lowercase"] or [p.get("type") for p in splits] != ["Split", "ByteLevel"]:
-            return None
+        suffix = spec["model"].get("end_of_word_suffix")
+        if steps[-1:] != ["Lowercase"] or [p.get("type") for p in splits] != ["Split", "ByteLevel"] or not suffix:
+            return None, None
+        if splits[0].get("pattern") != {"Regex": _SPLIT} or splits[0].get("behavior") != "Removed" or not splits[0].get("invert"):
+            return None, None
         spec["normalizer"], splits[0] = None, {"type": "WhitespaceSplit"}
-        return Tokenizer.from_str(json.dumps(spec))
+        return Tokenizer.from_str(json.dumps(spec)), suffix
 
     def packed(self, ids) -> bytes:
         return np.asarray(ids, self.kind).tobytes()
 
-    def encode(self, words: list[bytes]) -> None:
-        """Ids of lower-case words of letters: many are encoded as one text with a mark between them."""
-        gap, size, mark = b" " + _BREAK + b" ", int(self.kind[2]), self.mark[0]
-        for i in range(0, len(words), 500):
-            part = words[i : i + 500]
-            ids = np.array(self.plain.encode_batch_fast([gap.join(part).decode()], add_special_tokens=False)[0].ids, np.int64)
-            cut = np.flatnonzero(ids == mark)
-            narrow = ids.astype(self.kind).tobytes()
-            starts, ends = [0, *((cut + 1) * size).tolist()], [*(cut * size).tolist(), len(narrow)]
-            self.cores.update((w, narrow[a:b]) for w, a, b in zip(part, starts, ends, strict=True))
-
-    def learn(self, words: pa.Array) -> None:
-        known, cores = self.known, self.cores
-        if len(known) > KNOWN_WORDS:
-            known.clear()
-        if len(cores) > KNOWN_CORES:
-            cores.clear()
-        plain, inner = words.cast(pa.binary()).to_pylist(), pc.utf8_trim(words, characters=_OUTER)
-        simple = pc.match_substring_regex(inner, _LETTERS).to_pylist() if len(self.mark) == 1 else [False] * len(words)
-        core = pc.utf8_lower(inner).cast(pa.binary()).to_pylist()
-        self.encode(list({c for c, ok in zip(core, simple, strict=True) if ok and c not in cores}))
-        outer, whole = self.outer, []
-        for w, c, ok in zip(plain, core, simple, strict=True):
-            if not ok:
-                whole.append(w)
-            elif len(c) == len(w):
-                known[w] = cores[c]
-            else:  # letters keep their length in bytes in lower case
-                at = len(w) - len(w.lstrip(_OUTER_BYTES))
-                known[w] = outer(w[:at]) + cores[c] + outer(w[at + len(c) :])
-        for i in range(0, len(whole), 1000):
-            part = whole[i : i + 1000]
-            coded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            known.update((w, self.packed(e.ids)) for w, e in zip(part, coded, strict=True))
-
-    def outer(self, marks: bytes) -> bytes:
-        """Ids of punctuation before or after a word."""
-        if not marks:
-            return b""
-        if (ids := self.cores.get(marks)) is None:
-            ids = self.cores[marks] = self.packed(self.tokenizer.encode(marks.decode(), add_special_tokens=False).ids)
-        return ids
+    def encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words, and how many each has: many are encoded as one text, and cut where a piece's last token is."""
+        pieces = pc.replace_substring_regex(pc.utf8_lower(words), _PIECE, r"\1 ")
+        count = pc.count_substring(pieces, " ").to_numpy(zero_copy_only=False)
+        bounds = np.r_[0, np.cumsum(pc.binary_length(pieces).to_numpy(zero_copy_only=False).astype(np.int64))]
+        cuts, raw = [*bounds[:-1:GROUP].tolist(), int(bounds[-1])], pc.binary_join(pa.ListArray.from_arrays([0, len(pieces)], pieces), "")[0].as_buffer().to_pybytes()
+        found = [
+            np.array(self.plain.encode_batch_fast([raw[a:b].decode()], add_special_tokens=False)[0].ids, self.kind)
+            for a, b in itertools.pairwise(cuts)
+        ]
+        ids = np.concatenate([np.empty(0, self.kind), *found])
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != count.sum():  # a piece without a token that ends it
+            return self.encode_whole(words)
+        return ids, np.diff(np.r_[0, np.r_[0, ends][np.cumsum(count)]])
+
+    def encode_whole(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of any words, and how many each has, by the tokenizer as it is."""
+        found = []
+        for i in range(0, len(words), 1000):
+            found += [e.ids for e in self.tokenizer.encode_batch_fast(words.slice(i, 1000).to_pylist(), add_special_tokens=False)]
+        return np.array(list(itertools.chain.from_iterable(found)), self.kind), np.array(list(map(len, found)), np.int64)
+
+    def learn(self, words: pa.Array) -> np.ndarray:
+        """Encodes words and adds them to the known ones; returns the words' numbers there."""
+        if self.plain:
+            plain = pc.match_substring_regex(words, _PLAIN)
+            parts = [(self.encode, plain), (self.encode_whole, pc.invert(plain))]
+        else:
+            parts = [(self.encode_whole, pa.array(np.ones(len(words), bool)))]
+        numbers = np.empty(len(words), np.int64)
+        for encode, mask in parts:
+            if not len(own := words.filter(mask)):
+                continue
+            ids, count = encode(own)
+            numbers[mask.to_numpy(zero_copy_only=False)] = len(self.words) + np.arange(len(own))
+            self.words, self.every = pa.concat_arrays([self.words, own]), np.concatenate([self.every, ids])
+            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(count)])
+        return numbers
+
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """Numbers of different words among the known ones."""
+        if len(self.words) + len(words) > KNOWN_WORDS or self.words.nbytes > KNOWN_BYTES:
+            self.forget()
+        own = hashes(words)
+        numbers = self.order[np.minimum(np.searchsorted(self.hashes, own), len(self.order) - 1)]
+        new = pc.not_equal(words, self.words.take(pa.array(numbers)))
+        if len(at := np.flatnonzero(new.to_numpy(zero_copy_only=False))):
+            numbers[at] = self.learn(words.filter(new))
+            fresh, first = np.unique(own[at], return_index=True)
+            place = np.searchsorted(self.hashes, fresh)
+            free = self.hashes[np.minimum(place, len(self.hashes) - 1)] != fresh
+            self.hashes = np.insert(self.hashes, place[free], fresh[free])
+            self.order = np.insert(self.order, place[free], numbers[at[first[free]]])
+        return numbers
 
     def coded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts after each other, and where each text's begin (and the last one's end)."""
-        if self.mark:  # A-Z in lower case first: the tokenizer does so too, but for its special tokens
+        if self.plain:  # A-Z in lower case first: the tokenizer does so too, but for its special tokens
             texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
-        if len(self.mark) == 1:  # a single mark after a letter is a word of its own, so fewer different words are met
+            # a single mark after a letter is a word of its own, so fewer different words are met
             texts = pc.replace_substring_regex(texts, _ENDED, r"\1 \2\3")
         split = pc.ascii_split_whitespace(texts)
         numbered = split.flatten().dictionary_encode()
-        words, known = numbered.dictionary, self.known
-        plain = words.cast(pa.binary()).to_pylist()
-        known[b""] = b""  # beside white space at the ends
-        if new := [k for k, w in enumerate(plain) if w not in known]:
-            before = len(known)
-            self.learn(words.take(pa.array(new, pa.int64())))
-            known[b""] = b""
-            if len(known) < before + len(new) and (gone := [k for k, w in enumerate(plain) if w not in known]):  # forgotten meanwhile
-                self.learn(words.take(pa.array(gone, pa.int64())))
-        blobs = list(map(known.__getitem__, plain))
-        width = int(self.kind[2])
-        size = np.fromiter(map(len, blobs), np.int64, len(blobs)) // width
-        every, first = np.frombuffer(b"".join(blobs), self.kind), np.cumsum(size) - size
-        number = numbered.indices.to_numpy(zero_copy_only=False)
-        count = size[number]
+        lists = split.offsets.to_numpy(zero_copy_only=False)
+        own = self.numbers(numbered.dictionary)[numbered.indices.to_numpy(zero_copy_only=False)]
+        first, count = self.at[own], np.diff(self.at)[own]
         upto = np.cumsum(count)
         total = int(upto[-1]) if len(upto) else 0
-        ids = every[np.repeat(first[number] - (upto - count), count) + np.arange(total)]
-        lists = split.offsets.to_numpy(zero_copy_only=False)
+        ids = self.every[np.repeat(first - (upto - count), count) + np.arange(total)]
         return ids, np.r_[0, upto][lists - lists[0]]
 
     def ids(self, texts: pa.Array, end_id: int) -> Iterator[bytes]:
@@ -188,7 +213,6 @@ def tokenised(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str,
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        gc.disable()  # millions of words and no cycles among them; the worker collects when the task is done
         pack, coder, place, task = zstandard.ZstdCompressor(level=1), coder_of(tokenizer_path), {}, TaskContext.get().partitionId()
         width = int(coder.kind[2])
         for batch in batches:
@@ -207,7 +231,6 @@ def tokenised(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str,
                  pa.array(sizes, pa.int64()), pa.array(blobs, pa.binary())],
                 names=["id", "source", "task", "start", "n", "ids"],
             )
-        gc.enable()
 
     rows = docs.select(
         quoted(id_col).cast("long").alias("id"), quoted(source_col).cast("string").alias("source"), quoted(text_col).cast("string").alias("text")

@@ -435,3 +435,44 @@ def test_words_are_encoded_once_a_worker(monkeypatch):
     first = list(packing.coder_of(path).ids(texts, 1))
     monkeypatch.setattr(packing.Tokens, "learn", lambda *a: pytest.fail("encoded again"))
     assert list(packing.coder_of(path).ids(texts, 1)) == first
+
+
+def test_known_words_are_small(monkeypatch):
+    """What a worker keeps of the words it has met takes a few dozen bytes a word (several hundred as Python objects)."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(9)) for _ in range(40_000)]
+    monkeypatch.setattr(packing, "_CODERS", {})
+    coder = packing.coder_of(packing.default_tokenizer())
+    texts = pa.array([" ".join(words[i : i + 100]) for i in range(0, len(words), 100)])
+    arrow = pa.total_allocated_bytes()
+    tracemalloc.start()
+    assert sum(1 for _ in coder.ids(texts, 1)) == 400
+    kept = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - arrow
+    tracemalloc.stop()
+    assert kept < 100 * len(words)
+
+
+@pytest.mark.parametrize("case", ["as it is", "one hash for all", "forgetful"])
+def test_ids_of_odd_words(monkeypatch, case):
+    """Ids are the tokenizer's for words of letters, digits, marks, contractions, special tokens and other characters, also when
+    all hashes are equal and when words are forgotten."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    if case == "one hash for all":
+        monkeypatch.setattr(packing, "_RANDOM", np.zeros_like(packing._RANDOM))
+    if case == "forgetful":
+        monkeypatch.setattr(packing, "KNOWN_WORDS", 50)
+    rng, path = random.Random(8), packing.default_tokenizer()
+    parts = ["a", "Word", "ÉCOLE", "straße", "ÿ", "×", "÷", "µ", "é", "İ", "Σ", "日本", " ", "\u0085", "​", "'", "'s", "'LL", "<", "<|", "|>", "<|endoftext|>", "<|EndOfText|>", "42", "٣", "½", "\0", "😀", " ", "\t\n", "  "]
+    parts += list("!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~")
+    texts = [None, "", " ", *("".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(1500))]
+    tokenizer, coder = Tokenizer.from_file(path), packing.Tokens(path)
+    for _ in range(2):  # the second time with known words
+        got = [np.frombuffer(x, coder.kind).tolist() for i in range(0, len(texts), 100) for x in coder.ids(pa.array([t or "" for t in texts[i : i + 100]]), 1)]
+        for t, ids in zip(texts, got, strict=True):
+            assert ids == [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], t
